@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewire.functions import strict_json as sj
+from tablewire.functions.once import with_once
 from tablewire.functions.ordering import SLICE_ROWS, slice_of, with_next
 from tablewire.operators.quality import first_error
 
@@ -100,7 +101,7 @@ def parse_parameters(df: DataFrame, json_col: str = "params") -> DataFrame:
     the unsigned 32-bit range where one is required, is null and gives
     ``json:<option>``.
     """
-    parsed = df.withColumn("_doc", sj.parse(F.col(json_col)))
+    parsed = with_once(df, "_doc", sj.parse(F.col(json_col)))
     doc = F.col("_doc")
     strings, sequences = _stop_lists(doc)
     values = {
@@ -114,7 +115,7 @@ def parse_parameters(df: DataFrame, json_col: str = "params") -> DataFrame:
     checks["json:stop"] = (
         sj.absent(doc, "$.stop") | F.col("stop_strings").isNotNull() | F.col("stop_ids").isNotNull()
     )
-    return out.withColumn("error", first_error(checks)).drop("_doc")
+    return with_once(out, "error", first_error(checks)).drop("_doc")
 
 
 def parameters_struct() -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewire.functions import strict_json as sj
+from tablewire.functions.once import with_once
 from tablewire.functions.ordering import SLICE_ROWS, running_before, slice_of
 from tablewire.operators.quality import first_error
 
@@ -117,7 +118,6 @@ def parse_responses(df: DataFrame, json_col: str = "json") -> DataFrame:
     The check is strict: a missing required field, a null there or a value of
     another JSON type is an error, named ``json:<part>``.
     """
-    parsed = df.withColumn("_doc", sj.parse(F.col(json_col)))
     doc = F.col("_doc")
     choices = sj.elements(doc, "$.output.choices")
     checks = {
@@ -127,18 +127,14 @@ def parse_responses(df: DataFrame, json_col: str = "json") -> DataFrame:
         "json:choice": F.forall(choices, _is_choice),
         "json:usage": _is_usage(doc),
     }
-    return (
-        parsed.withColumn("error", first_error(checks))
-        .withColumns(
-            {
-                "response_id": F.try_variant_get(doc, "$.request_id", "string"),
-                "choices": F.when(
-                    F.col("error").isNull(), F.try_variant_get(doc, "$.output.choices", CHOICES_TYPE)
-                ),
-                "usage": F.when(F.col("error").isNull(), F.try_variant_get(doc, "$.usage", USAGE_TYPE)),
-            }
-        )
-        .drop("_doc")
+    checked = with_once(with_once(df, "_doc", sj.parse(F.col(json_col))), "error", first_error(checks))
+    good = F.col("error").isNull()
+    return checked.select(
+        *df.columns,
+        F.try_variant_get(doc, "$.request_id", "string").alias("response_id"),
+        F.when(good, F.try_variant_get(doc, "$.output.choices", CHOICES_TYPE)).alias("choices"),
+        F.when(good, F.try_variant_get(doc, "$.usage", USAGE_TYPE)).alias("usage"),
+        "error",
     )
 
 

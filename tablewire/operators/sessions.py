@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewire.functions import strict_json as sj
+from tablewire.functions.once import with_once
 from tablewire.functions.ordering import SLICE_ROWS, running_before, slice_of
 
 PART = "part"
@@ -116,7 +117,6 @@ def route_events(df: DataFrame, payload: str = "payload", frame: str | None = No
     column with the kind of message: ``text`` (or null), ``close``, ``error`` or
     another one; only text messages are events, the rest keep their kind.
     """
-    # One small struct per row, so that the JSON is parsed once.
     doc = F.col("_doc")
     kind = F.when(sj.is_string(doc, "$.type"), F.try_variant_get(doc, "$.type", "string"))
     known = F.when(doc.isNull(), "invalid").when(kind.isNull(), "ignored")
@@ -130,12 +130,8 @@ def route_events(df: DataFrame, payload: str = "payload", frame: str | None = No
         (F.col("event_class") == "audio") & sj.is_string(doc, "$.delta"),
         F.try_variant_get(doc, "$.delta", "string"),
     )
-    return (
-        df.withColumn("_doc", sj.parse(F.col(payload)))
-        .withColumn("event_class", known)
-        .withColumn("delta", delta)
-        .drop("_doc")
-    )
+    classed = with_once(with_once(df, "_doc", sj.parse(F.col(payload))), "event_class", known)
+    return with_once(classed, "delta", delta).drop("_doc")
 
 
 def is_terminal() -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tablewire.operators.quality import ERROR_MESSAGES, NAMED_SERVICE
 
 DELTA_CHARS = 40
-PIECE_CHARS = 97
+PIECE_CHARS = (20, 180)
 EVENTS_PER_TURN = 10
 
 
@@ -118,18 +118,19 @@ def response_chunks(conversations: DataFrame, damaged: bool = False) -> DataFram
 
 
 def response_pieces(conversations: DataFrame) -> DataFrame:
-    """The same text cut at fixed lengths, without regard to lines."""
-    whole = F.array_join(
-        F.transform(F.sequence(F.lit(0), "last"), lambda i: _sse(i, _response_json(i, F.col("last")))), ""
-    )
-    pieces = F.ceil(F.length("whole") / F.lit(PIECE_CHARS)).cast("int")
-    cut = (
-        _answered(conversations)
-        .select("request_id", whole.alias("whole"))
-        .select("request_id", "whole", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("chunk_seq"))
+    """The same text in pieces that are cut inside its lines."""
+    first, second = PIECE_CHARS
+    body = F.col("body")
+
+    def piece(at: int, text: Column) -> Column:
+        return F.struct((F.col("chunk_seq") * 3 + at).alias("chunk_seq"), text.alias("body"))
+
+    pieces = F.array(
+        piece(0, F.substring(body, 1, first)),
+        piece(1, F.substring(body, first + 1, second)),
+        piece(2, F.substring(body, F.lit(first + second + 1), F.length(body))),
     )
-    body = F.substring(F.col("whole"), F.col("chunk_seq") * PIECE_CHARS + 1, F.lit(PIECE_CHARS))
-    return cut.select("request_id", F.col("chunk_seq").cast("long"), body.alias("body"))
+    return response_chunks(conversations).select("request_id", F.inline(pieces))
 
 
 # -- sessions -------------------------------------------------------------

@@ -126,13 +126,31 @@ def schema_json(
     )
 
 
+# What a text must look like to be worth a cast.  A cast that fails costs an
+# exception per row, so texts that cannot succeed are sorted out beforehand.
+_INTEGRAL = r"^\s*[+-]?\d+\s*$"
+_FLOATING = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
+_DATED = r"^\s*[+-]?\d{4,}"
+_CASTABLE = {
+    T.ByteType: _INTEGRAL,
+    T.ShortType: _INTEGRAL,
+    T.IntegerType: _INTEGRAL,
+    T.LongType: _INTEGRAL,
+    T.FloatType: _FLOATING,
+    T.DoubleType: _FLOATING,
+    T.DateType: _DATED,
+    T.TimestampType: _DATED,
+    T.TimestampNTZType: _DATED,
+}
+
+
 def _cast(source: Column, source_type: T.DataType, target: T.DataType) -> Column:
-    if isinstance(target, T.BinaryType) and not isinstance(
-        source_type, (T.BinaryType, T.StringType)
-    ):
-        return source.cast("string").cast("binary")
-    if isinstance(source_type, type(target)) and source_type == target:
+    if source_type == target:
         return source
+    if isinstance(target, T.BinaryType) and not isinstance(source_type, T.StringType):
+        return source.cast("string").cast("binary")
+    if isinstance(source_type, T.StringType) and type(target) in _CASTABLE:
+        return F.when(source.rlike(_CASTABLE[type(target)]), source.try_cast(target))
     return source.try_cast(target)
 
 

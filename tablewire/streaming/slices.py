@@ -56,46 +56,40 @@ class SliceProcessor(StatefulProcessor):
         self.progress = handle.getValueState("progress", "n bigint, end_seq bigint, timer bigint, done boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, end, timer, done = self.progress.get() if self.progress.exists() else (0, None, None, False)
+        n, end, timer, done = self.progress.get() or (0, None, None, False)
+        arrived, newest = [], 0
         for batch in rows:
-            new = list(
-                zip(
-                    batch["seq"].astype("int64").tolist(),
-                    batch["event_class"].tolist(),
-                    [None if a is None else bytes(a) for a in batch["audio"]],
-                    batch["is_delta"].astype(bool).tolist(),
-                )
+            arrived += zip(
+                batch["seq"].astype("int64").tolist(),
+                batch["event_class"].tolist(),
+                [None if a is None else bytes(a) for a in batch["audio"]],
+                batch["is_delta"].astype(bool).tolist(),
             )
-            if done:
-                yield self.slice_row(key, new, "late")
-                continue
-            self.events.appendList(new)
-            n += len(new)
-            ends = [seq for seq, kind, _, _ in new if kind in ENDINGS]
-            if ends:
-                end = min(ends) if end is None else min(end, *ends)
-            newest = int(batch["ts"].max().timestamp() * 1000) + self.timeout_ms
-            if timer is None or newest > timer:
-                if timer is not None:
+            newest = max(newest, int(batch["ts"].max().timestamp() * 1000) + self.timeout_ms)
+        if done:
+            yield self.slice_row(key, arrived, "late")
+            return
+        ends = [seq for seq, kind, _, _ in arrived if kind in ENDINGS]
+        end = min([*ends, end] if end is not None else ends, default=None)
+        first = key[1] * self.slice_events
+        wanted = self.slice_events if end is None else end - first + 1
+        if n + len(arrived) >= wanted:
+            events = [*self.events.get(), *arrived] if n else arrived
+            if len({seq for seq, _, _, _ in events if seq < first + wanted}) == wanted:
+                yield self.slice_row(key, events, "complete" if end is None else "ended")
+                if n:
+                    self.events.clear()
                     self.handle.deleteTimer(timer)
-                self.handle.registerTimer(newest)
-                timer = newest
-        if not done:
-            first = key[1] * self.slice_events
-            events = None
-            if n >= self.slice_events or (end is not None and n > end - first):
-                events = list(self.events.get())
-                seen = {seq for seq, _, _, _ in events}
-                wanted = self.slice_events if end is None else end - first + 1
-                complete = sum(1 for seq in seen if seq < first + wanted) == wanted
-                if complete:
-                    yield self.slice_row(key, events, "complete" if end is None else "ended")
-                    done = True
-            if done:
-                self.events.clear()
+                self.progress.update((0, None, None, True))
+                return
+        # Still incomplete: only now the events go to the state store.
+        self.events.appendList(arrived)
+        if timer is None or newest > timer:
+            if timer is not None:
                 self.handle.deleteTimer(timer)
-                n, end, timer = 0, None, None
-        self.progress.update((n, end, timer, done))
+            self.handle.registerTimer(newest)
+            timer = newest
+        self.progress.update((n + len(arrived), end, timer, False))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.events.exists():
