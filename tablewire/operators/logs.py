@@ -38,19 +38,19 @@ def parse_log_lines(df: DataFrame, line: str = "value") -> DataFrame:
     return out.withColumn("error", error).drop("_fits")
 
 
-def retained_days(df: DataFrame, ts: str, keep: int = KEEP_DAYS) -> DataFrame:
-    """The newest ``keep`` days that occur."""
-    day = F.to_date(F.col(ts)).alias("day")
-    return df.select(day).where(F.col("day").isNotNull()).distinct().orderBy(F.desc("day")).limit(keep)
+def oldest_kept(df: DataFrame, day: Column, keep: int) -> Column:
+    """The oldest of the newest ``keep`` days that occur, as a scalar subquery.
 
+    Days are counted on the map side first; the top-k holds ``keep`` rows.
+    """
+    days = df.select(day.alias("day")).where(F.col("day").isNotNull()).distinct()
+    return days.orderBy(F.desc("day")).limit(keep).agg(F.min("day")).scalar()
 
-def retain_days(df: DataFrame, ts: str, keep: int = KEEP_DAYS) -> DataFrame:
-    """Rows of the newest ``keep`` days that occur.
 
-    The broadcast side has at most ``keep`` rows.
-    """
-    days = F.broadcast(retained_days(df, ts, keep))
-    return df.join(days, F.to_date(F.col(ts)) == days["day"], "left_semi")
+def retain_days(df: DataFrame, ts: str, keep: int = KEEP_DAYS) -> DataFrame:
+    """Rows of the newest ``keep`` days that occur."""
+    day = F.to_date(F.col(ts))
+    return df.where(day >= oldest_kept(df, day, keep))
 
 
 def write_by_day(df: DataFrame, ts: str, path: str) -> None:
@@ -66,5 +66,4 @@ def write_by_day(df: DataFrame, ts: str, path: str) -> None:
 
 def retain_partitions(df: DataFrame, keep: int = KEEP_DAYS, day: str = "day") -> DataFrame:
     """The same on a table stored by day: older folders are not read at all."""
-    days = df.select(day).where(F.col(day).isNotNull()).distinct().orderBy(F.desc(day)).limit(keep)
-    return df.join(F.broadcast(days), day, "left_semi")
+    return df.where(F.col(day) >= oldest_kept(df, F.col(day), keep))

@@ -31,7 +31,7 @@ def error_class(message: Column) -> Column:
     def opens(name: str) -> Column:
         words = ERROR_MESSAGES[name]
         if name in NAMED_SERVICE:
-            return message.rlike(f"^(?:[A-Za-z]+ ){{0,3}}{words}")
+            return message.rlike(f"^(?:[A-Za-z]+ ){{0,2}}{words}")
         return message.startswith(words)
 
     chain = reduce(lambda c, name: c.when(opens(name), name), ERROR_MESSAGES, F)

@@ -152,6 +152,16 @@ def until_finished(
     return counted.where(F.col("_ended") == 0).select(*routed.columns)
 
 
+def late_events(
+    routed: DataFrame, session: str = "session_id", seq: str = "seq", slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """``(session, n_late)``: messages after the first one that ends their session."""
+    counted = running_before(
+        routed, [session], seq, {"_ended": F.when(is_terminal(), 1).otherwise(0)}, slice_rows
+    )
+    return counted.where(F.col("_ended") > 0).groupBy(session).agg(F.count(F.lit(1)).alias("n_late"))
+
+
 def decoded_audio(delta: Column) -> Column:
     """Strict base64: only the canonical text of some bytes decodes, else null."""
     raw = F.try_to_binary(delta, F.lit("base64"))

@@ -49,12 +49,16 @@ _READ = f"SELECT * FROM ({_MESSAGES}) m WHERE end_seq IS NULL OR seq <= end_seq"
 _AUDIO = f"""
   SELECT session_id, CAST(seq // 16 AS BIGINT) AS part,
          CAST(sum(CASE WHEN bad THEN 0 ELSE strlen(piece) END) AS BIGINT) AS n_bytes,
-         CAST(sum(CASE WHEN bad THEN 0 ELSE strlen(piece) END) / 48000.0 AS DOUBLE) AS seconds,
+         CAST(sum(CASE WHEN bad THEN 0 ELSE strlen(piece) END) AS DOUBLE) / 48000 AS seconds,
          CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS n_bad,
          md5(string_agg(CASE WHEN bad THEN '' ELSE piece END, '' ORDER BY seq)) AS audio_md5
   FROM ({_READ}) r WHERE event_class = 'audio' GROUP BY session_id, seq // 16
 """
 
+_LATE = f"""
+  SELECT session_id, count(*) AS n_late FROM ({_MESSAGES}) m WHERE seq > end_seq GROUP BY session_id
+"""
+
 _LIFECYCLE = f"""
   SELECT conv_id AS session_id, TRUE AS opened,
          coalesce(end_seq = 35, FALSE) AS finished,
@@ -309,11 +313,13 @@ ORACLES = {
     "f4_assemble_audio": _AUDIO,
     "f4_audio_sizes": f"""
         SELECT session_id, CAST(sum(n_bytes) AS BIGINT) AS n_bytes,
-               CAST(sum(n_bytes) / 48000.0 AS DOUBLE) AS seconds, CAST(sum(n_bad) AS BIGINT) AS n_bad
+               CAST(sum(n_bytes) AS DOUBLE) / 48000 AS seconds, CAST(sum(n_bad) AS BIGINT) AS n_bad
         FROM ({_AUDIO}) a GROUP BY session_id""",
     "f5_session_lifecycle": _LIFECYCLE,
+    "f5_late_events": _LATE,
     "f6_stream_sessions_audio": _AUDIO,
     "f6_stream_sessions_lifecycle": _LIFECYCLE,
+    "f6_stream_sessions_late": _LATE,
     "g1_parse_log_lines": """
         SELECT event_id, CASE WHEN good THEN date_trunc('milliseconds', ts) END AS ts,
                CASE WHEN good THEN 'ThreadId(' || (user_id % 8) || ')' END AS thread,

@@ -411,6 +411,10 @@ def lifecycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_lifecycle(_routed(spark, sf_dir))
 
 
+def late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.late_events(_routed(spark, sf_dir), slice_rows=SLICE)
+
+
 def _streamed_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session messages written as files, replayed as a stream, collected as slices."""
     source, sink = shared_dir(spark, "messages"), shared_dir(spark, "slices")
@@ -453,6 +457,10 @@ def streamed_lifecycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.lifecycle(_streamed_slices(spark, sf_dir))
 
 
+def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slices.late_counts(_streamed_slices(spark, sf_dir))
+
+
 # -- G: logs --------------------------------------------------------------
 
 
@@ -522,8 +530,10 @@ QUERIES = {
     "f4_assemble_audio": audio,
     "f4_audio_sizes": audio_bytes,
     "f5_session_lifecycle": lifecycles,
+    "f5_late_events": late,
     "f6_stream_sessions_audio": streamed_audio,
     "f6_stream_sessions_lifecycle": streamed_lifecycles,
+    "f6_stream_sessions_late": streamed_late,
     "g1_parse_log_lines": log_fields,
     "g2_retain_days": retained,
     "g2_retain_partitions": retained_folders,

@@ -34,21 +34,22 @@ ENDINGS = ("finished", "close", "error")
 EVENT_STATE = "seq bigint, event_class string, audio binary, is_delta boolean"
 SLICE_COLUMNS = [
     "session_id", "part", "reason", "n_events", "created_seq", "finished_seq",
-    "closed_seq", "error_seq", "max_seq", "audio", "n_bytes", "n_bad", "n_deltas",
+    "closed_seq", "error_seq", "max_seq", "audio", "n_bytes", "n_bad", "n_deltas", "n_late",
 ]
 SLICE_SCHEMA = (
     "session_id bigint, part bigint, reason string, n_events bigint, created_seq bigint, "
     "finished_seq bigint, closed_seq bigint, error_seq bigint, max_seq bigint, "
-    "audio binary, n_bytes bigint, n_bad bigint, n_deltas bigint"
+    "audio binary, n_bytes bigint, n_bad bigint, n_deltas bigint, n_late bigint"
 )
 
 
 class SliceProcessor(StatefulProcessor):
     """Collects one slice, at most ``slice_events`` events, and gives it out once."""
 
-    def __init__(self, slice_events: int, timeout_ms: int):
+    def __init__(self, slice_events: int, timeout_ms: int, by_event_time: bool):
         self.slice_events = slice_events
         self.timeout_ms = timeout_ms
+        self.by_event_time = by_event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -65,7 +66,7 @@ class SliceProcessor(StatefulProcessor):
                 [None if a is None else bytes(a) for a in batch["audio"]],
                 batch["is_delta"].astype(bool).tolist(),
             )
-            newest = max(newest, int(batch["ts"].max().timestamp() * 1000) + self.timeout_ms)
+            newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
         if done:
             yield self.slice_row(key, arrived, "late")
             return
@@ -84,11 +85,13 @@ class SliceProcessor(StatefulProcessor):
                 return
         # Still incomplete: only now the events go to the state store.
         self.events.appendList(arrived)
-        if timer is None or newest > timer:
+        now = newest if self.by_event_time else timerValues.getCurrentProcessingTimeInMs()
+        expiry = now + self.timeout_ms
+        if timer is None or expiry > timer:
             if timer is not None:
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(newest)
-            timer = newest
+            self.handle.registerTimer(expiry)
+            timer = expiry
         self.progress.update((n + len(arrived), end, timer, False))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -109,6 +112,7 @@ class SliceProcessor(StatefulProcessor):
             key[0], key[1], reason, len(events), firsts.get("created"), firsts.get("finished"),
             firsts.get("close"), firsts.get("error"), events[-1][0], audio, len(audio),
             sum(1 for e in read if e[3] and e[2] is None), sum(1 for e in read if e[3]),
+            len(events) - len(read),
         ]
         return pd.DataFrame({c: pd.Series([v], dtype="object") for c, v in zip(SLICE_COLUMNS, values)})
 
@@ -118,7 +122,7 @@ class SliceProcessor(StatefulProcessor):
 
 def stream_sessions(
     events: DataFrame,
-    watermark: str = "10 minutes",
+    watermark: str | None = "10 minutes",
     timeout_ms: int = 3_600_000,
     slice_events: int = SLICE_ROWS,
     frame: str | None = None,
@@ -128,8 +132,14 @@ def stream_sessions(
     ``events`` has ``session_id, seq, ts, payload`` (and ``frame``).  The state
     store must be the RocksDB one (``STATE_STORE`` / ``ROCKSDB``).  Events of a
     slice that was given out already come as rows with reason ``late``.
+
+    With a ``watermark`` timers follow event time, and Spark leaves out events
+    that are older than the watermark.  With None timers follow the clock and
+    every event is kept; such a query waits for its timers, so it runs with a
+    periodic trigger and not until "available now" is done.
     """
-    routed = route_events(events.withWatermark("ts", watermark), "payload", frame).select(
+    timed = events if watermark is None else events.withWatermark("ts", watermark)
+    routed = route_events(timed, "payload", frame).select(
         "session_id",
         slice_of("seq", slice_events).alias(PART),
         "seq",
@@ -139,10 +149,10 @@ def stream_sessions(
         F.col("delta").isNotNull().alias("is_delta"),
     )
     return routed.groupBy("session_id", PART).transformWithStateInPandas(
-        statefulProcessor=SliceProcessor(slice_events, timeout_ms),
+        statefulProcessor=SliceProcessor(slice_events, timeout_ms, watermark is not None),
         outputStructType=SLICE_SCHEMA,
         outputMode="append",
-        timeMode="EventTime",
+        timeMode="ProcessingTime" if watermark is None else "EventTime",
     )
 
 
@@ -162,12 +172,29 @@ def lifecycle(slices: DataFrame) -> DataFrame:
     return lifecycle_of(seen, "session_id")
 
 
+def _ended_before(slices: DataFrame) -> DataFrame:
+    """Adds ``_ended``: slices of the session, before this one, that hold an end."""
+    ended = F.coalesce("finished_seq", "closed_seq", "error_seq").isNotNull()
+    return running_before(slices, ["session_id"], PART, {"_ended": F.when(ended, 1).otherwise(0)})
+
+
 def audio_parts(slices: DataFrame, audio: AudioFormat = PCM_24000HZ_MONO_16BIT) -> DataFrame:
     """The rows of ``assemble_audio`` over ``until_finished`` events, from slices."""
-    ended = F.coalesce("finished_seq", "closed_seq", "error_seq").isNotNull()
-    counted = running_before(
-        on_time(slices), ["session_id"], PART, {"_ended": F.when(ended, 1).otherwise(0)}
-    )
-    return counted.where((F.col("_ended") == 0) & (F.col("n_deltas") > 0)).select(
+    read = _ended_before(on_time(slices)).where((F.col("_ended") == 0) & (F.col("n_deltas") > 0))
+    return read.select(
         "session_id", PART, "audio", "n_bytes", audio.seconds(F.col("n_bytes")).alias("seconds"), "n_bad"
     )
+
+
+def late_counts(slices: DataFrame) -> DataFrame:
+    """``(session_id, n_late)``: events after the end of their session.
+
+    Those are the events after an end inside its slice, all events of later
+    slices, and the events that came when their slice was given out already.
+    """
+    timely = _ended_before(on_time(slices)).select(
+        "session_id", F.when(F.col("_ended") > 0, F.col("n_events")).otherwise(F.col("n_late")).alias("n_late")
+    )
+    belated = slices.where(F.col("reason") == "late").select("session_id", F.col("n_events").alias("n_late"))
+    counted = timely.unionByName(belated).groupBy("session_id").agg(F.sum("n_late").alias("n_late"))
+    return counted.where(F.col("n_late") > 0)

@@ -18,7 +18,7 @@ def plain(value):
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9)
+        return "nan" if math.isnan(value) else value
     if isinstance(value, (datetime.date, datetime.datetime)):
         return value.isoformat()
     if isinstance(value, (bytes, bytearray)):
