@@ -4,10 +4,15 @@ A key (one session, one conversation, one request) may hold a large share of
 all rows.  ``Window.partitionBy(key)`` would then run that share in one task.
 The helpers here cut a key into *slices* of consecutive positions, solve each
 slice on its own and carry only one small row per slice to the next level, so
-the largest window partition holds about ``SLICE_ROWS`` rows.
+no window runs over the rows of a whole key.  The input is read twice: once
+narrow, for the totals of the slices, and once for the result.
 
-Positions are integers and unique within a key (arrival numbers, turn numbers,
-line numbers); repeated positions stay correct only up to the order of ties.
+``LEVELS`` is how often this is repeated on the slice rows themselves.  With one
+level the rows of a key meet in one task as one row per ``SLICE_ROWS`` of them,
+20 million rows for a key of 300 billion.
+
+Positions are integers, unique and nearly dense within a key (arrival numbers,
+turn numbers, line numbers); repeated positions stay correct only up to the order of ties.
 Rows without a key or a position are kept, but belong to no order.
 """
 
@@ -18,8 +23,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_ROWS = 1024
-LEVELS = 2
+SLICE_ROWS = 16_384
+LEVELS = 1
+# Slices that become one output row (a text, an audio, a list) are smaller.
+PART_ROWS = 1024
 
 
 def slice_of(position: Column | str, rows: int = SLICE_ROWS) -> Column:
@@ -32,6 +39,16 @@ def _slice_name(level: int) -> str:
     return f"_slice_{level}"
 
 
+# The slice column that ``running_before`` leaves behind.
+SLICE_COLUMN = _slice_name(LEVELS)
+
+
+def parts_within_slices(part_rows: int, slice_rows: int) -> None:
+    """Parts can be made without another exchange if no part lies in two slices."""
+    if slice_rows % part_rows:
+        raise ValueError("the slice length must be a multiple of the part length")
+
+
 def running_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,8 +63,8 @@ def running_before(
     ``then_by`` orders rows that share a position, such as lines of one chunk.
 
     The result is hash-partitioned by ``keys`` plus the slice column, which is
-    kept under the name ``_slice_<levels>`` so that a later aggregation per
-    slice needs no further exchange.
+    kept under the name ``_slice_<levels>``: an aggregation by keys, slice and
+    anything else needs no further exchange.
     """
     keys = list(keys)
     names = list(measures)

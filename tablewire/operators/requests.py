@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewire.functions import strict_json as sj
 from tablewire.functions.once import with_once
-from tablewire.functions.ordering import SLICE_ROWS, slice_of, with_next
+from tablewire.functions.ordering import PART_ROWS, SLICE_ROWS, slice_of, with_next
 from tablewire.operators.quality import first_error
 
 PART = "part"
@@ -23,7 +23,7 @@ def collect_messages(
     role: str = "role",
     text: str = "text",
     tool_call_id: str | None = None,
-    part_turns: int = SLICE_ROWS,
+    part_turns: int = PART_ROWS,
 ) -> DataFrame:
     """``(conv, part, messages)``: the ordered messages of each conversation.
 
@@ -174,7 +174,7 @@ def conversation_requests(
     conv: str = "conv_id",
     turn: str = "turn",
     params: Column | None = None,
-    part_turns: int = SLICE_ROWS,
+    part_turns: int = PART_ROWS,
 ) -> DataFrame:
     """``(conv, part, body)``: one request per conversation, from its turns.
 
@@ -185,14 +185,17 @@ def conversation_requests(
     is spread over pieces, so that no task has to hold all of it.
     """
     parts = collect_messages(turns, conv, turn, part_turns=part_turns)
-    edges = turns.groupBy(conv).agg(
-        F.max(slice_of(turn, part_turns)).alias("_last"), F.min(slice_of(turn, part_turns)).alias("_first")
-    )
+    part = slice_of(turn, part_turns)
+    edges = turns.groupBy(conv).agg(F.min(part).alias("_first"), F.max(part).alias("_last"))
+    single = F.col("_first") == F.col("_last")
+
+    def edge(at: str, opens: Column, closes: Column) -> Column:
+        return F.struct(F.col(at).alias(PART), opens.alias("_opens"), closes.alias("_closes"))
+
     # The edges come back under the key of the piece, not under the conversation,
     # which keeps the rows of a long conversation spread.
-    first = edges.select(conv, F.col("_first").alias(PART), F.lit(True).alias("_opens"))
-    last = edges.select(conv, F.col("_last").alias(PART), F.lit(True).alias("_closes"))
-    marked = parts.join(first, [conv, PART], "left").join(last, [conv, PART], "left")
+    ends = F.array_distinct(F.array(edge("_first", F.lit(True), single), edge("_last", single, F.lit(True))))
+    marked = parts.join(edges.select(conv, F.inline(ends)), [conv, PART], "left")
     listed = F.to_json("messages")
     inner = F.substring(listed, F.lit(2), F.length(listed) - 2)
     rest = F.to_json(
@@ -233,22 +236,25 @@ def build_tool_specs(df: DataFrame, part_params: int = PART_PARAMS) -> DataFrame
         F.col("param_type").alias("type"),
     )
     # Repeats collapse before anything is collected, whatever their number.
-    params = df.groupBy("tool", "param").agg(F.max_by(value, "pos").alias("value"))
-    heads = df.groupBy("tool").agg(F.max_by(F.struct("tool_type", "description"), "pos").alias("head"))
-    large = (
-        params.groupBy("tool")
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(part_params)).alias("_parts"))
-        .where(F.col("_parts") > 1)
+    params = df.groupBy("tool", "param").agg(
+        F.max_by(value, "pos").alias("value"),
+        F.max_by(F.struct("tool_type", "description"), "pos").alias("_head"),
+        F.max("pos").alias("_pos"),
     )
-    # Only large tools meet their count; the table of them has at most one row per
-    # ``part_params`` parameters, and adaptive execution sizes this join.
-    spread = params.join(large, "tool", "left").withColumn(
-        PART, F.pmod(F.xxhash64("param"), F.coalesce("_parts", F.lit(1)))
+    stats = params.groupBy("tool").agg(
+        F.max_by("_head", "_pos").alias("head"),
+        F.ceil(F.count(F.lit(1)) / F.lit(part_params)).alias("_parts"),
     )
+    # A tool with very many names is a skewed key of this join only; adaptive
+    # execution splits it, the side of the tools has one row each.
     tools = (
-        spread.groupBy("tool", PART)
-        .agg(F.array_sort(F.collect_list(F.struct("param", "value"))).alias("params"))
-        .join(heads, "tool")
+        params.join(stats, "tool")
+        .withColumn(PART, F.pmod(F.xxhash64("param"), F.col("_parts")))
+        .groupBy("tool", PART)
+        .agg(
+            F.array_sort(F.collect_list(F.struct("param", "value"))).alias("params"),
+            F.first("head").alias("head"),
+        )
     )
     named = F.filter("params", lambda p: p["param"].isNotNull())
     function = F.struct(

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from tablewire.functions import strict_json as sj
 from tablewire.functions.once import with_once
-from tablewire.functions.ordering import SLICE_ROWS, running_before, slice_of
+from tablewire.functions.ordering import (
+    PART_ROWS,
+    SLICE_COLUMN,
+    SLICE_ROWS,
+    parts_within_slices,
+    running_before,
+    slice_of,
+)
 from tablewire.operators.quality import first_error
 
 PART = "part"
@@ -39,6 +46,7 @@ def sse_data_lines(
     chunk_seq: str = "chunk_seq",
     body: str = "body",
     reassemble: bool = False,
+    slice_chunks: int = SLICE_ROWS,
 ) -> DataFrame:
     """``(id, chunk_seq, line_no, json)`` of the lines that start with ``data:``.
 
@@ -54,6 +62,7 @@ def sse_data_lines(
             [id_col],
             chunk_seq,
             {"_lines_before": F.size(pieces) - 1},
+            slice_chunks,
         )
         exploded = counted.select(
             id_col, chunk_seq, "_lines_before", F.posexplode(pieces).alias("_at", "_piece")
@@ -143,7 +152,8 @@ def assemble_answers(
     id_col: str = "request_id",
     chunk_seq: str = "chunk_seq",
     compat: bool = False,
-    part_chunks: int = SLICE_ROWS,
+    part_chunks: int = PART_ROWS,
+    slice_chunks: int = SLICE_ROWS,
 ) -> DataFrame:
     """``(id, part, answer, reasoning)``: deltas of the first choice in order.
 
@@ -159,20 +169,24 @@ def assemble_answers(
         message["content"].alias("_content"),
         F.coalesce(message["reasoning_content"], F.lit("")).alias("_reasoning"),
     )
+    keys = [id_col, slice_of(chunk_seq, part_chunks).alias(PART)]
     if compat:
+        parts_within_slices(part_chunks, slice_chunks)
+        keys.append(SLICE_COLUMN)
         lines = running_before(
             lines,
             [id_col],
             chunk_seq,
             {"_reasoned": F.when(F.col("_reasoning") != "", 1).otherwise(0)},
-            rows=part_chunks,
+            slice_chunks,
             then_by=["line_no"],
         ).withColumn("_content", F.when(F.col("_reasoned") == 0, F.col("_content")).otherwise(""))
     order = f"WITHIN GROUP (ORDER BY `{chunk_seq}`, line_no)"
-    return lines.groupBy(id_col, slice_of(chunk_seq, part_chunks).alias(PART)).agg(
+    texts = lines.groupBy(*keys).agg(
         F.expr(f"listagg(_content, '') {order}").alias("answer"),
         F.expr(f"listagg(_reasoning, '') {order}").alias("reasoning"),
     )
+    return texts.select(id_col, PART, "answer", "reasoning")
 
 
 def final_usage(good: DataFrame, id_col: str = "request_id", chunk_seq: str = "chunk_seq") -> DataFrame:

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from tablewire.functions import strict_json as sj
 from tablewire.functions.once import with_once
-from tablewire.functions.ordering import SLICE_ROWS, running_before, slice_of
+from tablewire.functions.ordering import (
+    PART_ROWS,
+    SLICE_COLUMN,
+    SLICE_ROWS,
+    parts_within_slices,
+    running_before,
+    slice_of,
+)
 
 PART = "part"
 
@@ -139,6 +146,11 @@ def is_terminal() -> Column:
     return F.col("event_class").isin("finished", "close", "error")
 
 
+def _with_ends_before(routed: DataFrame, session: str, seq: str, slice_rows: int) -> DataFrame:
+    ends = {"_ended": F.when(is_terminal(), 1).otherwise(0)}
+    return running_before(routed, [session], seq, ends, slice_rows)
+
+
 def until_finished(
     routed: DataFrame, session: str = "session_id", seq: str = "seq", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
@@ -146,9 +158,7 @@ def until_finished(
 
     Sessions without such an event keep everything.
     """
-    counted = running_before(
-        routed, [session], seq, {"_ended": F.when(is_terminal(), 1).otherwise(0)}, slice_rows
-    )
+    counted = _with_ends_before(routed, session, seq, slice_rows)
     return counted.where(F.col("_ended") == 0).select(*routed.columns)
 
 
@@ -156,9 +166,7 @@ def late_events(
     routed: DataFrame, session: str = "session_id", seq: str = "seq", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """``(session, n_late)``: messages after the first one that ends their session."""
-    counted = running_before(
-        routed, [session], seq, {"_ended": F.when(is_terminal(), 1).otherwise(0)}, slice_rows
-    )
+    counted = _with_ends_before(routed, session, seq, slice_rows)
     return counted.where(F.col("_ended") > 0).groupBy(session).agg(F.count(F.lit(1)).alias("n_late"))
 
 
@@ -174,7 +182,7 @@ def assemble_audio(
     audio: AudioFormat = PCM_24000HZ_MONO_16BIT,
     session: str = "session_id",
     seq: str = "seq",
-    part_events: int = SLICE_ROWS,
+    part_events: int = PART_ROWS,
 ) -> DataFrame:
     """``(session, part, audio, n_bytes, seconds, n_bad)`` from routed events.
 
@@ -182,16 +190,37 @@ def assemble_audio(
     event numbers; the audio of a session is its parts in order.  ``n_bad``
     counts the deltas that are not base64.
     """
+    return _audio_by(kept, audio, session, seq, part_events, [])
+
+
+def session_audio(
+    routed: DataFrame,
+    audio: AudioFormat = PCM_24000HZ_MONO_16BIT,
+    session: str = "session_id",
+    seq: str = "seq",
+    part_events: int = PART_ROWS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """``until_finished`` and ``assemble_audio`` in one, with one exchange of the payload."""
+    parts_within_slices(part_events, slice_rows)
+    counted = _with_ends_before(
+        routed.select(session, seq, "event_class", "delta"), session, seq, slice_rows
+    )
+    return _audio_by(counted.where("_ended = 0"), audio, session, seq, part_events, [SLICE_COLUMN])
+
+
+def _audio_by(kept, audio, session, seq, part_events, more_keys):
     deltas = kept.where(F.col("delta").isNotNull()).select(
         session,
         seq,
         slice_of(seq, part_events).alias(PART),
+        *more_keys,
         decoded_audio(F.col("delta")).alias("_audio"),
     )
     whole = F.expr(f"listagg(_audio, X'') WITHIN GROUP (ORDER BY `{seq}`)")
     n_bytes = F.coalesce(F.sum(F.octet_length("_audio")), F.lit(0))
     return (
-        deltas.groupBy(session, PART)
+        deltas.groupBy(session, PART, *more_keys)
         .agg(
             F.coalesce(whole, F.lit(b"")).alias("audio"),
             n_bytes.alias("n_bytes"),

@@ -311,6 +311,7 @@ ORACLES = {
     "f3_until_finished": f"""
         SELECT session_id, seq, event_class FROM ({_READ}) r""",
     "f4_assemble_audio": _AUDIO,
+    "f4_session_audio": _AUDIO,
     "f4_audio_sizes": f"""
         SELECT session_id, CAST(sum(n_bytes) AS BIGINT) AS n_bytes,
                CAST(sum(n_bytes) AS DOUBLE) / 48000 AS seconds, CAST(sum(n_bad) AS BIGINT) AS n_bad

@@ -331,7 +331,7 @@ def data_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def data_lines_reassembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     logged = derived.response_pieces(table(spark, sf_dir, "conversations"))
-    return responses.sse_data_lines(logged, reassemble=True).select(
+    return responses.sse_data_lines(logged, reassemble=True, slice_chunks=16).select(
         "request_id", "line_no", F.get_json_object("json", "$.output.choices[0].message.content").alias("content")
     )
 
@@ -356,7 +356,7 @@ def answers_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return responses.assemble_answers(_good(spark, sf_dir), compat=True).select(
+    return responses.assemble_answers(_good(spark, sf_dir), compat=True, slice_chunks=2048).select(
         "request_id", "part", "answer", "reasoning"
     )
 
@@ -403,6 +403,11 @@ def audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("session_id", "part", "n_bytes", "seconds", "n_bad", F.md5("audio").alias("audio_md5"))
 
 
+def audio_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = sessions.session_audio(_routed(spark, sf_dir), part_events=SLICE, slice_rows=2 * SLICE)
+    return parts.select("session_id", "part", "n_bytes", "seconds", "n_bad", F.md5("audio").alias("audio_md5"))
+
+
 def audio_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.audio_sizes(sessions.until_finished(_routed(spark, sf_dir)))
 
@@ -528,6 +533,7 @@ QUERIES = {
     "f2_route_events": event_classes,
     "f3_until_finished": read_events,
     "f4_assemble_audio": audio,
+    "f4_session_audio": audio_at_once,
     "f4_audio_sizes": audio_bytes,
     "f5_session_lifecycle": lifecycles,
     "f5_late_events": late,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tablewire.functions.ordering import SLICE_ROWS, running_before, slice_of
+from tablewire.functions.ordering import PART_ROWS, running_before, slice_of
 from tablewire.operators.sessions import (
     PART,
     PCM_24000HZ_MONO_16BIT,
@@ -124,7 +124,7 @@ def stream_sessions(
     events: DataFrame,
     watermark: str | None = "10 minutes",
     timeout_ms: int = 3_600_000,
-    slice_events: int = SLICE_ROWS,
+    slice_events: int = PART_ROWS,
     frame: str | None = None,
 ) -> DataFrame:
     """Slices of sessions, as a streaming DataFrame in append mode.

@@ -46,7 +46,7 @@ def test_reassembly_at_any_cut(spark, size):
     ]
     df = spark.createDataFrame(rows, "request_id string, chunk_seq long, body string").repartition(3)
     got = {
-        (r["request_id"], r["line_no"]): r["json"] for r in responses.sse_data_lines(df, reassemble=True).collect()
+        (r["request_id"], r["line_no"]): r["json"] for r in responses.sse_data_lines(df, reassemble=True, slice_chunks=4).collect()
     }
     expected = {
         (key, n): line[5:].strip()
@@ -119,7 +119,7 @@ def test_reasoning_first_models_keep_their_answer(spark):
 def test_the_gate_keeps_the_line_that_has_both(spark, size):
     docs = [answer("a"), answer("b", ""), answer("c", "why"), answer("d"), answer("e", "so")]
     assert assembled(spark, docs, part_chunks=size) == ("abcde", "whyso")
-    assert assembled(spark, docs, compat=True, part_chunks=size) == ("abc", "whyso")
+    assert assembled(spark, docs, compat=True, part_chunks=size, slice_chunks=size) == ("abc", "whyso")
 
 
 def test_usage_of_the_last_finished_chunk(spark):

@@ -84,6 +84,19 @@ def test_long_deltas_decode(spark):
     assert row["seconds"] == len(data) / 48000
 
 
+@pytest.mark.parametrize("size", [2, 6, 1024])
+def test_audio_at_once_equals_the_two_steps(spark, plan, size):
+    end = event("session.finished")
+    rows = [(s, i, end if i == 11 * s else delta(f"{s}:{i};".encode()), "text") for s in (1, 2, 3) for i in range(30)]
+    df = routed(spark, rows)
+    once = sessions.session_audio(df, part_events=2, slice_rows=size)
+    steps = sessions.assemble_audio(sessions.until_finished(df, slice_rows=size), part_events=2)
+    assert once.exceptAll(steps).isEmpty() and once.count() == steps.count()
+    assert plan(once).count("Exchange hashpartitioning") < plan(steps).count("Exchange hashpartitioning")
+    with pytest.raises(ValueError):
+        sessions.session_audio(df, part_events=4, slice_rows=6)
+
+
 def test_events_without_delta_text_add_nothing(spark):
     rows = [(1, 0, event("response.audio.delta"), "text"), (1, 1, event("response.audio.delta", delta=5), "text")]
     assert sessions.assemble_audio(routed(spark, rows)).isEmpty()
