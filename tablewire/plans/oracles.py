@@ -88,6 +88,10 @@ ORACLES = {
         SELECT 'lineitem' AS "table", 'l_returnflag=R' AS "partition", count(*) AS record_count,
                CAST(10 AS BIGINT) AS n_columns, CAST(1 AS BIGINT) AS n_keys, 'normal' AS status
         FROM lineitem WHERE l_returnflag = 'R'""",
+    "a2_read_session": f"""
+        SELECT CAST(1 AS INTEGER) AS version, 'o_orderstatus=O' AS "partition", count(*) AS record_count,
+               CAST(sum({_ROW_BYTES_ORDERS}) AS BIGINT) AS raw_size, 'normal' AS status
+        FROM orders WHERE o_orderstatus = 'O'""",
     "a3_read_partition": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_returnflag, l_linestatus
         FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'""",

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,6 +128,11 @@ def stage_blocks(
     return df.sparkSession.read.schema(row_schema).parquet(target)
 
 
+def _decoded(path: Column) -> Column:
+    """A path without percent escapes; a plus sign is itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _staged_files(spark: SparkSession, upload: Upload) -> DataFrame:
     """One row per staged file.  Only the row sizes are read, not the rows."""
     root = f"{upload.path}/_blocks"
@@ -142,16 +147,15 @@ def _staged_files(spark: SparkSession, upload: Upload) -> DataFrame:
     per_file = staged.groupBy(path.alias("file_path")).agg(
         F.sum(ROW_BYTES).alias("raw_size"), F.count(F.lit(1)).alias("record_count")
     )
-    # File paths come percent-encoded; a plus sign is itself there.
-    plain = F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B")))
-    inside = F.substring_index(plain, "/_blocks/", -1)
+    inside = F.substring_index(_decoded(F.col("file_path")), "/_blocks/", -1)
     pieces = F.split(inside, "/")
     count = F.size(pieces)
     return per_file.select(
         F.lit(upload.upload_id).alias("upload_id"),
         F.regexp_extract(inside, "/v=([0-9]+)/", 1).cast("int").alias("v"),
         F.substring_index(F.element_at(pieces, count - 1), "=", -1).cast("long").alias(BLOCK),
-        F.array_join(F.slice(pieces, F.lit(3), count - 4), "/").alias("partition"),
+        # Folder names escape some characters of a value once more.
+        _decoded(F.array_join(F.slice(pieces, F.lit(3), count - 4), "/")).alias("partition"),
         F.element_at(pieces, count).alias("file_name"),
         "raw_size",
         "record_count",
@@ -250,6 +254,41 @@ def _live(spark: SparkSession, path: str, log: list[Row]) -> DataFrame:
     return kept.where(F.col("version") >= F.coalesce("replaced_at", F.lit(1))).select(*rows.columns)
 
 
+def read_session(
+    spark: SparkSession, path: str, partition: str | None = None, version: int | None = None
+) -> DataFrame:
+    """One row that describes a read of a published table, pinned to a version.
+
+    ``(table, version, partition, record_count, raw_size, columns, status)``.  The
+    counts come from the manifest, so no data is read.
+    """
+    path = path.rstrip("/")
+    log = [r for r in _commits(spark, path) if version is None or r["version"] <= version]
+    if not log:
+        raise ValueError(f"nothing is published at {path}")
+    files = _live(spark, path, log)
+    row_schema = T.StructType.fromJson(json.loads(log[-1]["row_schema"]))
+    keys = json.loads(log[-1]["partition_by"])
+    if partition is not None:
+        if list(partition_values(partition)) != keys:
+            raise ValueError("the partition spec must name every partition column, in order")
+        files = files.where(F.col("partition") == _canonical_partition(partition))
+    declared = [c for c in declared_columns(row_schema) if c.name != BLOCK]
+    text = schema_json([c for c in declared if c.name not in keys], [c for c in declared if c.name in keys])
+    return files.agg(
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("record_count"),
+        F.coalesce(F.sum("raw_size"), F.lit(0)).alias("raw_size"),
+    ).select(
+        F.lit(path).alias("table"),
+        F.lit(log[-1]["version"]).alias("version"),
+        F.lit(partition).cast("string").alias("partition"),
+        "record_count",
+        "raw_size",
+        F.lit(text).alias("columns"),
+        F.lit("normal").alias("status"),
+    )
+
+
 def published_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The rows of a table at a version.
 

@@ -56,6 +56,15 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def published_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a published table, at its first version, from the manifest."""
+    orders, path = table(spark, sf_dir, "orders"), shared_dir(spark, "session")
+    _write(spark, path, orders, partition_by=("o_orderstatus",))
+    _write(spark, path, orders, partition_by=("o_orderstatus",))
+    rows = publish.read_session(spark, path, "o_orderstatus=O", version=1)
+    return rows.select("version", "partition", "record_count", "raw_size", "status")
+
+
 def partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan.read_partition(table(spark, sf_dir, "lineitem"), "l_returnflag=R,l_linestatus='F'")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag", "l_linestatus")
@@ -491,6 +500,7 @@ def error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "a1_conform_to_catalog": conform,
     "a2_snapshot_session": snapshot,
+    "a2_read_session": published_session,
     "a3_read_partition": partition,
     "a4_read_row_range": row_range,
     "a4_read_row_range_two_keys": row_range_two_keys,

@@ -61,10 +61,10 @@ class SliceProcessor(StatefulProcessor):
         arrived, newest = [], 0
         for batch in rows:
             arrived += zip(
-                batch["seq"].astype("int64").tolist(),
+                batch["seq"].tolist(),
                 batch["event_class"].tolist(),
-                [None if a is None else bytes(a) for a in batch["audio"]],
-                batch["is_delta"].astype(bool).tolist(),
+                [None if a is None else bytes(a) for a in batch["audio"].tolist()],
+                batch["is_delta"].tolist(),
             )
             newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
         if done:
@@ -114,7 +114,7 @@ class SliceProcessor(StatefulProcessor):
             sum(1 for e in read if e[3] and e[2] is None), sum(1 for e in read if e[3]),
             len(events) - len(read),
         ]
-        return pd.DataFrame({c: pd.Series([v], dtype="object") for c, v in zip(SLICE_COLUMNS, values)})
+        return pd.DataFrame([values], columns=SLICE_COLUMNS, dtype="object")
 
     def close(self) -> None:
         pass

@@ -155,3 +155,24 @@ def test_describe(spark, path):
     upload = publish.create_upload(path, overwrite=True, max_field_size=10)
     row = upload.describe(spark, numbers(spark, 0, 1).schema).first()
     assert row["is_overwrite"] and row["max_field_size"] == 10 and row["status"] == "normal"
+
+
+def test_overwrite_of_a_partition_with_special_characters(spark, path):
+    df = spark.createDataFrame([(1, "a b+c:d%"), (2, "é")], "id long, p string")
+    write(spark, path, df, partition_by=["p"])
+    newer = df.where("id = 1").withColumn("id", F.lit(7).cast("long"))
+    write(spark, path, newer, overwrite=True, partition="p='a b+c:d%'", partition_by=["p"])
+    assert ids(publish.published_table(spark, path)) == [2, 7]
+
+
+def test_read_session_counts_from_the_manifest(spark, path, plan):
+    how = {"partition_by": ["p"]}
+    write(spark, path, numbers(spark, 0, 9), **how)
+    write(spark, path, numbers(spark, 9, 12), **how)
+    session = publish.read_session(spark, path)
+    assert (session.first()["record_count"], session.first()["version"]) == (12, 2)
+    assert publish.read_session(spark, path, "p=1").first()["record_count"] == 4
+    assert publish.read_session(spark, path, "p=1", version=1).first()["record_count"] == 3
+    assert "_blocks" not in plan(session)
+    with pytest.raises(ValueError):
+        publish.read_session(spark, path, "q=1")
