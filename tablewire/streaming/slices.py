@@ -44,11 +44,16 @@ SLICE_SCHEMA = (
 
 
 class SliceProcessor(StatefulProcessor):
-    """Collects one slice, at most ``slice_events`` events, and gives it out once."""
+    """Collects one slice, at most ``slice_events`` events, and gives it out once.
 
-    def __init__(self, slice_events: int, timeout_ms: int, by_event_time: bool):
+    What stays of a slice that was given out is a mark, which is forgotten
+    ``forget_ms`` later; until then further events count as late.
+    """
+
+    def __init__(self, slice_events: int, timeout_ms: int, forget_ms: int, by_event_time: bool):
         self.slice_events = slice_events
         self.timeout_ms = timeout_ms
+        self.forget_ms = forget_ms
         self.by_event_time = by_event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -70,6 +75,7 @@ class SliceProcessor(StatefulProcessor):
         if done:
             yield self.slice_row(key, arrived, "late")
             return
+        now = newest if self.by_event_time else timerValues.getCurrentProcessingTimeInMs()
         ends = [seq for seq, kind, _, _ in arrived if kind in ENDINGS]
         end = min([*ends, end] if end is not None else ends, default=None)
         first = key[1] * self.slice_events
@@ -81,11 +87,10 @@ class SliceProcessor(StatefulProcessor):
                 if n:
                     self.events.clear()
                     self.handle.deleteTimer(timer)
-                self.progress.update((0, None, None, True))
+                self.given_out(now)
                 return
         # Still incomplete: only now the events go to the state store.
         self.events.appendList(arrived)
-        now = newest if self.by_event_time else timerValues.getCurrentProcessingTimeInMs()
         expiry = now + self.timeout_ms
         if timer is None or expiry > timer:
             if timer is not None:
@@ -95,9 +100,16 @@ class SliceProcessor(StatefulProcessor):
         self.progress.update((n + len(arrived), end, timer, False))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.events.exists():
-            yield self.slice_row(key, list(self.events.get()), "timeout")
-            self.events.clear()
+        _, _, _, done = self.progress.get()
+        if done:
+            self.progress.clear()
+            return
+        yield self.slice_row(key, list(self.events.get()), "timeout")
+        self.events.clear()
+        self.given_out(expiredTimerInfo.getExpiryTimeInMs())
+
+    def given_out(self, now: int) -> None:
+        self.handle.registerTimer(now + self.forget_ms)
         self.progress.update((0, None, None, True))
 
     def slice_row(self, key, events: list, reason: str) -> pd.DataFrame:
@@ -126,12 +138,14 @@ def stream_sessions(
     timeout_ms: int = 3_600_000,
     slice_events: int = PART_ROWS,
     frame: str | None = None,
+    forget_ms: int = 86_400_000,
 ) -> DataFrame:
     """Slices of sessions, as a streaming DataFrame in append mode.
 
     ``events`` has ``session_id, seq, ts, payload`` (and ``frame``).  The state
     store must be the RocksDB one (``STATE_STORE`` / ``ROCKSDB``).  Events of a
-    slice that was given out already come as rows with reason ``late``.
+    slice that was given out already come as rows with reason ``late``, for
+    ``forget_ms`` afterwards; choose it longer than events can be delayed.
 
     With a ``watermark`` timers follow event time, and Spark leaves out events
     that are older than the watermark.  With None timers follow the clock and
@@ -149,7 +163,7 @@ def stream_sessions(
         F.col("delta").isNotNull().alias("is_delta"),
     )
     return routed.groupBy("session_id", PART).transformWithStateInPandas(
-        statefulProcessor=SliceProcessor(slice_events, timeout_ms, watermark is not None),
+        statefulProcessor=SliceProcessor(slice_events, timeout_ms, forget_ms, watermark is not None),
         outputStructType=SLICE_SCHEMA,
         outputMode="append",
         timeMode="ProcessingTime" if watermark is None else "EventTime",
