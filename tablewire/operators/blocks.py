@@ -75,7 +75,7 @@ def latest_blocks(
     newest = F.col(version) if isinstance(version, str) else version
     return (
         blocks.groupBy(*keys)
-        .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in blocks.columns]), newest).alias("newest"))
+        .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in blocks.columns]), F.struct(newest)).alias("newest"))
         .select(*[F.col("newest").getField(c).alias(c) for c in blocks.columns])
     )
 
@@ -111,7 +111,7 @@ def chunk_ledger(
 ) -> DataFrame:
     """``(ids, chunk_index, n_bytes, checksum)`` of fixed-size chunks of a payload.
 
-    An empty payload has one empty chunk.  Everything happens per row in the
+    An empty payload has one empty chunk, a null has none.  Everything happens per row in the
     JVM; there is no exchange.
     """
     digest = CHECKSUMS[checksum]

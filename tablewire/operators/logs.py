@@ -48,7 +48,7 @@ def oldest_kept(df: DataFrame, day: Column, keep: int) -> Column:
 
 
 def retain_days(df: DataFrame, ts: str, keep: int = KEEP_DAYS) -> DataFrame:
-    """Rows of the newest ``keep`` days that occur."""
+    """Rows of the newest ``keep`` days that occur; a row without a time has no day."""
     day = F.to_date(F.col(ts))
     return df.where(day >= oldest_kept(df, day, keep))
 

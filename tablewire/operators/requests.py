@@ -237,12 +237,12 @@ def build_tool_specs(df: DataFrame, part_params: int = PART_PARAMS) -> DataFrame
     )
     # Repeats collapse before anything is collected, whatever their number.
     params = df.groupBy("tool", "param").agg(
-        F.max_by(value, "pos").alias("value"),
-        F.max_by(F.struct("tool_type", "description"), "pos").alias("_head"),
+        F.max_by(value, F.struct("pos")).alias("value"),
+        F.max_by(F.struct("tool_type", "description"), F.struct("pos")).alias("_head"),
         F.max("pos").alias("_pos"),
     )
     stats = params.groupBy("tool").agg(
-        F.max_by("_head", "_pos").alias("head"),
+        F.max_by("_head", F.struct("_pos")).alias("head"),
         F.ceil(F.count(F.lit(1)) / F.lit(part_params)).alias("_parts"),
     )
     # A tool with very many names is a skewed key of this join only; adaptive

@@ -46,14 +46,17 @@ _MESSAGES = f"""
 
 _READ = f"SELECT * FROM ({_MESSAGES}) m WHERE end_seq IS NULL OR seq <= end_seq"
 
-_AUDIO = f"""
-  SELECT session_id, CAST(seq // 16 AS BIGINT) AS part,
-         CAST(sum(CASE WHEN bad THEN 0 ELSE strlen(piece) END) AS BIGINT) AS n_bytes,
-         CAST(sum(CASE WHEN bad THEN 0 ELSE strlen(piece) END) AS DOUBLE) / 48000 AS seconds,
-         CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS n_bad,
-         md5(string_agg(CASE WHEN bad THEN '' ELSE piece END, '' ORDER BY seq)) AS audio_md5
-  FROM ({_READ}) r WHERE event_class = 'audio' GROUP BY session_id, seq // 16
-"""
+
+def _audio(part: int) -> str:
+    good = "CASE WHEN bad THEN 0 ELSE strlen(piece) END"
+    return f"""
+      SELECT session_id, CAST(seq // {part} AS BIGINT) AS part, CAST(sum({good}) AS BIGINT) AS n_bytes,
+             CAST(sum({good}) AS DOUBLE) / 48000 AS seconds,
+             CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS n_bad,
+             md5(string_agg(CASE WHEN bad THEN '' ELSE piece END, '' ORDER BY seq)) AS audio_md5
+      FROM ({_READ}) r WHERE event_class = 'audio' GROUP BY session_id, seq // {part}
+    """
+
 
 _LATE = f"""
   SELECT session_id, count(*) AS n_late FROM ({_MESSAGES}) m WHERE seq > end_seq GROUP BY session_id
@@ -314,15 +317,15 @@ ORACLES = {
         FROM ({_MESSAGES}) m GROUP BY event_class""",
     "f3_until_finished": f"""
         SELECT session_id, seq, event_class FROM ({_READ}) r""",
-    "f4_assemble_audio": _AUDIO,
-    "f4_session_audio": _AUDIO,
+    "f4_assemble_audio": _audio(16),
+    "f4_session_audio": _audio(16),
     "f4_audio_sizes": f"""
         SELECT session_id, CAST(sum(n_bytes) AS BIGINT) AS n_bytes,
                CAST(sum(n_bytes) AS DOUBLE) / 48000 AS seconds, CAST(sum(n_bad) AS BIGINT) AS n_bad
-        FROM ({_AUDIO}) a GROUP BY session_id""",
+        FROM ({_audio(16)}) a GROUP BY session_id""",
     "f5_session_lifecycle": _LIFECYCLE,
     "f5_late_events": _LATE,
-    "f6_stream_sessions_audio": _AUDIO,
+    "f6_stream_sessions_audio": _audio(32),
     "f6_stream_sessions_lifecycle": _LIFECYCLE,
     "f6_stream_sessions_late": _LATE,
     "g1_parse_log_lines": """

@@ -381,6 +381,7 @@ def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- F: sessions ----------------------------------------------------------
 
 SLICE = 16
+STREAM_SLICE = 32
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,7 +450,7 @@ def _streamed_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         stream = spark.readStream.schema(events.schema).parquet(source)
         query = (
-            slices.stream_sessions(stream, timeout_ms=60_000, slice_events=SLICE, frame="frame")
+            slices.stream_sessions(stream, timeout_ms=60_000, slice_events=STREAM_SLICE, frame="frame")
             .writeStream.format("parquet")
             .option("checkpointLocation", checkpoint)
             .option("path", sink)
