@@ -145,7 +145,8 @@ def build_requests(
     """Add ``body`` (JSON text) and ``error``.
 
     Keys are in alphabetical order and absent parts are left out.  A row with
-    neither prompt nor messages has no body but an error.
+    neither prompt nor messages has no body but an error.  One row is one request:
+    conversations longer than one part go through ``conversation_requests``.
     """
     parts = {"history": history, "messages": messages, "prompt": prompt}
     given = {name: part for name, part in parts.items() if part is not None}

@@ -93,7 +93,7 @@ def create_upload(
 
 
 def stage_blocks(
-    df: DataFrame, upload: Upload, attempt: int = 0, rebalance: bool = True
+    df: DataFrame, upload: Upload, attempt: int = 0, rebalance: bool = True, check: bool = True
 ) -> DataFrame:
     """Write the rows of ``df``, which carry ``block_id``, as files of the upload.
 
@@ -101,9 +101,10 @@ def stage_blocks(
     a block that holds much of the data over several tasks and files; without
     ``rebalance`` every task writes the blocks that it has.
     Sending a block again under a higher ``attempt`` replaces it at commit.  A
-    value over the field limit of the upload fails the job.
+    value over the field limit of the upload fails the job.  ``check=False`` is
+    for callers that know the upload to be open.
     """
-    if is_committed(df.sparkSession, upload.path, upload.upload_id):
+    if check and is_committed(df.sparkSession, upload.path, upload.upload_id):
         raise ValueError(f"upload {upload.upload_id} is already committed")
     sized = T.StructType([f for f in df.schema.fields if f.name != BLOCK])
     counted = df.withColumn(ROW_BYTES, row_bytes(sized))

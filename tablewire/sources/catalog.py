@@ -144,11 +144,20 @@ _CASTABLE = {
 }
 
 
+def as_bytes(source: Column, source_type: T.DataType) -> Column:
+    """A value carried as binary: its text, nested values as JSON."""
+    if isinstance(source_type, T.BinaryType):
+        return source
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    text = F.to_json(source) if isinstance(source_type, nested) else source.cast("string")
+    return text.cast("binary")
+
+
 def _cast(source: Column, source_type: T.DataType, target: T.DataType) -> Column:
     if source_type == target:
         return source
-    if isinstance(target, T.BinaryType) and not isinstance(source_type, T.StringType):
-        return source.cast("string").cast("binary")
+    if isinstance(target, T.BinaryType):
+        return as_bytes(source, source_type)
     if isinstance(source_type, T.StringType) and type(target) in _CASTABLE:
         return F.when(source.rlike(_CASTABLE[type(target)]), source.try_cast(target))
     return source.try_cast(target)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewire.functions.checksums import contribution, crc32c_many
-from tablewire.sources.catalog import CatalogColumn, spark_schema, wire_schema
+from tablewire.sources.catalog import CatalogColumn, as_bytes, spark_schema, wire_schema
 
 CHUNK_SIZE = 65_536
 # A payload is one binary value; keep it far below the limit of a row.
@@ -92,6 +92,16 @@ def frame_payloads(
         yield from halves(batch.slice(0, middle))
         yield from halves(batch.slice(middle))
 
+    def on_the_wire(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # Only milliseconds may cut a value; anything else that does not fit fails.
+        return pa.RecordBatch.from_arrays(
+            [
+                column.cast(f.type, safe=not (pa.types.is_timestamp(f.type) and f.type.unit == "ms"))
+                for column, f in zip(batch.columns, wire)
+            ],
+            schema=wire,
+        )
+
     def payload(messages: list[bytes]) -> pa.RecordBatch:
         framed = frame_bytes(b"".join(messages), chunk_size)
         return pa.RecordBatch.from_pydict({"payload": [framed]}, schema=pa.schema([("payload", pa.binary())]))
@@ -99,7 +109,7 @@ def frame_payloads(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
         for batch in batches:
-            for piece in halves(batch.cast(wire)):
+            for piece in halves(on_the_wire(batch)):
                 message = piece.serialize().to_pybytes()
                 if waiting and (len(waiting) == batches_per_payload or size + len(message) > payload_bytes):
                     yield payload(waiting)
@@ -109,7 +119,13 @@ def frame_payloads(
         if waiting:
             yield payload(waiting)
 
-    framed = df.select(*[F.col(f"`{c.name}`") for c in columns]).mapInArrow(run, "payload binary")
+    carried = [
+        as_bytes(F.col(f"`{c.name}`"), df.schema[c.name].dataType).alias(c.name)
+        if isinstance(c.spark_type(), T.BinaryType)
+        else F.col(f"`{c.name}`")
+        for c in columns
+    ]
+    framed = df.select(*carried).mapInArrow(run, "payload binary")
     return framed.select(F.monotonically_increasing_id().alias("payload_id"), "payload")
 
 

@@ -29,7 +29,7 @@ def stream_to_blocks(
         if is_committed(spark, path, upload.upload_id):
             return
         rows = batch.withColumn(BLOCK, F.lit(epoch).cast("long"))
-        stage_blocks(rows, upload, rebalance=False)
+        stage_blocks(rows, upload, rebalance=False, check=False)
         commit_upload(spark, upload, row_schema)
 
     writer = stream.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)

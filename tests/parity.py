@@ -14,6 +14,12 @@ TABLES = (
 ).split()
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
     if isinstance(value, bool) or value is None:
         return value
@@ -46,9 +52,13 @@ def compare(spark, con, query, sql, sf_dir):
     seconds = time.time() - start
     relation = con.execute(sql)
     expected_names = [d[0] for d in relation.description]
+    types = {d[0]: str(d[1]) for d in relation.description}
     expected = relation.fetchall()
     if sorted(frame.columns) != sorted(expected_names):
         return f"columns {sorted(frame.columns)} <> {sorted(expected_names)}", seconds
+    wrong = {n: (t, types[n]) for n, t in frame.dtypes if TYPES.get(t) != types[n]}
+    if wrong:
+        return f"types {wrong}", seconds
     a, b = rows_of(frame.columns, got), rows_of(expected_names, expected)
     if a == b:
         return None, seconds

@@ -111,3 +111,32 @@ def test_nanoseconds_are_kept_apart(spark):
     df = payloads(spark, frames.frame_bytes(batch.serialize().to_pybytes()))
     row = frames.decode_frames(df, columns, keep_ns=True).first()
     assert row["t_ns"] == 1_000_000_123 and row["t"].microsecond == 0 and row["t"].second == 1
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_every_type_with_nulls(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql(
+            "select 'é' string, X'00ff' binary, 1Y tinyint, -2S smallint, 3 int, 4L bigint, true boolean, 1.5F float, "
+            "2.5D double, date'2024-02-29' date, timestamp'2024-07-01 10:00:00.123456' datetime, "
+            "timestamp'1969-12-31 23:59:59.999999' timestamp, timestamp_ntz'2024-03-10 02:30:00.000001' timestamp_ntz"
+        )
+        nulls = df.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+        both = df.unionByName(nulls)
+        columns = [CatalogColumn(n, n) for n in df.columns]
+        back = frames.decode_frames(frames.frame_payloads(both, columns), columns)
+        assert back.where("frame_error is not null").isEmpty()
+        got = back.drop("payload_id", "frame_error")
+        expected = both.withColumn("datetime", F.date_trunc("millisecond", "datetime"))
+        assert got.exceptAll(expected).isEmpty() and got.count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_other_types_travel_as_text(spark):
+    df = spark.sql("select cast(1.50 as decimal(5,2)) d, array(1, 2) a, named_struct('x', 'y') s")
+    columns = declared_columns(df.schema)
+    row = frames.decode_frames(frames.frame_payloads(df, columns), columns).first()
+    assert (bytes(row["d"]), bytes(row["a"]), bytes(row["s"])) == (b"1.50", b"[1,2]", b'{"x":"y"}')
