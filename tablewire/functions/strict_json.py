@@ -29,8 +29,7 @@ def kind(doc: Column, path: str = "$") -> Column:
 
 
 def absent(doc: Column, path: str) -> Column:
-    found = kind(doc, path)
-    return found.isNull() | (found == "VOID")
+    return F.coalesce(kind(doc, path), F.lit("VOID")) == "VOID"
 
 
 def is_string(doc: Column, path: str) -> Column:
@@ -42,10 +41,7 @@ def is_boolean(doc: Column, path: str) -> Column:
 
 
 def is_number(doc: Column, path: str) -> Column:
-    found = kind(doc, path)
-    return F.coalesce(
-        found.isin("BIGINT", "DOUBLE", "FLOAT") | found.startswith("DECIMAL"), F.lit(False)
-    )
+    return F.coalesce(kind(doc, path).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False))
 
 
 def is_int32(doc: Column, path: str) -> Column:
@@ -77,6 +73,10 @@ def entries(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, path, "map<string,variant>")
 
 
+def is_string_or_absent(doc: Column, path: str) -> Column:
+    return F.coalesce(kind(doc, path), F.lit("VOID")).isin("STRING", "VOID")
+
+
 def optional(check, doc: Column, path: str) -> Column:
     """``check`` holds, or the field is missing or null."""
     return absent(doc, path) | check(doc, path)

@@ -104,7 +104,7 @@ def _is_choice(choice: Column) -> Column:
         sj.is_string(choice, "$.finish_reason")
         & sj.is_int32(choice, "$.index")
         & sj.is_string(choice, "$.message.content")
-        & sj.optional(sj.is_string, choice, "$.message.reasoning_content")
+        & sj.is_string_or_absent(choice, "$.message.reasoning_content")
         & sj.is_string(choice, "$.message.role")
         & (sj.absent(choice, calls) | _all(sj.elements(choice, calls), _is_tool_call))
     )
