@@ -10,7 +10,7 @@ slices are read, by ``lifecycle`` and ``audio_parts``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,6 +43,9 @@ SLICE_SCHEMA = (
 )
 
 
+OnSlice = Callable[[pd.DataFrame], pd.DataFrame]
+
+
 class SliceProcessor(StatefulProcessor):
     """Collects one slice, at most ``slice_events`` events, and gives it out once.
 
@@ -50,11 +53,14 @@ class SliceProcessor(StatefulProcessor):
     ``forget_ms`` later; until then further events count as late.
     """
 
-    def __init__(self, slice_events: int, timeout_ms: int, forget_ms: int, by_event_time: bool):
+    def __init__(
+        self, slice_events: int, timeout_ms: int, forget_ms: int, by_event_time: bool, on_slice: OnSlice | None
+    ):
         self.slice_events = slice_events
         self.timeout_ms = timeout_ms
         self.forget_ms = forget_ms
         self.by_event_time = by_event_time
+        self.on_slice = on_slice
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -126,7 +132,8 @@ class SliceProcessor(StatefulProcessor):
             sum(1 for e in read if e[3] and e[2] is None), sum(1 for e in read if e[3]),
             len(events) - len(read),
         ]
-        return pd.DataFrame([values], columns=SLICE_COLUMNS, dtype="object")
+        row = pd.DataFrame([values], columns=SLICE_COLUMNS, dtype="object")
+        return row if self.on_slice is None else self.on_slice(row)
 
     def close(self) -> None:
         pass
@@ -139,6 +146,8 @@ def stream_sessions(
     slice_events: int = PART_ROWS,
     frame: str | None = None,
     forget_ms: int = 86_400_000,
+    on_slice: OnSlice | None = None,
+    schema: str = SLICE_SCHEMA,
 ) -> DataFrame:
     """Slices of sessions, as a streaming DataFrame in append mode.
 
@@ -147,6 +156,10 @@ def stream_sessions(
     slice that was given out already come as rows with reason ``late``, for
     ``forget_ms`` afterwards; choose it longer than events can be delayed.
 
+    ``on_slice`` is called in the task with each slice that is given out, as a
+    DataFrame of one row; what it returns, in the shape of ``schema``, is the
+    output instead.
+
     With a ``watermark`` timers follow event time, and Spark leaves out events
     that are older than the watermark.  With None timers follow the clock and
     every event is kept; such a query waits for its timers, so it runs with a
@@ -163,8 +176,8 @@ def stream_sessions(
         F.col("delta").isNotNull().alias("is_delta"),
     )
     return routed.groupBy("session_id", PART).transformWithStateInPandas(
-        statefulProcessor=SliceProcessor(slice_events, timeout_ms, forget_ms, watermark is not None),
-        outputStructType=SLICE_SCHEMA,
+        statefulProcessor=SliceProcessor(slice_events, timeout_ms, forget_ms, watermark is not None, on_slice),
+        outputStructType=schema,
         outputMode="append",
         timeMode="ProcessingTime" if watermark is None else "EventTime",
     )

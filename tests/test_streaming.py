@@ -190,3 +190,34 @@ def test_without_a_watermark_nothing_is_too_late(spark, tmp_path):
     out = spark.read.schema(slices.SLICE_SCHEMA).parquet(sink)
     seen = out.groupBy("session_id").agg(F.sum("n_events").alias("n")).collect()
     assert {r["session_id"]: r["n"] for r in seen} == {1: 12, 2: 8}
+
+
+def test_user_function_sees_every_slice(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    df = spark.createDataFrame(
+        session_rows(1, 16) + session_rows(2, 8, end=5), "session_id long, seq long, at long, payload string, frame string"
+    )
+    df = df.select("session_id", "seq", F.timestamp_seconds("at").alias("ts"), "payload")
+    df.write.parquet(source)
+
+    def sizes(row):
+        return row.assign(kind="slice " + row["reason"])[["session_id", "part", "kind", "n_bytes"]]
+
+    spark.conf.set(slices.STATE_STORE, slices.ROCKSDB)
+    stream = spark.readStream.schema(df.schema).parquet(source)
+    shape = "session_id long, part long, kind string, n_bytes long"
+    query = (
+        slices.stream_sessions(stream, "1 hour", slice_events=8, on_slice=sizes, schema=shape)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .option("path", sink)
+        .trigger(availableNow=True)
+        .start()
+    )
+    assert query.awaitTermination(100)
+    spark.conf.unset(slices.STATE_STORE)
+    rows = spark.read.schema(shape).parquet(sink).orderBy("session_id", "part").collect()
+    assert [(r["session_id"], r["part"], r["kind"]) for r in rows] == [
+        (1, 0, "slice complete"), (1, 1, "slice complete"), (2, 0, "slice ended"),
+    ]
+    assert rows[2]["n_bytes"] == len(b"2:1;2:3;")
