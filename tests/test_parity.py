@@ -4,8 +4,8 @@ import pytest
 from parity import compare, connect
 
 import __spark_entry__ as entry_module
-
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from tablewire.plans.oracles import ORACLES
+from tablewire.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,11 @@ def test_query_equals_sql(name, spark, con, sf_dir):
     assert difference is None
 
 
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry_module.entry(spark).collect()
     assert len(rows) == 8
