@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewire.llm import sharding
+from tablewire.llm import packing, records, sharding
 from tablewire.llm.shared import read_table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=0, capacity=2048)
+    return packed.withColumnRenamed("key", "doc_id")
+
+
+def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = records.write_records(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
+    return records.read_records(spark, written).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
 
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), n_shards=40)
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op8_binary_records": op8_binary_records,
     "op10_minimax_shards": op10_minimax_shards,
 }
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import sys
 import types
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -143,13 +142,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return h
 
 
-def crc32_of(parts: list[bytes]) -> list[int]:
-    return [zlib.crc32(p) for p in parts]
+_ARROW = {
+    "long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(),
+    "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+}
 
 
-def arrow_type(schema: str):
-    """The Arrow schema of a Spark DDL text."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
+def arrow_type(ddl: str) -> pa.Schema:
+    """The Arrow schema of a Spark DDL text of plain types; workers have no session to ask."""
+    fields = (field.split() for field in ddl.split(","))
+    return pa.schema([(name, _ARROW[kind]) for name, kind in fields])
 
-    return to_arrow_schema(_parse_datatype_string(schema))
+
+def arrow_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
