@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import packing, records, sharding
+from tablewire.llm import bytebpe, packing, records, sharding
 from tablewire.llm.shared import read_table
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -24,6 +25,16 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bytebpe.round_trip(read_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return coded.select(
+        F.col("key").alias("doc_id"),
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -31,6 +42,7 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op8_binary_records": op8_binary_records,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_minimax_shards": op10_minimax_shards,
 }
 
