@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import bytebpe, packing, records, sharding
+from tablewire.llm import bytebpe, minhash, packing, records, sharding
 from tablewire.llm.shared import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +18,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=5, percent=85)
+    return found.withColumnRenamed("key", "doc_id")
+
+
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = records.write_records(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
     return records.read_records(spark, written).select(
@@ -41,6 +46,7 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op6_circulant_minhash": op6_circulant_minhash,
     "op8_binary_records": op8_binary_records,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minimax_shards": op10_minimax_shards,
