@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import bytebpe, minhash, packing, records, sharding
+from tablewire.llm import bytebpe, lines, minhash, packing, records, sharding
 from tablewire.llm.shared import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +18,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_boilerplate(read_table(spark, sf_dir, "documents"), min_sites=8, max_share=0.9, min_words=4)
+    return cleaned.select("doc_id", "text")
+
+
 def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=5, percent=85)
     return found.withColumnRenamed("key", "doc_id")
@@ -46,10 +51,31 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_line_spread": op4_line_spread,
     "op6_circulant_minhash": op6_circulant_minhash,
     "op8_binary_records": op8_binary_records,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minimax_shards": op10_minimax_shards,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_line_spread": r"""
+        WITH split AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
+        raw AS (SELECT doc_id, source, unnest(parts) AS raw, generate_subscripts(parts, 1) AS place FROM split),
+        lines AS (
+            SELECT *, trim(regexp_replace(raw, '[\x09-\x0D ]+', ' ', 'g')) AS body,
+                CASE WHEN body = '' THEN 0 ELSE length(body) - length(replace(body, ' ', '')) + 1 END AS words
+            FROM raw),
+        shared AS (
+            SELECT body, min((doc_id, place)) AS first FROM lines WHERE words >= 4
+            GROUP BY body HAVING count(DISTINCT source) >= 8),
+        marked AS (SELECT l.*, s.first FROM lines l LEFT JOIN shared s ON l.body = s.body AND l.words >= 4),
+        docs AS (
+            SELECT doc_id, sum(words) FILTER (first IS NOT NULL) AS shared_words, sum(words) AS all_words,
+                string_agg(raw, chr(10) ORDER BY place)
+                    FILTER (first IS NULL OR first = (doc_id, place)) AS rest
+            FROM marked GROUP BY doc_id)
+        SELECT doc_id, CASE WHEN coalesce(shared_words, 0) > 0.9::DOUBLE * all_words THEN text
+            ELSE coalesce(rest, '') END AS text
+        FROM split JOIN docs USING (doc_id)""",
+}
