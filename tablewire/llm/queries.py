@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import bytebpe, lines, minhash, packing, records, sharding
-from tablewire.llm.shared import read_table
+from tablewire.llm import bytebpe, lines, minhash, packing, records, sharding, toxicity
+from tablewire.llm.shared import fold_of, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,20 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+def op2_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    train = read_table(spark, sf_dir, "labels").where(fold_of("doc_id") != 0)
+    lexicon = toxicity.learn(docs, train)
+    rated = docs.select("doc_id", toxicity.rating(spark, lexicon, F.col("text")).alias("rated"))
+    return rated.select(
+        "doc_id",
+        (fold_of("doc_id") == 0).alias("held_out"),
+        "rated.score",
+        (F.col("rated.score") >= 0.5).cast("int").alias("predicted"),
+        "rated.n_matches",
+    )
+
+
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.remove_boilerplate(read_table(spark, sf_dir, "documents"), min_sites=8, max_share=0.9, min_words=4)
     return cleaned.select("doc_id", "text")
@@ -51,6 +65,7 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_toxicity_lexicon": op2_toxicity_lexicon,
     "op4_line_spread": op4_line_spread,
     "op6_circulant_minhash": op6_circulant_minhash,
     "op8_binary_records": op8_binary_records,
