@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import bytebpe, lines, minhash, packing, records, sharding, toxicity
+from tablewire.llm import bytebpe, hmm, lines, minhash, packing, records, sharding, toxicity
 from tablewire.llm.shared import fold_of, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +42,11 @@ def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id")
 
 
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.score(read_table(spark, sf_dir, "documents"), held_out=fold_of("doc_id") == 1)
+    return scored.withColumnRenamed("key", "doc_id")
+
+
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = records.write_records(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
     return records.read_records(spark, written).select(
@@ -68,6 +73,7 @@ QUERIES = {
     "op2_toxicity_lexicon": op2_toxicity_lexicon,
     "op4_line_spread": op4_line_spread,
     "op6_circulant_minhash": op6_circulant_minhash,
+    "op7_hidden_markov": op7_hidden_markov,
     "op8_binary_records": op8_binary_records,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minimax_shards": op10_minimax_shards,
