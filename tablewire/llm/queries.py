@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import bytebpe, hmm, lines, minhash, packing, records, sharding, toxicity
+from tablewire.llm import blockjoin, bytebpe, hmm, kdtree, lines, minhash, packing, records, sharding, toxicity
 from tablewire.llm.shared import fold_of, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -32,11 +32,19 @@ def op2_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10, scale=1024)
+
+
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.remove_boilerplate(read_table(spark, sf_dir, "documents"), min_sites=8, max_share=0.9, min_words=4)
     return cleaned.select("doc_id", "text")
 
 
+def op5_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockjoin.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=5, percent=85)
     return found.withColumnRenamed("key", "doc_id")
@@ -71,7 +79,9 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity_lexicon": op2_toxicity_lexicon,
+    "op3_kd_tree_top_k": op3_kd_tree_top_k,
     "op4_line_spread": op4_line_spread,
+    "op5_block_matrix_join": op5_block_matrix_join,
     "op6_circulant_minhash": op6_circulant_minhash,
     "op7_hidden_markov": op7_hidden_markov,
     "op8_binary_records": op8_binary_records,
@@ -80,6 +90,31 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_kd_tree_top_k": """
+        WITH whole AS (
+            SELECT vec_id AS id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.id <> c.id WHERE q.id % 100 = 0),
+        ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+                vec_id, score FROM scored)
+        SELECT * FROM ranked WHERE rank <= 10""",
+    "op5_block_matrix_join": """
+        WITH usable AS (
+            SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        scored AS (
+            SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.v, c.v) AS score
+            FROM usable q JOIN usable c ON q.id <> c.id WHERE q.id % 20 = 0),
+        ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+                vec_id, score FROM scored)
+        SELECT * FROM ranked WHERE rank <= 20""",
     "op4_line_spread": r"""
         WITH split AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
         raw AS (SELECT doc_id, source, unnest(parts) AS raw, generate_subscripts(parts, 1) AS place FROM split),
