@@ -164,7 +164,8 @@ def _finer(sizes: DataFrame, cells: list[tuple], coarse: list[tuple]) -> list[tu
             first = i + 1
     inside = {i for a, b in runs for i in range(a, b + 1)}
     kept = [c for i, c in enumerate(cells) if i not in inside]
-    return sorted(kept + _sums(sizes, [(cells[a][0], cells[b][1] + 1) for a, b in runs], max(4, CELLS // len(runs))))
+    widest = max(b - a + 1 for a, b in runs)  # every cell becomes several
+    return sorted(kept + _sums(sizes, [(cells[a][0], cells[b][1] + 1) for a, b in runs], max(8 * widest, CELLS // len(runs))))
 
 
 def _sums(sizes: DataFrame, ranges: list[tuple[int, int]], parts: int) -> list[tuple]:
