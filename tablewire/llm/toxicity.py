@@ -11,8 +11,8 @@ many copies of one text count once, and has to exceed what chance gives among so
 many candidates. Of entries that contain one another the one with the strongest
 evidence stays. A phrase of two words that holds an entry but stands in clean texts
 is an exception: where it matches, the entry inside does not count. Words and phrases are the patterns of one
-Aho-Corasick automaton that reads each folded text once. The summed weight and
-its share of the text's length go into a logistic score fitted on the same rows.
+Aho-Corasick automaton that reads each folded text once. The summed weight per
+word of text goes into a logistic score fitted on the same rows.
 
 Learning takes at most ``max_rows`` labelled rows of each class, the first by a
 hash of their id; this is the only bound, and scoring reads every text whole.
@@ -109,8 +109,8 @@ class Lexicon:
 
     words: dict[str, float] = field(default_factory=dict)
     exceptions: frozenset[str] = frozenset()
-    #: intercept, and the factors of the two features
-    fit: tuple[float, float, float] = (-4.0, 0.0, 0.0)
+    #: intercept and factor of the logistic score
+    fit: tuple[float, float] = (-4.0, 0.0)
 
     def automaton(self):
         import ahocorasick
@@ -139,9 +139,9 @@ def matches(text: str, automaton) -> tuple[float, int, int]:
     return sum(w for _, _, w in hits), len(hits), len(words)
 
 
-def features(weight: float | np.ndarray, size: float | np.ndarray) -> tuple:
-    """Evidence in all, and per word of text."""
-    return np.log1p(weight), np.log1p(100.0 * weight / np.maximum(size, 1))
+def density(weight: float | np.ndarray, size: float | np.ndarray) -> float | np.ndarray:
+    """Weight per hundred words, on a logarithmic scale."""
+    return np.log1p(100.0 * weight / np.maximum(size, 1))
 
 
 def learn(
@@ -249,18 +249,18 @@ def _measure(lexicon: Lexicon):
     return run
 
 
-def _fit(rows: pd.DataFrame) -> tuple[float, float, float]:
+def _fit(rows: pd.DataFrame) -> tuple[float, float]:
     """Logistic regression by Newton steps, with a small penalty that keeps separable classes finite."""
     y = rows["label"].to_numpy(float)
-    x = np.column_stack([np.ones(len(y)), *features(rows["weight"].to_numpy(), rows["size"].to_numpy())])
-    b, penalty = np.zeros(3), np.diag([1e-3, 1e-2, 1e-2]) * max(len(y) / 100, 1)
+    x = np.column_stack([np.ones(len(y)), density(rows["weight"].to_numpy(), rows["size"].to_numpy())])
+    b, penalty = np.zeros(2), np.diag([1e-3, 1e-2]) * max(len(y) / 100, 1)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ b)
         b += step
         if np.abs(step).max() < 1e-8:
             break
-    return tuple(float(v) for v in b)
+    return float(b[0]), float(b[1])
 
 
 def rating(spark: SparkSession, lexicon: Lexicon, text: Column) -> Column:
@@ -271,13 +271,12 @@ def rating(spark: SparkSession, lexicon: Lexicon, text: Column) -> Column:
     def rate(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         lexicon = shared.value
         automaton = lexicon.automaton()
-        base, total, dense = lexicon.fit
+        base, factor = lexicon.fit
         for texts in parts:
             rows = []
             for t in texts:
                 weight, n, size = matches(t or "", automaton)
-                a, b = features(weight, size)
-                rows.append((1 / (1 + math.exp(-max(-30.0, min(30.0, base + total * a + dense * b)))), n))
+                rows.append((1 / (1 + math.exp(-max(-30.0, min(30.0, base + factor * density(weight, size))))), n))
             yield pd.DataFrame(rows, columns=["score", "n_matches"])
 
     return rate(text)
