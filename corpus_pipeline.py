@@ -11,9 +11,8 @@ columns of ``docs`` as they came, whatever extra ones there are.
   without words and rows without an id are kept.
 * packing gives the pieces of all texts with their places in sequences.
 
-Null or empty texts, repeated rows and empty tables follow the operators' rules.
-Rows that repeat an id with a text that is kept all stay in near_duplicates but for one
-per distinct text.
+Null or empty texts, repeated rows and empty tables follow the operators' rules: rows
+that share an id are one document, they stay or go together.
 """
 
 from __future__ import annotations
