@@ -47,7 +47,8 @@ def row_bytes(schema: T.StructType) -> Column:
 def assign_blocks(df: DataFrame, keys: Sequence[str], n_blocks: int, hashed: bool = True) -> DataFrame:
     """Add ``block_id`` in ``0 .. n_blocks - 1``.
 
-    ``hashed=False`` takes one integer key modulo ``n_blocks``.  No exchange
+    ``hashed=False`` takes one integer key modulo ``n_blocks``; rows without a key
+    are in block 0.  No exchange
     happens here; the write balances blocks over tasks by their real size.
     """
     if hashed:
@@ -55,7 +56,7 @@ def assign_blocks(df: DataFrame, keys: Sequence[str], n_blocks: int, hashed: boo
     else:
         (key,) = keys
         value = F.col(f"`{key}`")
-    return df.withColumn(BLOCK, F.pmod(value, F.lit(n_blocks)).cast("int"))
+    return df.withColumn(BLOCK, F.coalesce(F.pmod(value, F.lit(n_blocks)), F.lit(0)).cast("int"))
 
 
 def block_ledger(df: DataFrame, sized: T.StructType | None = None) -> DataFrame:

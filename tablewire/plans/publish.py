@@ -3,13 +3,14 @@
 Below the path of a table::
 
     _blocks/upload_id=<id>/v=<attempt>/<partition>/block_id=<n>/*.parquet
-    _manifest/version=<n>/      one row per file that the commit added
-    _commits/version=<n>/       one row; writing it is the publish step
-
-Staged files are never moved.  A reader resolves the commits, so files of an
-upload that was not committed, or that failed half way, are never seen.  One
-writer per table is assumed; two writers that reach the same version collide on
-the commit folder and one of them fails.
+    _manifest/upload=<id>/      one row per file that the upload adds
+    _commits/version=<n>/       one row that names the upload; writing it is the publish step
+
+Staged files are never moved.  A reader keeps the rows of exactly those files that
+the manifests of committed uploads name, so files of an upload that was not
+committed, that failed half way, or that a late task left behind are never seen.
+Of two writers that reach the same version one fails on the commit folder, and
+the manifest it wrote under its own upload is never read.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,7 +101,8 @@ def stage_blocks(
     Returns the staged rows.  The exchange is a rebalance by block, which splits
     a block that holds much of the data over several tasks and files; without
     ``rebalance`` every task writes the blocks that it has.
-    Sending a block again under a higher ``attempt`` replaces it at commit.  A
+    Sending a block again under a higher ``attempt`` replaces it, within its
+    partition, at commit.  A
     value over the field limit of the upload fails the job.  ``check=False`` is
     for callers that know the upload to be open.
     """
@@ -189,31 +191,35 @@ def current_version(spark: SparkSession, path: str) -> int:
 
 def manifest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """``(…, version)`` rows of every published file, replaced ones included."""
-    rows = spark.read.schema(f"{MANIFEST_SCHEMA}, version int").parquet(f"{path.rstrip('/')}/_manifest")
-    limit = current_version(spark, path) if version is None else version
-    return rows.where(F.col("version").between(1, limit))
+    return _manifest(spark, path, [r for r in _commits(spark, path) if version is None or r["version"] <= version])
+
+
+def _manifest(spark: SparkSession, path: str, log: list[Row]) -> DataFrame:
+    """The manifest rows of the commits in ``log``; manifests of refused commits are not among them."""
+    if not log:
+        return spark.createDataFrame([], f"{MANIFEST_SCHEMA}, version int")
+    versions = spark.createDataFrame([(r["upload_id"], r["version"]) for r in log], "upload string, version int")
+    rows = spark.read.schema(f"{MANIFEST_SCHEMA}, upload string").parquet(f"{path.rstrip('/')}/_manifest")
+    return rows.join(versions, "upload").drop("upload")
 
 
 def commit_upload(spark: SparkSession, upload: Upload, row_schema: T.StructType) -> DataFrame:
     """Publish what was staged and return the manifest rows of the new version.
 
-    Only the newest attempt of a block is published.  An upload without blocks
-    publishes an empty manifest.
+    Only the newest attempt of a block of a partition is published.  An upload
+    without blocks publishes an empty manifest.
     """
     log = _commits(spark, upload.path)
     if any(r["upload_id"] == upload.upload_id for r in log):
         raise ValueError(f"upload {upload.upload_id} is already committed")
     version = log[-1]["version"] + 1 if log else 1
     files = _staged_files(spark, upload)
-    newest = Window.partitionBy(BLOCK)
-    files = files.withColumn("_newest", F.max("v").over(newest)).where("v = _newest").drop("_newest")
-    folder = f"{upload.path}/_manifest/version={version}"
-    files.write.mode("overwrite").parquet(folder)
+    if upload.partition is not None and not files.where(F.col("partition") != upload.partition).isEmpty():
+        raise ValueError(f"staged rows outside the partition {upload.partition}")
+    newest = files.groupBy("partition", BLOCK).agg(F.max("v").alias("v"))
+    folder = f"{upload.path}/_manifest/upload={upload.upload_id}"
+    files.join(newest, ["partition", BLOCK, "v"]).select(files.columns).write.mode("overwrite").parquet(folder)
     written = spark.read.schema(MANIFEST_SCHEMA).parquet(folder)
-    if upload.partition is not None:
-        stray = written.where(F.col("partition") != upload.partition)
-        if not stray.isEmpty():
-            raise ValueError(f"staged rows outside the partition {upload.partition}")
     record = (
         upload.upload_id,
         upload.overwrite,
@@ -241,7 +247,7 @@ def live_files(spark: SparkSession, path: str, version: int | None = None) -> Da
 
 
 def _live(spark: SparkSession, path: str, log: list[Row]) -> DataFrame:
-    rows = manifest(spark, path, log[-1]["version"] if log else 0)
+    rows = _manifest(spark, path, log)
     # The last overwrite of the table, and of each partition, hides what is older.
     whole = max((r["version"] for r in log if r["overwrite"] and r["partition"] is None), default=1)
     scopes = [(r["partition"], r["version"]) for r in log if r["overwrite"] and r["partition"] is not None]
@@ -293,9 +299,10 @@ def read_session(
 def published_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The rows of a table at a version.
 
-    The driver sees folder names, as it does for any partitioned table: one per
-    upload where the whole upload is live, else one per partition and block.
-    Uploads commit once and whole, so such a folder holds published files only.
+    The folder of all blocks is read as one partitioned table and kept to the files
+    that the manifest names, so no list of files or folders goes through the driver's
+    code; the upload and attempt of a file are partition columns, which the
+    join prunes by.
     """
     path = path.rstrip("/")
     log = [r for r in _commits(spark, path) if version is None or r["version"] <= version]
@@ -306,30 +313,17 @@ def published_table(spark: SparkSession, path: str, version: int | None = None)
     partition_by = json.loads(last["partition_by"])
     columns = [c for c in row_schema.fieldNames() if c != BLOCK]
 
-    attempt = F.concat(F.lit("upload_id="), "upload_id", F.lit("/v="), F.col("v").cast("string"))
-    live = _live(spark, path, log).select("upload_id", attempt.alias("root"), "dir").distinct()
-    # An upload in one attempt, none of it replaced, is read as one folder.
-    rows = manifest(spark, path, last["version"])
-    attempts = rows.groupBy("upload_id").agg(F.count_distinct("v").alias("attempts"))
-    dead = rows.join(live.select("dir"), "dir", "left_anti")
-    partly = dead.select("upload_id").union(attempts.where("attempts > 1").select("upload_id"))
-    partly = partly.distinct().withColumn("partly", F.lit(True))
-    folders = [
-        r["folder"]
-        for r in live.join(partly, "upload_id", "left")
-        .select(F.when(F.col("partly"), F.col("dir")).otherwise(F.col("root")).alias("folder"))
-        .distinct()
-        .collect()
-    ]
-    if not folders:
+    live = _live(spark, path, log).select(
+        "upload_id", "v", F.concat_ws("/", "dir", "file_name").alias("_file")
+    )
+    if live.isEmpty():
         return spark.createDataFrame([], T.StructType([row_schema[c] for c in columns]))
     stored = T.StructType(
         [f for f in row_schema.fields if f.name not in partition_by and f.name != BLOCK]
+        + [T.StructField("upload_id", T.StringType()), T.StructField("v", T.IntegerType())]
         + [T.StructField(c, row_schema[c].dataType) for c in partition_by]
+        + [T.StructField(BLOCK, T.LongType())]
     )
-    return (
-        spark.read.schema(stored)
-        .option("basePath", f"{path}/_blocks")
-        .parquet(*[f"{path}/_blocks/{folder}" for folder in folders])
-        .select(*columns)
-    )
+    own = F.substring_index(_decoded(F.col("_metadata.file_path")), "/_blocks/", -1)
+    rows = spark.read.schema(stored).parquet(f"{path}/_blocks").withColumn("_file", own)
+    return rows.join(live, ["upload_id", "v", "_file"], "left_semi").select(*columns)

@@ -176,3 +176,44 @@ def test_read_session_counts_from_the_manifest(spark, path, plan):
     assert "_blocks" not in plan(session)
     with pytest.raises(ValueError):
         publish.read_session(spark, path, "q=1")
+
+
+def test_a_refused_commit_leaves_the_first_one_whole(spark, path, monkeypatch):
+    first, second, small = publish.create_upload(path), publish.create_upload(path), numbers(spark, 90, 93)
+    publish.stage_blocks(assign_blocks(numbers(spark, 0, 10), ["id"], 2, hashed=False), first)
+    publish.stage_blocks(assign_blocks(small, ["id"], 2, hashed=False), second)
+    stale = publish._commits(spark, path)
+    publish.commit_upload(spark, first, with_block(small))
+    monkeypatch.setattr(publish, "_commits", lambda *_: stale)
+    with pytest.raises(Exception, match="(?i)already exists"):
+        publish.commit_upload(spark, second, with_block(small))
+    monkeypatch.undo()
+    assert ids(publish.published_table(spark, path)) == list(range(10))
+
+
+def test_rows_without_a_block_key_are_published(spark, path):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (7, "c")], "id long, t string")
+    write(spark, path, df)
+    assert sorted(r["t"] for r in publish.published_table(spark, path).collect()) == ["a", "b", "c"]
+
+
+def test_files_that_no_manifest_names_are_not_read(spark, path):
+    df = numbers(spark, 0, 10)
+    upload = publish.create_upload(path)
+    cut = assign_blocks(df, ["id"], 2, hashed=False)
+    publish.stage_blocks(cut, upload)
+    publish.commit_upload(spark, upload, with_block(df))
+    cut.withColumn(publish.ROW_BYTES, F.lit(1).cast("long")).write.mode("append").partitionBy(BLOCK).parquet(
+        f"{path}/_blocks/upload_id={upload.upload_id}/v=0"
+    )
+    assert ids(publish.published_table(spark, path)) == list(range(10))
+
+
+def test_a_block_sent_again_for_one_partition_leaves_the_others(spark, path):
+    df = numbers(spark, 0, 10).withColumn("p", (F.col("id") % 2).cast("int"))
+    upload = publish.create_upload(path, partition_by=["p"])
+    publish.stage_blocks(assign_blocks(df, ["id"], 1, hashed=False), upload)
+    again = df.where("p = 1").withColumn("id", F.col("id") + 100)
+    publish.stage_blocks(assign_blocks(again, ["id"], 1, hashed=False), upload, attempt=1)
+    publish.commit_upload(spark, upload, with_block(df))
+    assert ids(publish.published_table(spark, path)) == [0, 2, 4, 6, 8, 101, 103, 105, 107, 109]
