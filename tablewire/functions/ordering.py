@@ -12,8 +12,11 @@ level the rows of a key meet in one task as one row per ``SLICE_ROWS`` of them,
 20 million rows for a key of 300 billion.
 
 Positions are integers, unique and nearly dense within a key (arrival numbers,
-turn numbers, line numbers); repeated positions stay correct only up to the order of ties.
-Rows without a key or a position are kept, but belong to no order.
+turn numbers, line numbers). Rows that share a position are ordered by ``then_by``.
+
+One rule for all ordered operators: a row without a key or a position has no place
+in an order and is left out (``placed``); ``unplaced`` gives those rows, so that a
+caller can keep or count them. They never meet in one group.
 """
 
 from __future__ import annotations
@@ -29,12 +32,41 @@ LEVELS = 1
 PART_ROWS = 1024
 
 
+def placed(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows that have a place: key and position are there."""
+    return df.dropna(subset=list(columns))
+
+
+def unplaced(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows that ordered operators leave out."""
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    return df.where(missing)
+
+
 def slice_of(position: Column | str, rows: int = SLICE_ROWS) -> Column:
     """Number of the slice that holds ``position``: floor(position / rows)."""
     pos = F.col(position) if isinstance(position, str) else position
     return F.call_function("div", pos - F.pmod(pos, F.lit(rows)), F.lit(rows)).cast("long")
 
 
+def with_first(
+    df: DataFrame, keys: Sequence[str], position: str, chosen: Column, name: str, rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Add ``name``: the smallest position of a row of the same key where ``chosen`` holds, else null.
+
+    A partial minimum per slice, a window over one row per slice, and a join back by
+    key and slice: rows are neither sorted within a key nor counted.  The slice
+    number is kept as ``SLICE_COLUMN``.
+    """
+    keys = list(keys)
+    sliced = placed(df, *keys, position).withColumn(SLICE_COLUMN, slice_of(position, rows))
+    own = sliced.groupBy(*keys, SLICE_COLUMN).agg(F.min(F.when(chosen, F.col(position))).alias("_first_here"))
+    least = own.select(*keys, SLICE_COLUMN, F.min("_first_here").over(Window.partitionBy(*keys)).alias(name))
+    return sliced.join(least, [*keys, SLICE_COLUMN], "left").select(*df.columns, SLICE_COLUMN, name)
+
+
 def _slice_name(level: int) -> str:
     return f"_slice_{level}"
 
@@ -69,7 +101,7 @@ def running_before(
     keys = list(keys)
     names = list(measures)
     rows_in = {n: f"_in_{n}" for n in names}
-    prepared = df.select("*", *[measures[n].cast("long").alias(rows_in[n]) for n in names])
+    prepared = placed(df, *keys, position).select("*", *[measures[n].cast("long").alias(rows_in[n]) for n in names])
     out = _running_before(prepared, keys, position, list(then_by), rows_in, rows, levels)
     return out.drop(*rows_in.values())
 
@@ -114,6 +146,7 @@ def with_next(
     name: str,
     rows: int = SLICE_ROWS,
     levels: int = LEVELS,
+    then_by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``name``: ``value`` of the next row of the same key, else null.
 
@@ -121,21 +154,21 @@ def with_next(
     """
     keys = list(keys)
     own = f"_own_{name}"
-    prepared = df.withColumn(own, value)
-    return _with_next(prepared, keys, position, own, name, rows, levels).select(*df.columns, name)
+    prepared = placed(df, *keys, position).withColumn(own, value)
+    return _with_next(prepared, keys, position, list(then_by), own, name, rows, levels).select(*df.columns, name)
 
 
-def _with_next(df, keys, position, own, name, rows, level):
+def _with_next(df, keys, position, then_by, own, name, rows, level):
     if level == 0:
-        return df.withColumn(name, F.lead(own).over(Window.partitionBy(*keys).orderBy(position)))
+        return df.withColumn(name, F.lead(own).over(Window.partitionBy(*keys).orderBy(position, *then_by)))
     part = _slice_name(level)
     sliced = df.withColumn(part, slice_of(position, rows))
-    firsts = sliced.groupBy(*keys, part).agg(F.min_by(own, position).alias(own))
+    firsts = sliced.groupBy(*keys, part).agg(F.min_by(own, F.struct(position, *then_by)).alias(own))
     following = f"_following_{level}"
-    base = _with_next(firsts, keys, part, own, following, rows, level - 1).select(
+    base = _with_next(firsts, keys, part, [], own, following, rows, level - 1).select(
         *keys, part, following
     )
-    within = Window.partitionBy(*keys, part).orderBy(position)
+    within = Window.partitionBy(*keys, part).orderBy(position, *then_by)
     return sliced.join(base, [*keys, part], "left").withColumn(
         name, F.coalesce(F.lead(own).over(within), F.col(following))
     )

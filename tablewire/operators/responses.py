@@ -12,6 +12,7 @@ from tablewire.functions.ordering import (
     SLICE_COLUMN,
     SLICE_ROWS,
     parts_within_slices,
+    placed,
     running_before,
     slice_of,
 )
@@ -53,9 +54,12 @@ def sse_data_lines(
     Without ``reassemble`` each chunk is split on its own and ``line_no`` counts
     within the chunk.  With it a line may run over chunk borders; ``line_no``
     counts within the request and ``chunk_seq`` is where the line starts.  Only
-    the pieces of one line meet in a group, never a whole request.
+    the pieces of one line meet in a group, never a whole request.  Chunks that
+    share a number are joined in the order of their text; those without a request
+    or a number are left out.
     """
     pieces = F.split(F.col(body), "\n")
+    df = placed(df, id_col, chunk_seq)
     if reassemble:
         counted = running_before(
             df.select(id_col, chunk_seq, body),
@@ -63,15 +67,16 @@ def sse_data_lines(
             chunk_seq,
             {"_lines_before": F.size(pieces) - 1},
             slice_chunks,
+            then_by=[body],
         )
         exploded = counted.select(
-            id_col, chunk_seq, "_lines_before", F.posexplode(pieces).alias("_at", "_piece")
+            id_col, chunk_seq, body, "_lines_before", F.posexplode(pieces).alias("_at", "_piece")
         )
         lines = exploded.groupBy(
             id_col, (F.col("_lines_before") + F.col("_at")).alias("line_no")
         ).agg(
             F.min(chunk_seq).alias(chunk_seq),
-            F.expr(f"listagg(_piece, '') WITHIN GROUP (ORDER BY `{chunk_seq}`)").alias("_line"),
+            F.expr(f"listagg(_piece, '') WITHIN GROUP (ORDER BY `{chunk_seq}`, `{body}`)").alias("_line"),
         )
     else:
         lines = df.select(id_col, chunk_seq, F.posexplode(pieces).alias("line_no", "_line"))
@@ -162,7 +167,7 @@ def assemble_answers(
     ``compat`` content counts only up to the line that first has reasoning.
     """
     message = F.col("choices")[0]["message"]
-    lines = good.select(
+    lines = placed(good, id_col, chunk_seq, "line_no").select(
         id_col,
         chunk_seq,
         "line_no",
@@ -179,12 +184,12 @@ def assemble_answers(
             chunk_seq,
             {"_reasoned": F.when(F.col("_reasoning") != "", 1).otherwise(0)},
             slice_chunks,
-            then_by=["line_no"],
+            then_by=["line_no", "_content", "_reasoning"],
         ).withColumn("_content", F.when(F.col("_reasoned") == 0, F.col("_content")).otherwise(""))
-    order = f"WITHIN GROUP (ORDER BY `{chunk_seq}`, line_no)"
+    order = f"WITHIN GROUP (ORDER BY `{chunk_seq}`, line_no"
     texts = lines.groupBy(*keys).agg(
-        F.expr(f"listagg(_content, '') {order}").alias("answer"),
-        F.expr(f"listagg(_reasoning, '') {order}").alias("reasoning"),
+        F.expr(f"listagg(_content, '') {order}, _content)").alias("answer"),
+        F.expr(f"listagg(_reasoning, '') {order}, _reasoning)").alias("reasoning"),
     )
     return texts.select(id_col, PART, "answer", "reasoning")
 

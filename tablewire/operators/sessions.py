@@ -14,8 +14,10 @@ from tablewire.functions.ordering import (
     SLICE_COLUMN,
     SLICE_ROWS,
     parts_within_slices,
+    placed,
     running_before,
     slice_of,
+    with_first,
 )
 
 PART = "part"
@@ -67,10 +69,12 @@ def session_commands(
     """``(session, cmd_seq, event_id, type, payload)``.
 
     Per session: one update (0), one append per segment in order (1 .. n), one
-    finish (n + 1).
+    finish (n + 1).  Segments that share a position are ordered by their text;
+    those without a session or a position are left out.
     """
+    df = placed(df, session, seq)
     numbered = running_before(
-        df.select(session, seq, text), [session], seq, {"_before": F.lit(1)}, slice_rows
+        df.select(session, seq, text), [session], seq, {"_before": F.lit(1)}, slice_rows, then_by=[text]
     )
     appends = numbered.select(
         session,
@@ -146,9 +150,12 @@ def is_terminal() -> Column:
     return F.col("event_class").isin("finished", "close", "error")
 
 
-def _with_ends_before(routed: DataFrame, session: str, seq: str, slice_rows: int) -> DataFrame:
-    ends = {"_ended": F.when(is_terminal(), 1).otherwise(0)}
-    return running_before(routed, [session], seq, ends, slice_rows)
+def _with_end(routed: DataFrame, session: str, seq: str, slice_rows: int) -> DataFrame:
+    return with_first(routed, [session], seq, is_terminal(), "_end", slice_rows)
+
+
+def _is_read(seq: str) -> Column:
+    return F.col("_end").isNull() | (F.col(seq) <= F.col("_end"))
 
 
 def until_finished(
@@ -156,18 +163,20 @@ def until_finished(
 ) -> DataFrame:
     """Events up to and including the first one that ends their session.
 
-    Sessions without such an event keep everything.
+    Sessions without such an event keep everything, and events that share the
+    position of the end are kept.  Events without a session or a position are
+    left out.
     """
-    counted = _with_ends_before(routed, session, seq, slice_rows)
-    return counted.where(F.col("_ended") == 0).select(*routed.columns)
+    ended = _with_end(routed, session, seq, slice_rows)
+    return ended.where(_is_read(seq)).select(*routed.columns)
 
 
 def late_events(
     routed: DataFrame, session: str = "session_id", seq: str = "seq", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """``(session, n_late)``: messages after the first one that ends their session."""
-    counted = _with_ends_before(routed, session, seq, slice_rows)
-    return counted.where(F.col("_ended") > 0).groupBy(session).agg(F.count(F.lit(1)).alias("n_late"))
+    ended = _with_end(routed.select(session, seq, "event_class"), session, seq, slice_rows)
+    return ended.where(~_is_read(seq)).groupBy(session).agg(F.count(F.lit(1)).alias("n_late"))
 
 
 def decoded_audio(delta: Column) -> Column:
@@ -186,7 +195,7 @@ def assemble_audio(
 ) -> DataFrame:
     """``(session, part, audio, n_bytes, seconds, n_bad)`` from routed events.
 
-    Deltas are decoded and appended in order.  A part covers ``part_events``
+    Deltas are decoded and appended in order, those of one position by their bytes.  A part covers ``part_events``
     event numbers; the audio of a session is its parts in order.  ``n_bad``
     counts the deltas that are not base64.
     """
@@ -203,21 +212,19 @@ def session_audio(
 ) -> DataFrame:
     """``until_finished`` and ``assemble_audio`` in one, with one exchange of the payload."""
     parts_within_slices(part_events, slice_rows)
-    counted = _with_ends_before(
-        routed.select(session, seq, "event_class", "delta"), session, seq, slice_rows
-    )
-    return _audio_by(counted.where("_ended = 0"), audio, session, seq, part_events, [SLICE_COLUMN])
+    ended = _with_end(routed.select(session, seq, "event_class", "delta"), session, seq, slice_rows)
+    return _audio_by(ended.where(_is_read(seq)), audio, session, seq, part_events, [SLICE_COLUMN])
 
 
 def _audio_by(kept, audio, session, seq, part_events, more_keys):
-    deltas = kept.where(F.col("delta").isNotNull()).select(
+    deltas = placed(kept, session, seq, "delta").select(
         session,
         seq,
         slice_of(seq, part_events).alias(PART),
         *more_keys,
         decoded_audio(F.col("delta")).alias("_audio"),
     )
-    whole = F.expr(f"listagg(_audio, X'') WITHIN GROUP (ORDER BY `{seq}`)")
+    whole = F.expr(f"listagg(_audio, X'') WITHIN GROUP (ORDER BY `{seq}`, _audio)")
     n_bytes = F.coalesce(F.sum(F.octet_length("_audio")), F.lit(0))
     return (
         deltas.groupBy(session, PART, *more_keys)
@@ -256,7 +263,7 @@ def session_lifecycle(
     def first(*classes: str) -> Column:
         return F.min(F.when(F.col("event_class").isin(*classes), F.col(seq)))
 
-    seen = routed.groupBy(session).agg(
+    seen = placed(routed, session, seq).groupBy(session).agg(
         first("created").alias("_created"),
         first("finished").alias("_finished"),
         first("close").alias("_closed"),

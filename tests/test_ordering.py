@@ -1,10 +1,11 @@
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablewire.functions.ordering import running_before, slice_of, with_next
+from tablewire.functions.ordering import running_before, slice_of, unplaced, with_first, with_next
 
 rows_strategy = st.lists(
     st.tuples(st.integers(0, 3), st.integers(-40, 400), st.integers(0, 5)),
@@ -31,10 +32,21 @@ def test_prefix_sums_and_next_rows_match_brute_force(spark, rows, size, levels):
     assert len(sums) == len(following) == len(rows)
 
 
-def test_rows_without_key_or_position_are_kept(spark):
+def test_rows_without_key_or_position_are_set_aside(spark):
     df = spark.createDataFrame([(None, 1, 1), (1, None, 1), (1, 2, 1)], "k int, p long, v int")
-    assert running_before(df, ["k"], "p", {"b": F.col("v")}).count() == 3
-    assert with_next(df, ["k"], "p", F.struct("p"), "n").count() == 3
+    assert running_before(df, ["k"], "p", {"b": F.col("v")}).count() == 1
+    assert with_next(df, ["k"], "p", F.struct("p"), "n").count() == 1
+    assert with_first(df, ["k"], "p", F.lit(True), "f").count() == 1
+    assert {tuple(r) for r in unplaced(df, "k", "p").collect()} == {(None, 1, 1), (1, None, 1)}
+
+
+@pytest.mark.parametrize("rows", [1, 3, 16, 1024])
+def test_first_chosen_position(spark, rows):
+    rng = random.Random(rows)
+    data = [(rng.randrange(4), rng.randrange(60), rng.random() < 0.05) for _ in range(400)]
+    df = spark.createDataFrame(data, "k int, p long, c boolean")
+    for r in with_first(df, ["k"], "p", F.col("c"), "f", rows).collect():
+        assert r["f"] == min((p for k, p, c in data if k == r["k"] and c), default=None)
 
 
 def test_then_by_orders_rows_of_one_position(spark):
