@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from tablewire.functions import strict_json as sj
 from tablewire.functions.once import with_once
-from tablewire.functions.ordering import PART_ROWS, SLICE_ROWS, slice_of, with_next
+from tablewire.functions.ordering import SLICE_ROWS, placed, slice_of, with_next
 from tablewire.operators.quality import first_error
 
 PART = "part"
 NO_INPUT = "json:prompt_and_messages_missing"
+PARTIAL = "json:partial_conversation"
 
 
 def collect_messages(
@@ -23,23 +24,40 @@ def collect_messages(
     role: str = "role",
     text: str = "text",
     tool_call_id: str | None = None,
-    part_turns: int = PART_ROWS,
+    *,
+    part_turns: int,
 ) -> DataFrame:
-    """``(conv, part, messages)``: the ordered messages of each conversation.
+    """``(conv, part, messages, is_first, is_last)``: the ordered messages of each conversation.
 
-    A part holds the turns of one range of ``part_turns`` turn numbers, so a
-    conversation of any length is complete and no row grows without bound;
-    conversations up to that length are one row, part 0.
+    A part holds the turns of one range of ``part_turns`` turn numbers, so no row
+    grows without bound; the caller chooses the length.  A row is a whole conversation
+    where it is both first and last.  Turns that share a number are ordered by their
+    text; turns without a conversation or a number are left out.
     """
+    df = placed(df, conv, turn)
     call = F.lit(None).cast("string") if tool_call_id is None else F.col(tool_call_id)
     message = F.struct(
         F.col(text).alias("content"), F.col(role).alias("role"), call.alias("tool_call_id")
     )
     ordered = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("at"), message.alias("message"))))
-    return (
-        df.groupBy(conv, slice_of(turn, part_turns).alias(PART))
-        .agg(ordered.alias("_ordered"))
-        .select(conv, PART, F.transform("_ordered", lambda m: m["message"]).alias("messages"))
+    part = slice_of(turn, part_turns)
+    parts = df.groupBy(conv, part.alias(PART)).agg(ordered.alias("_ordered"))
+    ends = df.groupBy(conv).agg(F.min(part).alias("_first"), F.max(part).alias("_last"))
+    # The ends come back under the key of the part, not under the conversation,
+    # which keeps the rows of a long conversation spread.
+    edges = ends.select(
+        conv,
+        F.inline(F.array_distinct(F.array(*[
+            F.struct(F.col(at).alias(PART), (F.col(at) == F.col("_first")).alias("_opens"), (F.col(at) == F.col("_last")).alias("_closes"))
+            for at in ("_first", "_last")
+        ]))),
+    )
+    return parts.join(edges, [conv, PART], "left").select(
+        conv,
+        PART,
+        F.transform("_ordered", lambda m: m["message"]).alias("messages"),
+        F.coalesce("_opens", F.lit(False)).alias("is_first"),
+        F.coalesce("_closes", F.lit(False)).alias("is_last"),
     )
 
 
@@ -51,9 +69,13 @@ def history_pairs(
     text: str = "text",
     slice_turns: int = SLICE_ROWS,
 ) -> DataFrame:
-    """``(conv, turn, user, bot)``: each user turn followed by an assistant turn."""
+    """``(conv, turn, user, bot)``: each user turn followed by an assistant turn.
+
+    Turns that share a number are ordered by role and text; turns without a
+    conversation or a number are left out.
+    """
     following = F.struct(F.col(role).alias("role"), F.col(text).alias("text"))
-    paired = with_next(df.select(conv, turn, role, text), [conv], turn, following, "_next", slice_turns)
+    paired = with_next(df.select(conv, turn, role, text), [conv], turn, following, "_next", slice_turns, then_by=[role, text])
     return paired.where((F.col(role) == "user") & (F.col("_next.role") == "assistant")).select(
         conv, turn, F.col(text).alias("user"), F.col("_next.text").alias("bot")
     )
@@ -141,13 +163,19 @@ def build_requests(
     history: Column | None = None,
     messages: Column | None = None,
     params: Column | None = None,
+    whole: Column | None = None,
 ) -> DataFrame:
     """Add ``body`` (JSON text) and ``error``.
 
     Keys are in alphabetical order and absent parts are left out.  A row with
     neither prompt nor messages has no body but an error.  One row is one request:
-    conversations longer than one part go through ``conversation_requests``.
+    with messages, ``whole`` must tell whether the row holds all of them (of the
+    result of ``collect_messages``: ``is_first`` and ``is_last``), and a row that
+    does not has an error instead of a truncated body.  Longer conversations go
+    through ``conversation_requests``.
     """
+    if messages is not None and whole is None:
+        raise ValueError("messages need whole: whether a row holds the whole conversation")
     parts = {"history": history, "messages": messages, "prompt": prompt}
     given = {name: part for name, part in parts.items() if part is not None}
     inputs = (
@@ -164,8 +192,12 @@ def build_requests(
     )
     needed = [part for part in (prompt, messages) if part is not None]
     has_input = reduce(lambda a, b: a | b, [p.isNotNull() for p in needed], F.lit(False))
+    partial = F.lit(False) if messages is None else messages.isNotNull() & ~whole
     return df.withColumns(
-        {"body": F.when(has_input, body), "error": F.when(~has_input, F.lit(NO_INPUT))}
+        {
+            "body": F.when(has_input & ~partial, body),
+            "error": F.when(~has_input, F.lit(NO_INPUT)).when(partial, F.lit(PARTIAL)),
+        }
     )
 
 
@@ -174,44 +206,57 @@ def conversation_requests(
     model: Column,
     conv: str = "conv_id",
     turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    tool_call_id: str | None = None,
     params: Column | None = None,
-    part_turns: int = PART_ROWS,
+    extras: DataFrame | None = None,
+    *,
+    part_turns: int,
 ) -> DataFrame:
     """``(conv, part, body)``: one request per conversation, from its turns.
 
-    ``model`` and ``params`` are constants or columns made of constants.
+    ``model`` and ``params`` are constants or columns made of constants.  What differs
+    from one conversation to the next comes from ``extras``: one row per conversation
+    with any of ``prompt``, ``history`` and ``parameters``, which replace the constants
+    where they are there.
 
     The pieces of a conversation, joined in the order of ``part``, are the JSON
-    text.  A conversation within ``part_turns`` is a single piece; a longer one
-    is spread over pieces, so that no task has to hold all of it.
+    text.  A conversation within ``part_turns`` turn numbers is a single piece; a
+    longer one is spread over pieces, so that no task has to hold all of it.
     """
-    parts = collect_messages(turns, conv, turn, part_turns=part_turns)
-    part = slice_of(turn, part_turns)
-    edges = turns.groupBy(conv).agg(F.min(part).alias("_first"), F.max(part).alias("_last"))
-    single = F.col("_first") == F.col("_last")
-
-    def edge(at: str, opens: Column, closes: Column) -> Column:
-        return F.struct(F.col(at).alias(PART), opens.alias("_opens"), closes.alias("_closes"))
-
-    # The edges come back under the key of the piece, not under the conversation,
-    # which keeps the rows of a long conversation spread.
-    ends = F.array_distinct(F.array(edge("_first", F.lit(True), single), edge("_last", single, F.lit(True))))
-    marked = parts.join(edges.select(conv, F.inline(ends)), [conv, PART], "left")
-    listed = F.to_json("messages")
-    inner = F.substring(listed, F.lit(2), F.length(listed) - 2)
-    rest = F.to_json(
-        F.struct(
-            model.alias("model"), (_no_parameters() if params is None else params).alias("parameters")
-        )
+    parts = collect_messages(turns, conv, turn, role, text, tool_call_id, part_turns=part_turns)
+    fixed = _no_parameters() if params is None else params
+    given: list[str] = []
+    if extras is not None:
+        given = [c for c in ("history", "prompt", "parameters") if c in extras.columns]
+        edges = parts.where("is_first OR is_last").select(conv, PART)
+        own = edges.join(extras.select(conv, *[F.col(c).alias(f"_{c}") for c in given]), conv)
+        parts = parts.join(own, [conv, PART], "left")
+
+    def fields(column: str) -> Column:
+        """The inside of a JSON object with one key, empty where the value is null."""
+        whole = F.to_json(F.struct(F.col(f"_{column}").alias(column)))
+        return F.substring(whole, F.lit(2), F.length(whole) - 2)
+
+    none = F.lit("")
+    history = F.when(F.col("_history").isNotNull(), F.concat(fields("history"), F.lit(","))).otherwise(none) if "history" in given else none
+    prompt = F.when(F.col("_prompt").isNotNull(), F.concat(F.lit(","), fields("prompt"))).otherwise(none) if "prompt" in given else none
+    options = F.to_json(fixed)
+    if "parameters" in given:
+        options = F.coalesce(F.to_json("_parameters"), options)
+    named = F.to_json(F.struct(model.alias("model")))
+    tail = F.concat(
+        F.lit("]"), prompt, F.lit("},"), F.substring(named, F.lit(2), F.length(named) - 2), F.lit(',"parameters":'), options, F.lit("}")
     )
-    tail = F.concat(F.lit("]},"), F.substring(rest, F.lit(2), F.length(rest)))
-    return marked.select(
+    listed = F.to_json("messages")
+    return parts.select(
         conv,
         PART,
         F.concat(
-            F.when(F.col("_opens"), F.lit('{"input":{"messages":[')).otherwise(F.lit(",")),
-            inner,
-            F.when(F.col("_closes"), tail).otherwise(F.lit("")),
+            F.when(F.col("is_first"), F.concat(F.lit('{"input":{'), history, F.lit('"messages":['))).otherwise(F.lit(",")),
+            F.substring(listed, F.lit(2), F.length(listed) - 2),
+            F.when(F.col("is_last"), tail).otherwise(none),
         ).alias("body"),
     )
 
@@ -219,10 +264,7 @@ def conversation_requests(
 # -- tools ----------------------------------------------------------------
 
 
-PART_PARAMS = 1024
-
-
-def build_tool_specs(df: DataFrame, part_params: int = PART_PARAMS) -> DataFrame:
+def build_tool_specs(df: DataFrame, part_params: int) -> DataFrame:
     """``(tool, part, spec)`` from one row per parameter of a tool.
 
     Input columns: ``tool, tool_type, description, param, param_type, prop_type,

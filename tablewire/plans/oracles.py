@@ -130,15 +130,15 @@ ORACLES = {
         SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 4 THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice
         FROM orders""",
     "b4_append": f"""
-        SELECT {_ORDERS_COLUMNS} FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+        SELECT {_ORDERS_COLUMNS} FROM orders""",
     "b4_overwrite": f"""
-        SELECT {_ORDERS_COLUMNS} FROM orders WHERE o_orderstatus = 'O'""",
+        SELECT {_ORDERS_COLUMNS} FROM orders WHERE o_orderkey % 2 = 0""",
     "b4_overwrite_partition": """
         SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN -1 ELSE o_custkey END AS o_custkey,
                o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
         FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice > 200000""",
     "b4_earlier_version": f"""
-        SELECT {_ORDERS_COLUMNS} FROM orders WHERE o_orderstatus = 'F'""",
+        SELECT {_ORDERS_COLUMNS} FROM orders WHERE o_orderkey % 2 = 1""",
     "b5_latest_blocks": """
         SELECT user_id AS upload_id, event_type AS block_id, event_id, ts, value FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id, event_type
@@ -230,6 +230,18 @@ ORACLES = {
                || substr(listed, 2, length(listed) - 2)
                || CASE WHEN part = last THEN ']},"model":"model-a","parameters":{}}' ELSE '' END AS body
         FROM placed""",
+    "d3_requests_with_options": """
+        WITH said AS (
+          SELECT conv_id, min_by(text, turn) AS said, count(*) AS n,
+                 CAST(to_json(list(CASE WHEN role = 'assistant'
+                   THEN to_json({'content': text, 'role': role, 'tool_call_id': 'c' || turn})
+                   ELSE to_json({'content': text, 'role': role}) END ORDER BY turn)) AS VARCHAR) AS listed
+          FROM conversations GROUP BY conv_id)
+        SELECT conv_id, CAST(0 AS BIGINT) AS part,
+               '{"input":{"messages":' || listed
+               || CASE WHEN n > 2 THEN ',"prompt":' || CAST(to_json(said) AS VARCHAR) ELSE '' END
+               || '},"model":"model-a","parameters":{"max_tokens":' || n || ',"top_k":' || length(said) || '}}' AS body
+        FROM said""",
     "d4_parse_parameters": """
         SELECT conv_id, turn,
                CASE WHEN conv_id % 6 = 0 THEN TRUE END AS stream,

@@ -152,21 +152,22 @@ def resent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.published_table(spark, path).select("o_orderkey", "o_totalprice")
 
 
-def _status(orders: DataFrame, status: str) -> DataFrame:
-    return orders.where(F.col("o_orderstatus") == status)
+def _odd(orders: DataFrame, odd: bool) -> DataFrame:
+    """One of two parts that together are all orders."""
+    return orders.where((F.col("o_orderkey") % 2 == 1) == F.lit(odd))
 
 
 def append(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, path = table(spark, sf_dir, "orders"), shared_dir(spark, "append")
-    _write(spark, path, _status(orders, "F"))
-    _write(spark, path, _status(orders, "O"))
+    _write(spark, path, _odd(orders, True))
+    _write(spark, path, _odd(orders, False))
     return publish.published_table(spark, path)
 
 
 def overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, path = table(spark, sf_dir, "orders"), shared_dir(spark, "overwrite")
-    _write(spark, path, _status(orders, "F"))
-    _write(spark, path, _status(orders, "O"), overwrite=True)
+    _write(spark, path, _odd(orders, True))
+    _write(spark, path, _odd(orders, False), overwrite=True)
     return publish.published_table(spark, path)
 
 
@@ -174,7 +175,7 @@ def overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, path = table(spark, sf_dir, "orders"), shared_dir(spark, "partition")
     key = ("o_orderstatus",)
     _write(spark, path, orders, partition_by=key)
-    newer = _status(orders, "F").where("o_totalprice > 200000").withColumn("o_custkey", F.lit(-1).cast("long"))
+    newer = orders.where("o_orderstatus = 'F' AND o_totalprice > 200000").withColumn("o_custkey", F.lit(-1).cast("long"))
     _write(spark, path, newer, True, "o_orderstatus=F", key)
     return publish.published_table(spark, path)
 
@@ -182,8 +183,8 @@ def overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def earlier_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot stays readable after the table was overwritten."""
     orders, path = table(spark, sf_dir, "orders"), shared_dir(spark, "version")
-    _write(spark, path, _status(orders, "F"))
-    _write(spark, path, _status(orders, "O"), overwrite=True)
+    _write(spark, path, _odd(orders, True))
+    _write(spark, path, _odd(orders, False), overwrite=True)
     return publish.published_table(spark, path, version=1)
 
 
@@ -270,6 +271,7 @@ def host_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- D: requests ----------------------------------------------------------
 
 MODEL = "model-a"
+PART_TURNS = 1024
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,7 +285,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt only, messages only, prompt with history, and neither of them."""
-    parts = requests.collect_messages(table(spark, sf_dir, "conversations"))
+    parts = requests.collect_messages(table(spark, sf_dir, "conversations"), part_turns=PART_TURNS)
     kind = F.col("conv_id") % 4
     prompt = F.when(kind.isin(0, 2), F.concat(F.lit("p"), F.col("conv_id").cast("string")))
     said = F.transform(
@@ -296,6 +298,7 @@ def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 2, said),
         F.when(kind == 1, F.col("messages")),
         F.struct(F.lit(True).alias("stream"), F.lit(0.7).alias("temperature")),
+        whole=F.col("is_first") & F.col("is_last"),
     )
     return bodies.select("conv_id", "part", "body", "error")
 
@@ -306,6 +309,20 @@ def request_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def requests_with_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Options are parsed per conversation and go into its request, with a prompt and ids of tool calls."""
+    turns = table(spark, sf_dir, "conversations")
+    first = turns.groupBy("conv_id").agg(F.min_by("text", "turn").alias("said"), F.count("*").alias("n"))
+    texts = first.select(
+        "conv_id",
+        F.when(F.col("n") > 2, F.col("said")).alias("prompt"),
+        F.concat(F.lit('{"top_k":'), F.length("said").cast("string"), F.lit(',"max_tokens":'), F.col("n").cast("string"), F.lit("}")).alias("params"),
+    )
+    parsed = requests.parse_parameters(texts).select("conv_id", "prompt", requests.parameters_struct().alias("parameters"))
+    called = turns.withColumn("call", F.when(F.col("role") == "assistant", F.concat(F.lit("c"), F.col("turn").cast("string"))))
+    return requests.conversation_requests(called, F.lit(MODEL), tool_call_id="call", extras=parsed, part_turns=PART_TURNS)
+
+
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = requests.parse_parameters(derived.option_texts(table(spark, sf_dir, "conversations")))
     return parsed.select(
@@ -319,7 +336,7 @@ def options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return requests.build_tool_specs(derived.tool_params(table(spark, sf_dir, "part")))
+    return requests.build_tool_specs(derived.tool_params(table(spark, sf_dir, "part")), part_params=1024)
 
 
 # -- E: responses ---------------------------------------------------------
@@ -530,6 +547,7 @@ QUERIES = {
     "d2_history_pairs": history,
     "d3_build_requests": request_bodies,
     "d3_conversation_requests": request_pieces,
+    "d3_requests_with_options": requests_with_options,
     "d4_parse_parameters": options,
     "d5_build_tool_specs": tools,
     "e1_sse_data_lines": data_lines,

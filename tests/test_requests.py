@@ -46,8 +46,8 @@ def test_body_keys_are_alphabetical_and_absent_parts_left_out(spark):
 
 def test_tool_call_id_only_where_given(spark):
     df = spark.createDataFrame([(1, 0, "user", "q", None), (1, 1, "tool", "r", "c1")], "conv_id long, turn long, role string, text string, call string")
-    parts = requests.collect_messages(df, tool_call_id="call")
-    text = requests.build_requests(parts, F.lit("m"), messages=F.col("messages")).first()["body"]
+    parts = requests.collect_messages(df, tool_call_id="call", part_turns=1024)
+    text = requests.build_requests(parts, F.lit("m"), messages=F.col("messages"), whole=F.col("is_first") & F.col("is_last")).first()["body"]
     assert json.loads(text)["input"]["messages"] == [
         {"content": "q", "role": "user"}, {"content": "r", "role": "tool", "tool_call_id": "c1"},
     ]
@@ -121,7 +121,7 @@ def test_tools_last_parameter_wins(spark):
         ],
         TOOL,
     )
-    specs = {r["tool"]: json.loads(r["spec"]) for r in requests.build_tool_specs(df).collect()}
+    specs = {r["tool"]: json.loads(r["spec"]) for r in requests.build_tool_specs(df, part_params=1024).collect()}
     assert specs["t"]["function"] == {
         "description": "d2", "name": "t",
         "parameters": {
