@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tablewire.functions.ordering import PART_ROWS, running_before, slice_of
+from tablewire.functions.ordering import PART_ROWS, placed, running_before, slice_of
 from tablewire.operators.sessions import (
     PART,
     PCM_24000HZ_MONO_16BIT,
@@ -165,6 +165,8 @@ def stream_sessions(
     every event is kept; such a query waits for its timers, so it runs with a
     periodic trigger and not until "available now" is done.
     """
+    # Events without a session, a number or a time have no place and would stop the state for good.
+    events = placed(events, "session_id", "seq", "ts")
     timed = events if watermark is None else events.withWatermark("ts", watermark)
     routed = route_events(timed, "payload", frame).select(
         "session_id",
@@ -188,8 +190,8 @@ def on_time(slices: DataFrame) -> DataFrame:
 
 
 def lifecycle(slices: DataFrame) -> DataFrame:
-    """The rows of ``session_lifecycle``, from slices."""
-    seen = on_time(slices).groupBy("session_id").agg(
+    """The rows of ``session_lifecycle``, from slices; events that came after their slice was given out count too."""
+    seen = slices.groupBy("session_id").agg(
         F.min("created_seq").alias("_created"),
         F.min("finished_seq").alias("_finished"),
         F.min("closed_seq").alias("_closed"),
