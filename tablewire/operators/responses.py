@@ -126,11 +126,62 @@ def _is_usage(doc: Column) -> Column:
     return good
 
 
+def _object(*fields: str) -> str:
+    return "OBJECT<" + ", ".join(fields) + ">"
+
+
+# The shape of a plain response as ``schema_of_variant`` writes it, fields in alphabetical order.
+_CALL_SHAPE = _object(
+    "function: " + _object(r"arguments: OBJECT<(\w+: STRING(, )?)*>", "name: STRING"), "id: STRING", "index: BIGINT", "type: STRING"
+)
+_MESSAGE_SHAPE = (
+    "OBJECT<content: STRING(, reasoning_content: (STRING|VOID))?, role: STRING"
+    f"(, tool_calls: (VOID|ARRAY<(VOID|{_CALL_SHAPE})>))?>"
+)
+_DETAILS_SHAPE = "OBJECT<((cached|reasoning)_tokens: (BIGINT|VOID)(, )?)*>"
+_SHAPE = "^" + _object(
+    "output: " + _object("choices: ARRAY<" + _object("finish_reason: STRING", "index: BIGINT", f"message: {_MESSAGE_SHAPE}") + ">"),
+    "request_id: STRING",
+    "usage: " + _object(
+        "input_tokens: BIGINT", "output_tokens: BIGINT", f"output_tokens_details: {_DETAILS_SHAPE}",
+        f"prompt_tokens_details: {_DETAILS_SHAPE}", "total_tokens: BIGINT",
+    ),
+) + "$"
+
+
+def _is_plain(doc: Column, choices: Column, usage: Column) -> Column:
+    """True for responses whose shape alone shows that every check holds.
+
+    The shape of an array is that of all its elements together, so a type that
+    does not fit shows in it, and a field that one element lacks is null in the
+    typed value.
+    """
+
+    def call(c: Column) -> Column:
+        function = c["function"]
+        return (
+            c["id"].isNotNull() & c["index"].isNotNull() & c["type"].isNotNull() & function["name"].isNotNull()
+            & _all(F.map_values(function["arguments"]), lambda v: v.isNotNull())
+        )
+
+    def choice(c: Column) -> Column:
+        message = c["message"]
+        return (
+            c["finish_reason"].isNotNull() & c["index"].isNotNull() & message["content"].isNotNull()
+            & message["role"].isNotNull() & (message["tool_calls"].isNull() | _all(message["tool_calls"], call))
+        )
+
+    counts = [usage[name].isNotNull() for name in ("input_tokens", "output_tokens", "total_tokens")]
+    shaped = F.schema_of_variant(doc).rlike(_SHAPE) & (F.size(choices) > 0)
+    return F.coalesce(shaped & counts[0] & counts[1] & counts[2] & F.forall(choices, choice), F.lit(False))
+
+
 def parse_responses(df: DataFrame, json_col: str = "json") -> DataFrame:
     """Add ``response_id, choices, usage`` and ``error``; ``split_errors`` parts them.
 
     The check is strict: a missing required field, a null there or a value of
-    another JSON type is an error, named ``json:<part>``.
+    another JSON type is an error, named ``json:<part>``.  The checks, which read
+    each field with its type, run only where the shape of the text leaves a doubt.
     """
     doc = F.col("_doc")
     choices = sj.elements(doc, "$.output.choices")
@@ -141,13 +192,20 @@ def parse_responses(df: DataFrame, json_col: str = "json") -> DataFrame:
         "json:choice": F.forall(choices, _is_choice),
         "json:usage": _is_usage(doc),
     }
-    checked = with_once(with_once(df, "_doc", sj.parse(F.col(json_col))), "error", first_error(checks))
+    parsed = with_once(df, "_doc", sj.parse(F.col(json_col)))
+    typed = F.struct(
+        F.try_variant_get(doc, "$.output.choices", CHOICES_TYPE).alias("choices"),
+        F.try_variant_get(doc, "$.usage", USAGE_TYPE).alias("usage"),
+    )
+    read = with_once(parsed, "_typed", typed)
+    plain = _is_plain(doc, F.col("_typed.choices"), F.col("_typed.usage"))
+    checked = with_once(read, "error", F.when(~plain, first_error(checks)))
     good = F.col("error").isNull()
     return checked.select(
         *df.columns,
         F.try_variant_get(doc, "$.request_id", "string").alias("response_id"),
-        F.when(good, F.try_variant_get(doc, "$.output.choices", CHOICES_TYPE)).alias("choices"),
-        F.when(good, F.try_variant_get(doc, "$.usage", USAGE_TYPE)).alias("usage"),
+        F.when(good, F.col("_typed.choices")).alias("choices"),
+        F.when(good, F.col("_typed.usage")).alias("usage"),
         "error",
     )
 
