@@ -134,4 +134,26 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, CASE WHEN coalesce(shared_words, 0) > 0.9::DOUBLE * all_words THEN text
             ELSE coalesce(rest, '') END AS text
         FROM split JOIN docs USING (doc_id)""",
+    "op6_circulant_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)),
+        reach AS (
+            SELECT doc_id AS node, doc_id AS other FROM documents
+            UNION SELECT node, b FROM reach JOIN links ON other = a),
+        parts AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents JOIN parts ON node = doc_id LEFT JOIN sizes USING (doc_id)""",
 }
