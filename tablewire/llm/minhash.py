@@ -11,8 +11,9 @@ First every node of a bucket is compared with the smallest node there (a star:
 as many pairs as nodes). Where the signatures agree enough, the exact sets are
 compared, and confirmed links form components. A pair of a bucket that this left
 undecided has its nodes in different components: those outside of the centre's
-component are compared with the whole bucket, in tiles of bounded size, by
-signature; only pairs that agree enough come out and are confirmed exactly.
+component are compared with the whole bucket in tiles of bounded size, by signature
+and then on their sets. A pair is looked at in the first bucket that it shares, a
+tile joins components as it goes, and only links that join two of them come out.
 
 What is probable rather than certain is that a pair at the threshold shares a
 bucket: with 25 bands of 5 at a similarity of 0.85 all but 4 in ten million do. The
@@ -157,8 +158,7 @@ def near_duplicates(
     sets = settle(_sets_of(docs, settle(wanted, "wanted"), words, text, key), "sets")
     links = settle(_confirmed(close, sets, percent), "links")
     parts = connected_components(links)
-    undecided = settle(_undecided(crowded, parts, signatures), "undecided")
-    more = settle(_confirmed(undecided, sets, percent), "links")
+    more = settle(_undecided(crowded, parts, nodes, sets, percent), "links")
     if not more.isEmpty():
         parts = connected_components(links.unionByName(more))
     named = nodes.select("digest", "node").join(parts, "node", "left")
@@ -212,6 +212,13 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, text: str, key: str
     return texts.select("node", "text").mapInArrow(build, SETS)
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose exact sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
@@ -221,21 +228,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_type(out)
         for batch in batches:
-            rows = []
-            for a, b, x, y in zip(*(batch.column(c) for c in ("a", "b", "left", "right")), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    rows.append((a.as_py(), b.as_py()))
+            rows = [
+                (a.as_py(), b.as_py())
+                for a, b, x, y in zip(*(batch.column(c) for c in ("a", "b", "left", "right")), strict=True)
+                if _similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+            ]
             yield arrow_batch(rows, schema)
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(confirm, out).distinct()
 
 
-def _undecided(members: DataFrame, parts: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Agreeing pairs that share a bucket but no component, the centre's own pairs left out."""
+def _undecided(members: DataFrame, parts: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes that share a bucket but no component yet, the centre's own pairs left out."""
     of_node = parts.select("node", F.col("component").alias("own"))
     of_center = parts.select(F.col("node").alias("center"), F.col("component").alias("main"))
     split = settle(
@@ -249,23 +253,25 @@ def _undecided(members: DataFrame, parts: DataFrame, signatures: DataFrame) -> D
         split.groupBy("band").agg(F.count("*").alias("n"), F.sum(outer).alias("n_out")).where("n > 1 AND n_out > 0"),
         "tiles",
     )
-    sized = split.join(sizes, "band").join(signatures, "node")
+    sized = split.join(sizes, "band")
     tiles_out = F.ceil(F.col("n_out") / TILE_OUT).cast("int")
     tiles_all = F.ceil(F.col("n") / TILE_ALL).cast("int")
     spread = F.xxhash64("node", "band")
     rows = sized.select(
-        "band", "node", "own", "signature", (outer > 0).alias("out"),
+        "band", "node", "own", (outer > 0).alias("out"),
         F.pmod(spread, tiles_out).cast("int").alias("i"), F.pmod(spread, tiles_all).cast("int").alias("j"),
         tiles_out.alias("tiles_out"), tiles_all.alias("tiles_all"),
     )
     whole = rows.select(
-        "band", F.explode(F.expr("sequence(0, tiles_out - 1)")).alias("i"), "j", "node", "own", "signature", F.lit(1).alias("side")
+        "band", F.explode(F.expr("sequence(0, tiles_out - 1)")).alias("i"), "j", "node", "own", F.lit(1).alias("side")
     )
     outside = rows.where("out").select(
-        "band", "i", F.explode(F.expr("sequence(0, tiles_all - 1)")).alias("j"), "node", "own", "signature", F.lit(0).alias("side")
+        "band", "i", F.explode(F.expr("sequence(0, tiles_all - 1)")).alias("j"), "node", "own", F.lit(0).alias("side")
     )
     tiles = (
         outside.unionByName(whole)
+        .join(nodes.select("node", "signature", "bands"), "node")
+        .join(sets, "node")
         .repartition(tasks_for(members.sparkSession), "band", "i", "j")
         .sortWithinPartitions("band", "i", "j", "side")
     )
@@ -281,11 +287,11 @@ def _undecided(members: DataFrame, parts: DataFrame, signatures: DataFrame) -> D
             ends = _group_ends(table)
             for a, b in zip([0, *ends[:-1]], ends, strict=False):
                 if b < table.num_rows:
-                    yield _tile_pairs(table.slice(a, b - a), schema)
+                    yield _tile_links(table.slice(a, b - a), percent, schema)
             last = ends[-2] if len(ends) > 1 else 0
             rest = table.slice(last)
         if rest is not None:
-            yield _tile_pairs(rest, schema)
+            yield _tile_links(rest, percent, schema)
 
     return tiles.mapInArrow(compare, out).distinct()
 
@@ -299,14 +305,20 @@ def _group_ends(table: pa.RecordBatch) -> list[int]:
     return [*(np.flatnonzero(change) + 1).tolist(), table.num_rows]
 
 
-def _tile_pairs(tile: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
-    side = tile.column("side").to_numpy()
-    node, own = (tile.column(c).to_numpy() for c in ("node", "own"))
+def _tile_links(tile: pa.RecordBatch, percent: int, schema: pa.Schema) -> pa.RecordBatch:
+    """Links that join components, from the nodes outside (first) to all nodes of the tile."""
+    n_out = int((tile.column("side").to_numpy() == 0).sum())
+    node, root = tile.column("node").to_numpy(), tile.column("own").to_numpy().copy()
     bits = _rows(tile.column("signature"))
-    n_out = int((side == 0).sum())
-    found = []
-    for k in range(n_out):  # one node outside against all of the tile
-        other = np.flatnonzero(own[n_out:] != own[k]) + n_out
-        hit = other[(bits[other] == bits[k]).sum(1) >= AGREE]
-        found += [(max(node[k], x), min(node[k], x)) for x in node[hit].tolist()]
-    return arrow_batch([(int(a), int(b)) for a, b in set(found)], schema)
+    bands = tile.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+    here = bands[0].tolist().index(tile.column("band")[0].as_py())
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in tile.column("shingles")]
+    links = []
+    for k in range(n_out):
+        other = np.flatnonzero(root[n_out:] != root[k]) + n_out
+        other = other[(bits[other] == bits[k]).sum(1) >= AGREE]
+        for m in other[(bands[other] == bands[k]).argmax(1) == here].tolist():
+            if root[m] != root[k] and _similar(sets[k], sets[m], percent):
+                links.append((int(max(node[k], node[m])), int(min(node[k], node[m]))))
+                root[root == root[m]] = root[k]
+    return arrow_batch(links, schema)
