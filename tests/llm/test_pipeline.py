@@ -1,0 +1,75 @@
+import random
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+from test_lines import expected as cleaned
+from test_minhash import expected as components
+
+import __spark_entry__ as entry
+from tablewire.llm import queries
+
+
+def test_registered():
+    names = entry.queries()
+    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert names["pipeline"] is corpus_pipeline.run
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_duplicates", "packing"]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory, docs_of, odd_rows):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(200):
+        words = [f"word{rng.randrange(900)}" for _ in range(rng.randint(30, 90))]
+        if i % 5 == 0:
+            for _ in range(4):
+                words[rng.randrange(len(words))] = "scoundrel"
+        text = " ".join(words) + (f"\nthis line stands on very many sites\n{' '.join(words[:12])} again" if i % 2 else "")
+        rows.append((1000 + i, text, f"site{i % 15}"))
+        labels.append((1000 + i, int(i % 5 == 0)))
+    rows += [(2000 + i, rows[i][1] + " extra", "copies") for i in range(60)] + odd_rows
+    path = str(tmp_path_factory.mktemp("tables"))
+    docs_of(rows).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_each_stage_on_its_own_input(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        if name != "packing":
+            assert out.dtypes == docs.dtypes
+        out.write.parquet(f"{tmp_path}/{name}")
+        seen[name] = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        seen[name + " out"] = docs.collect()
+    rows = [(r.doc_id, r.text, r.source) for r in seen["toxicity out"]]
+    assert sorted(rows, key=repr) == sorted((r for r in seen["toxicity"] if "scoundrel" not in (r[1] or "")), key=repr)
+    texts = [(r.doc_id, r.text) for r in seen["line_dedup out"]]
+    assert sorted(texts, key=repr) == cleaned(seen["line_dedup"], 8, 0.9, 4)
+    group = components([r for r in seen["near_duplicates"] if r[0] is not None])
+    kept = sorted(((r.doc_id, r.text) for r in seen["near_duplicates out"]), key=repr)
+    assert kept == sorted(((k, t) for k, t, _ in seen["near_duplicates"] if k is None or group[k][1] == k), key=repr)
+    packed = seen["packing out"]
+    assert {r.doc_id for r in packed} == {k for k, _, _ in seen["packing"]}
+    assert sum(r.start == 0 for r in packed) == len(seen["packing"])
+
+
+def test_whole_run(spark, folder):
+    rows = corpus_pipeline.run(spark, folder).collect()
+    load = {}
+    for r in rows:
+        load[r.sequence_id] = load.get(r.sequence_id, 0) + r.length
+    assert max(load.values()) <= 2048
+
+
+def test_queries_with_sql(spark, sf_dir):
+    from parity import compare, connect
+
+    for name, sql in queries.ORACLES.items():
+        difference, _ = compare(spark, connect(sf_dir), queries.QUERIES[name], sql, sf_dir)
+        assert difference is None, name
