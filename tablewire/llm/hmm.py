@@ -48,6 +48,8 @@ ROUNDS = 8
 #: Tokens of a training segment, and of a chunk of a very long text in scoring.
 SEGMENT = 512
 LONG_TEXT = 8_192
+#: Tokens that are scored together.
+TOKENS = 1 << 21
 
 COUNTED = "word long, shared int, n long"
 CODED = (
@@ -77,7 +79,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         schema = arrow_type(COUNTED)
         seen = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
-            for part in bounded_slices(batch, "text", 8 << 20):
+            for part in bounded_slices(batch, "text", 4 << 20):
                 h, shared, _ = _tokens(part.column("text"))
                 seen = _summed(np.concatenate([seen[0], h]), np.concatenate([seen[1], shared]), np.concatenate([seen[2], np.ones(len(h), np.int64)]))
                 if len(seen[0]) > 1 << 20:
@@ -117,9 +119,24 @@ class Vocabulary:
         return out
 
 
+def _least_count(counts: DataFrame, most: int) -> int:
+    """A count that at most ``most`` words reach, from a histogram with 16 steps per doubling."""
+    step = F.floor(F.log2("n") * 16)
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n"), F.max("n").alias("top")).collect()
+    least = 1 + max((r["top"] for r in steps), default=0)
+    for row in sorted(steps, key=lambda r: -r["step"]):  # 1,024 rows at most
+        most -= row["words"]
+        if most < 0:
+            break
+        least = row["n"]
+    return least
+
+
 def vocabulary(counts: DataFrame, n_texts: int) -> Vocabulary:
     """From a settled table of word counts and the number of training texts."""
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD).select("word", "shared", "n").toPandas()  # HEAD rows at most
+    least = _least_count(counts, HEAD)
+    head = counts.where(F.col("n") >= least).select("word", "shared", "n").toPandas()  # HEAD rows at most
+    head = head.sort_values(["n", "word"], ascending=[False, True])
     sums = counts.groupBy("shared").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()  # SHARED rows
     words = head["word"].to_numpy(np.int64).view(np.uint64)
     n, shared = head["n"].to_numpy(np.int64), head["shared"].to_numpy(np.int64)
@@ -239,9 +256,9 @@ class _Rows:
         self.at = np.concatenate([[0], np.cumsum(self.running)])
         joined = np.concatenate(sequences) if len(sequences) else np.zeros(0, np.uint16)
         begin = (np.cumsum(length) - length)[self.order]
-        step = np.repeat(np.arange(steps), self.running)
-        row = np.arange(self.at[-1]) - np.repeat(self.at[:-1], self.running)
-        self.symbols = joined[begin[row] + step]
+        self.symbols = np.empty(self.at[-1], np.uint16)
+        for t, n in enumerate(self.running.tolist()):
+            self.symbols[self.at[t] : self.at[t] + n] = joined[begin[:n] + t]
 
 
 def forward(rows: _Rows, begin: np.ndarray, moves: np.ndarray, emit: np.ndarray, keep: bool) -> tuple:
@@ -302,7 +319,7 @@ def train(table: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
                         waiting.append(whole[at : at + SEGMENT])
                         first.append(at == 0)
                         size += len(waiting[-1])
-                        if size > 1 << 19:
+                        if size > 1 << 18:
                             found = expected_counts(_Rows(waiting), np.array(first), model)
                             total = found if total is None else total + found
                             waiting, first, size = [], [], 0
@@ -330,11 +347,16 @@ def train(table: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
 
 def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     """Natural logarithm of each whole sequence's probability."""
-    out, short = np.zeros(len(sequences)), [i for i, s in enumerate(sequences) if len(s) <= LONG_TEXT]
-    if short:
-        rows = _Rows([sequences[i] for i in short])
-        _, log = forward(rows, np.tile(model.start, (len(short), 1)), model.moves, model.emit, False)
-        out[np.array(short)[rows.order]] = log
+    out, short, size = np.zeros(len(sequences)), [], 0
+    for i, sequence in enumerate([*sequences, None]):
+        if short and (sequence is None or size > TOKENS):
+            rows = _Rows([sequences[k] for k in short])
+            _, log = forward(rows, np.tile(model.start, (len(short), 1)), model.moves, model.emit, False)
+            out[np.array(short)[rows.order]] = log
+            short, size = [], 0
+        if sequence is not None and len(sequence) <= LONG_TEXT:
+            short.append(i)
+            size += len(sequence)
     for i, sequence in enumerate(sequences):
         if len(sequence) > LONG_TEXT:
             out[i] = _long_likelihood(sequence, model)
