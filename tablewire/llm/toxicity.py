@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -87,7 +88,7 @@ def _folding() -> dict[int, str | None]:
     return table
 
 
-SEEN = "label int, word string, prior string, later string, n long"
+SEEN = "word string, place int, toxic long, clean long"
 _FOLD = _folding()
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -156,14 +157,15 @@ def learn(
         chosen = part if chosen is None else chosen.unionByName(part)
     # at most 2 x max_rows pairs of numbers
     chosen = F.broadcast(settle(chosen.groupBy("key").agg(F.max("label").alias("label")), "chosen"))
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL").join(chosen, "key")
-    rows = settle(rows.select("label", "text").distinct(), "labelled")
-    seen = rows.mapInArrow(_surroundings, SEEN).groupBy("label", "word", "prior", "later").agg(F.sum("n").alias("n"))
-    seen = settle(seen, "surroundings")
-    toxic, clean = F.col("label") == 1, F.col("label") == 0
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL")
+    # of equal texts one is learned from; hashes travel, texts stay where they are read
+    distinct = texts.join(chosen, "key").groupBy("label", F.xxhash64("text").alias("h")).agg(F.min("key").alias("key"))
+    distinct = F.broadcast(settle(distinct.select("key", "label"), "distinct"))
+    rows = settle(texts.join(distinct, "key").select("label", "text"), "labelled")
+    seen = rows.mapInArrow(_surroundings, SEEN).groupBy("word", "place").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     per_word = settle(
         seen.groupBy("word").agg(
-            F.count_if(toxic).alias("toxic"), F.count_if(clean).alias("clean"), F.sum(F.when(toxic, F.col("n"))).alias("uses")
+            F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("clean") > 0).alias("clean"), F.sum("toxic").alias("uses")
         ),
         "words",
     )
@@ -194,22 +196,27 @@ def learn(
             beginnings.update(entry[:n] for n in range(1, len(entry) + 1))
     if not words:
         return Lexicon()
-    exceptions = _exceptions(seen, per_word, words)
+    exceptions = _exceptions(rows, Lexicon(words))
     plain = Lexicon(words, exceptions)
     measured = rows.mapInArrow(_measure(plain), "label int, weight double, size long").toPandas()  # 2 x max_rows at most
     return Lexicon(words, exceptions, _fit(measured))
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often a word stands between two others, summed per slice."""
+    """How often a word stands in a place, which is a hash of the words around it, summed per slice."""
     schema = arrow_type(SEEN)
     for batch in batches:
         for part in bounded_slices(batch, "text"):
-            found: Counter = Counter()
+            found = Counter(), Counter()
             for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist(), strict=True):
                 words = _WORDS.findall(fold(text))
-                found.update(zip([label] * len(words), words, ["", *words], [*words[1:], ""], strict=False))
-            yield arrow_batch([(*place, n) for place, n in found.items()], schema)
+                found[label].update(zip(words, map(_place, ["", *words], [*words[1:], ""]), strict=False))
+            clean, toxic = found
+            yield arrow_batch([(*at, toxic[at], clean[at]) for at in toxic.keys() | clean.keys()], schema)
+
+
+def _place(prior: str, later: str) -> int:
+    return zlib.crc32(f"{prior} {later}".encode()) - (1 << 31)
 
 
 def _entries(word: str) -> Column:
@@ -221,15 +228,28 @@ def _entries(word: str) -> Column:
     return F.when(length >= low, F.concat(whole, stems)).otherwise(whole)
 
 
-def _exceptions(seen: DataFrame, per_word: DataFrame, words: dict[str, float]) -> frozenset[str]:
+def _exceptions(rows: DataFrame, lexicon: Lexicon) -> frozenset[str]:
     """Phrases of two words with an entry that clean texts hold and toxic ones hardly do."""
-    listed = F.broadcast(seen.sparkSession.createDataFrame([(w,) for w in words], "entry string"))  # MAX_TERMS at most
-    forms = per_word.select("word", F.explode(_entries("word")).alias("entry")).join(listed, "entry").select("word").distinct()
-    near = seen.join(forms, "word")
-    pairs = near.where("prior <> ''").select("label", F.concat_ws(" ", "prior", "word").alias("phrase"), F.col("later").alias("side"))
-    pairs = pairs.unionByName(
-        near.where("later <> ''").select("label", F.concat_ws(" ", "word", "later").alias("phrase"), F.col("prior").alias("side"))
-    )
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, automaton = arrow_type("label int, phrase string, side string"), lexicon.automaton()
+        for batch in batches:
+            for part in bounded_slices(batch, "text"):
+                found = set()
+                for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    plain = f" {' '.join(_WORDS.findall(fold(text)))} "
+                    for end, (length, _) in automaton.iter(plain):
+                        start = end - length + 2
+                        stop = plain.index(" ", start)
+                        prior = plain[plain.rfind(" ", 0, start - 1) + 1 : start - 1]
+                        later = plain[stop + 1 : max(plain.find(" ", stop + 1), stop + 1)]
+                        if prior:
+                            found.add((label, f"{prior} {plain[start:stop]}", later))
+                        if later:
+                            found.add((label, f"{plain[start:stop]} {later}", prior))
+                yield arrow_batch(list(found), schema)
+
+    pairs = rows.mapInArrow(near, "label int, phrase string, side string").distinct()
     clean, toxic = F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)
     found = pairs.groupBy("phrase").agg(clean.alias("clean"), toxic.alias("toxic"))
     found = found.where(f"clean >= {MIN_CLEAN} AND clean >= 4 * toxic").orderBy(F.desc("clean"), "phrase").limit(MAX_TERMS)
