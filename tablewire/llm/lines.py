@@ -93,7 +93,7 @@ def remove_boilerplate(
     site: str = "source",
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text column."""
-    lines = line_table(docs, text, key, site, min_words)
+    lines = settle(line_table(docs, text, key, site, min_words), "lines")
     shared = settle(boilerplate_lines(lines, min_sites).select("line", "first"), "boilerplate")
     again = F.struct("key", "place") != F.col("first")
     per_doc = (
