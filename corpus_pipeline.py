@@ -7,8 +7,8 @@ columns of ``docs`` as they came, whatever extra ones there are.
 * toxicity drops the documents that score 0.5 or more; the lexicon is learned from
   ``labels`` and the texts at hand. Documents without a match stay.
 * line_dedup takes cross-site boilerplate lines out of texts; no row goes.
-* near_duplicates keeps the smallest id of every group of near-duplicates; documents
-  without words and rows without an id are kept.
+* near_duplicates keeps the smallest id of every group of near-duplicates, linked from a
+  similarity of 0.80 on; documents without words and rows without an id are kept.
 * packing gives the pieces of all texts with their places in sequences.
 
 Null or empty texts, repeated rows and empty tables follow the operators' rules: rows
@@ -36,7 +36,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs, words=5, percent=85)
+    found = minhash.near_duplicates(docs, words=5, percent=80)
     gone = settle(found.where(~F.col("kept") & F.col("key").isNotNull()).select(F.col("key").alias("_gone")).distinct(), "gone")
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

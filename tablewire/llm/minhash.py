@@ -16,9 +16,10 @@ and then on their sets. A pair is looked at in the first bucket that it shares,
 tile joins components as it goes, and only links that join two of them come out.
 
 What is probable rather than certain is that a pair at the threshold shares a
-bucket: with 25 bands of 5 at a similarity of 0.85 all but 4 in ten million do. The
-signature test keeps pairs from 84 of 125 equal coordinates on, more than five
-standard deviations below the mean at the threshold.
+bucket: bands are as many as it takes for all but 5 in ten million to do so, 25 of 5
+at a similarity of 0.85 and 37 at 0.80. The signature test keeps pairs from 5.5
+standard deviations below the mean at the threshold on: 84 of 125 equal coordinates
+at 0.85, 118 of 185 at 0.80.
 
 Defined cases: a text without words has an empty set, is linked with nothing and
 is kept; rows sharing an id count as one document; rows whose id is null take
@@ -29,7 +30,9 @@ go to the smaller id; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +44,16 @@ from tablewire.llm.shared import (
     arrow_batch, arrow_type, bounded_slices, mix, settle, tasks_for, text_bytes, word_hashes, word_spans, worker_cache,
 )
 
-BANDS, ROWS = 25, 5
-SIZE = BANDS * ROWS
+#: Coordinates of a band.
+ROWS = 5
+#: Chance at most that a pair at the threshold shares no bucket.
+MISS = 5e-7
+#: Standard deviations below the mean at the threshold that the signature test lets pass.
+DEVIATIONS = 5.5
+#: Percentages that bands and signature test are derived for; above the last one they are those of the last one.
+PERCENTS = (80, 85)
 #: Places of the ring.
 RING = 1 << 18
-#: Equal coordinates from which on a pair is confirmed on its sets.
-AGREE = 84
 #: Nodes outside of the centre's component, and nodes of the bucket, in one tile.
 TILE_OUT, TILE_ALL = 512, 1024
 
@@ -55,6 +62,24 @@ SETS = "node long, shingles binary"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Layout(NamedTuple):
+    """Bands, coordinates of a signature, and equal ones from which on a pair is confirmed on its sets."""
+
+    bands: int
+    size: int
+    agree: int
+
+
+def layout_of(percent: int) -> Layout:
+    low, high = PERCENTS
+    if percent < low:
+        raise ValueError(f"bands and signature test are derived for {low} percent or more")
+    p = min(percent, high) / 100
+    bands = math.ceil(math.log(MISS) / math.log1p(-(p**ROWS)))
+    size = bands * ROWS
+    return Layout(bands, size, math.floor(size * p - DEVIATIONS * math.sqrt(size * p * (1 - p))))
+
+
 def shingle_sets(texts: pa.Array, words: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data, offsets = text_bytes(texts)
@@ -78,19 +103,19 @@ def shingle_sets(texts: pa.Array, words: int = 5) -> list[np.ndarray]:
     return out
 
 
-def _rings() -> tuple[np.ndarray, np.ndarray]:
+def _rings(size: int = layout_of(85).size) -> tuple[np.ndarray, np.ndarray]:
     """The scattering permutation, and the shifted views of the ranking one."""
     random = np.random.Generator(np.random.PCG64(20_240_229))
     scatter = random.permutation(RING).astype(np.int32)
     ranks = random.permutation(RING).astype(np.uint32)
-    ring = np.concatenate([ranks, ranks[: SIZE - 1]])
-    return scatter, np.lib.stride_tricks.sliding_window_view(ring, SIZE)
+    ring = np.concatenate([ranks, ranks[: size - 1]])
+    return scatter, np.lib.stride_tricks.sliding_window_view(ring, size)
 
 
 def signature(shingles: np.ndarray, rings: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     scatter, shifts = rings
     places = scatter[(shingles >> np.uint64(64 - 18)).astype(np.int64)]
-    low = np.full(SIZE, 0xFFFFFFFF, np.uint32)
+    low = np.full(shifts.shape[1], 0xFFFFFFFF, np.uint32)
     for at in range(0, len(places), 2048):
         low = np.minimum(low, shifts[places[at : at + 2048]].min(0))
     return low
@@ -98,22 +123,22 @@ def signature(shingles: np.ndarray, rings: tuple[np.ndarray, np.ndarray]) -> np.
 
 def band_hashes(signatures: np.ndarray) -> np.ndarray:
     """One 64-bit number per band that also tells the band."""
-    rows = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    run = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), rows.shape[:2])
+    rows = signatures.reshape(len(signatures), -1, ROWS).astype(np.uint64)
+    run = np.broadcast_to(np.arange(rows.shape[1], dtype=np.uint64), rows.shape[:2])
     for k in range(ROWS):
         run = mix(run * _ODD + rows[:, :, k])
     return run.view(np.int64)
 
 
-def signed(docs: DataFrame, words: int, text: str, key: str) -> DataFrame:
+def signed(docs: DataFrame, words: int, size: int, text: str, key: str) -> DataFrame:
     """Size, digest, band hashes and signature bytes of every text's set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, rings = arrow_type(SIGNED), worker_cache("circulant-rings", _rings)
+        schema, rings = arrow_type(SIGNED), worker_cache(f"circulant-rings-{size}", lambda: _rings(size))
         for batch in batches:
             for part in bounded_slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), words)
-                found = np.array([signature(s, rings) for s in sets], np.uint32).reshape(-1, SIZE)
+                found = np.array([signature(s, rings) for s in sets], np.uint32).reshape(-1, size)
                 columns = [
                     part.column("key"),
                     pa.array([len(s) for s in sets], pa.int64()),
@@ -134,10 +159,8 @@ def near_duplicates(
     Two texts are linked where 100 x |intersection| >= ``percent`` x |union|; a
     component is what links connect, and ``kept`` marks its smallest id.
     """
-    # the signature test is set for 85 and holds for any higher percentage
-    if percent < 85:
-        raise ValueError("bands and signature test are set for 85 percent or more")
-    every = settle(signed(docs, words, text, key), "signed")
+    layout = layout_of(percent)
+    every = settle(signed(docs, words, layout.size, text, key), "signed")
     nodes = settle(
         every.where("n_shingles > 0")
         .groupBy("digest")
@@ -147,7 +170,7 @@ def near_duplicates(
     )
     members = settle(_stars(nodes), "members")
     signatures = nodes.select("node", "signature")
-    close = settle(_agreeing(members.select("node", "center").distinct(), signatures), "close")
+    close = settle(_agreeing(members.select("node", "center").distinct(), signatures, layout), "close")
     crowded = members.where("n > 2")
     wanted = (
         close.select(F.explode(F.array("a", "b")).alias("node"))
@@ -158,7 +181,7 @@ def near_duplicates(
     sets = settle(_sets_of(docs, settle(wanted, "wanted"), words, text, key), "sets")
     links = settle(_confirmed(close, sets, percent), "links")
     parts = connected_components(links)
-    more = settle(_undecided(crowded, parts, nodes, sets, percent), "links")
+    more = settle(_undecided(crowded, parts, nodes, sets, percent, layout), "links")
     if not more.isEmpty():
         parts = connected_components(links.unionByName(more))
     named = nodes.select("digest", "node").join(parts, "node", "left")
@@ -177,17 +200,18 @@ def _stars(nodes: DataFrame) -> DataFrame:
     return dealt.join(buckets, "band").where("node <> center")
 
 
-def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, signatures: DataFrame, layout: Layout) -> DataFrame:
     """``(a, b)`` of ``pairs(node, center)`` whose signatures agree enough."""
     left = signatures.withColumnRenamed("signature", "sa")
     right = signatures.select(F.col("node").alias("center"), F.col("signature").alias("sb"))
     out = "a long, b long"
+    _, size, least = layout
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_type(out)
         for batch in batches:
-            a, b = (_rows(batch.column(c)) for c in ("sa", "sb"))
-            kept = pa.array((a == b).sum(1) >= AGREE)
+            a, b = (_rows(batch.column(c), size) for c in ("sa", "sb"))
+            kept = pa.array((a == b).sum(1) >= least)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").filter(kept), batch.column("center").filter(kept)], schema=schema
             )
@@ -195,9 +219,9 @@ def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return pairs.join(left, "node").join(right, "center").select("node", "center", "sa", "sb").mapInArrow(agree, out)
 
 
-def _rows(column: pa.Array) -> np.ndarray:
+def _rows(column: pa.Array, size: int) -> np.ndarray:
     data, _ = text_bytes(column.cast(pa.binary()))
-    return data.reshape(-1, SIZE)
+    return data.reshape(-1, size)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, text: str, key: str) -> DataFrame:
@@ -238,7 +262,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(confirm, out).distinct()
 
 
-def _undecided(members: DataFrame, parts: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _undecided(
+    members: DataFrame, parts: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, layout: Layout
+) -> DataFrame:
     """Links between nodes that share a bucket but no component yet, the centre's own pairs left out."""
     of_node = parts.select("node", F.col("component").alias("own"))
     of_center = parts.select(F.col("node").alias("center"), F.col("component").alias("main"))
@@ -287,11 +313,11 @@ def _undecided(members: DataFrame, parts: DataFrame, nodes: DataFrame, sets: Dat
             ends = _group_ends(table)
             for a, b in zip([0, *ends[:-1]], ends, strict=False):
                 if b < table.num_rows:
-                    yield _tile_links(table.slice(a, b - a), percent, schema)
+                    yield _tile_links(table.slice(a, b - a), percent, layout, schema)
             last = ends[-2] if len(ends) > 1 else 0
             rest = table.slice(last)
         if rest is not None:
-            yield _tile_links(rest, percent, schema)
+            yield _tile_links(rest, percent, layout, schema)
 
     return tiles.mapInArrow(compare, out).distinct()
 
@@ -305,18 +331,18 @@ def _group_ends(table: pa.RecordBatch) -> list[int]:
     return [*(np.flatnonzero(change) + 1).tolist(), table.num_rows]
 
 
-def _tile_links(tile: pa.RecordBatch, percent: int, schema: pa.Schema) -> pa.RecordBatch:
+def _tile_links(tile: pa.RecordBatch, percent: int, layout: Layout, schema: pa.Schema) -> pa.RecordBatch:
     """Links that join components, from the nodes outside (first) to all nodes of the tile."""
     n_out = int((tile.column("side").to_numpy() == 0).sum())
     node, root = tile.column("node").to_numpy(), tile.column("own").to_numpy().copy()
-    bits = _rows(tile.column("signature"))
-    bands = tile.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+    bits = _rows(tile.column("signature"), layout.size)
+    bands = tile.column("bands").flatten().to_numpy().reshape(-1, layout.bands)
     here = bands[0].tolist().index(tile.column("band")[0].as_py())
     sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in tile.column("shingles")]
     links = []
     for k in range(n_out):
         other = np.flatnonzero(root[n_out:] != root[k]) + n_out
-        other = other[(bits[other] == bits[k]).sum(1) >= AGREE]
+        other = other[(bits[other] == bits[k]).sum(1) >= layout.agree]
         for m in other[(bands[other] == bands[k]).argmax(1) == here].tolist():
             if root[m] != root[k] and _similar(sets[k], sets[m], percent):
                 links.append((int(max(node[k], node[m])), int(min(node[k], node[m]))))

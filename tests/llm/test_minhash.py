@@ -127,3 +127,27 @@ def test_components(spark, seed):
     alone = {n for n in parent if n not in got}
     assert got == {n: find(n) for n in got}
     assert all(find(n) == n and not any(n in e and e[0] != e[1] for e in edges) for n in alone)
+
+
+def test_pairs_between_80_and_85_percent(docs_of):
+    rng = random.Random(12)
+    rows = []
+    for i in range(30):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(100 + 5 * i)]
+        rows.append((i, " ".join(words), "a"))
+        n = len(words) - 4
+        # a new tail of t words changes t shingles on either side: 0.80 <= (n - t) / (n + t) < 0.85
+        t = n // 9
+        rows.append((100 + i, " ".join(words[:-t] + [f"tail{i}x{k}" for k in range(t)]), "a"))
+    sets = {k: shingles(text) for k, text, _ in rows}
+    assert all(0.80 <= len(sets[i] & sets[100 + i]) / len(sets[i] | sets[100 + i]) < 0.85 for i in range(30))
+    at_80 = {r.key: r.component_id for r in minhash.near_duplicates(docs_of(rows), percent=80).collect()}
+    assert at_80 == {k: k % 100 for k, _, _ in rows}
+    at_85 = {r.key: r.component_id for r in minhash.near_duplicates(docs_of(rows), percent=85).collect()}
+    assert at_85 == {k: k for k, _, _ in rows}
+
+
+def test_layouts():
+    assert minhash.layout_of(85) == minhash.layout_of(95) == (25, 125, 84)
+    bands, size, agree = minhash.layout_of(80)
+    assert (1 - 0.8**5) ** bands <= 5e-7 and size == 5 * bands and agree == 118

@@ -59,6 +59,14 @@ def test_each_stage_on_its_own_input(spark, folder, tmp_path):
     assert sum(r.start == 0 for r in packed) == len(seen["packing"])
 
 
+def test_pairs_between_80_and_85_percent_lose_the_larger_id(spark, docs_of, tmp_path):
+    words = [f"w{k}" for k in range(104)]
+    rows = [(1, " ".join(words), "a"), (2, " ".join(words[:-11] + [f"t{k}" for k in range(11)]), "b"), (3, "something else", "b")]
+    rows.append((4, " ".join(words[:-20] + [f"u{k}" for k in range(20)]), "c"))  # 0.67 to the first
+    out = corpus_pipeline.near_duplicate_stage(spark, docs_of(rows), str(tmp_path))
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
+
+
 def test_whole_run(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
     load = {}
