@@ -8,7 +8,10 @@ The lexicon is learned from labelled rows. An entry is a whole word or the stem
 that a word begins with; its weight is the log-odds of toxic against clean texts.
 Evidence is counted in distinct surroundings (the words before and after), so that
 many copies of one text count once, and has to exceed what chance gives among so
-many candidates. Of entries that contain one another the one with the strongest
+many candidates. Half as much is asked of the number of toxic texts and of the unrelated
+surroundings, of which no two share the word before or the word after: edited copies
+of one passage have hardly more than two of them, and a text that repeats a word is
+one text. None of these counts falls as copies or repeats are added. Of entries that contain one another the one with the strongest
 evidence stays. A phrase of two words that holds an entry but stands in clean texts
 is an exception: where it matches, the entry inside does not count. Words and phrases are the patterns of one
 Aho-Corasick automaton that reads each folded text once. The summed weight per
@@ -37,7 +40,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewire.llm.shared import arrow_batch, arrow_type, bounded_slices, settle
@@ -48,8 +51,10 @@ MAX_ROWS = 20_000
 MAX_TERMS = 20_000
 #: Expected number of words that pass the test of evidence by chance.
 CHANCE = 0.01
-#: Least share of distinct surroundings among a word's toxic occurrences; copies of few texts have a low one.
+#: Share of the evidence that toxic texts and unrelated surroundings have to reach; copies of few texts have fewer.
 MIN_VARIETY = 0.5
+#: Unrelated surroundings that are counted of a word; no entry needs more.
+MAX_UNRELATED = 32
 #: Distinct clean surroundings that an exception phrase needs.
 MIN_CLEAN = 8
 #: Least weight of an entry: it is so many times (e to the weight) likelier in toxic texts.
@@ -88,7 +93,8 @@ def _folding() -> dict[int, str | None]:
     return table
 
 
-SEEN = "word string, place int, toxic long, clean long"
+SEEN = "word string, place int, toxic long, clean long, texts long"
+NEAR = "word string, prior int, later int"
 _FOLD = _folding()
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -162,10 +168,10 @@ def learn(
     distinct = texts.join(chosen, "key").groupBy("label", F.xxhash64("text").alias("h")).agg(F.min("key").alias("key"))
     distinct = F.broadcast(settle(distinct.select("key", "label"), "distinct"))
     rows = settle(texts.join(distinct, "key").select("label", "text"), "labelled")
-    seen = rows.mapInArrow(_surroundings, SEEN).groupBy("word", "place").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    seen = rows.mapInArrow(_surroundings, SEEN).groupBy("word", "place").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "texts")])
     per_word = settle(
         seen.groupBy("word").agg(
-            F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("clean") > 0).alias("clean"), F.sum("toxic").alias("uses")
+            F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("clean") > 0).alias("clean"), F.sum("texts").alias("texts")
         ),
         "words",
     )
@@ -173,18 +179,24 @@ def learn(
     if not total["toxic"] or not total["clean"]:
         return Lexicon()
     entries = settle(
-        per_word.select(F.explode(_entries("word")).alias("entry"), "toxic", "clean", "uses")
-        .groupBy("entry").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "uses")]),
+        per_word.select(F.explode(_entries("word")).alias("entry"), "toxic", "clean", "texts")
+        .groupBy("entry").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "texts")]),
         "entries",
     )
     share = total["toxic"] / (total["toxic"] + total["clean"])
     evidence = math.ceil(math.log(max(entries.count(), 1) / CHANCE) / -math.log(share))
+    variety = math.ceil(MIN_VARIETY * evidence)
     toxic, clean, both = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
     odds = F.log((toxic + 0.5) / (total["toxic"] + 1)) - F.log((clean + 0.5) / (total["clean"] + 1))
     strength = toxic * F.log(toxic / (both * share)) + F.when(clean > 0, clean * F.log(clean / (both * (1 - share)))).otherwise(0)
+    likely = settle(
+        entries.where((toxic >= evidence) & (F.col("texts") >= variety))
+        .select("entry", odds.alias("weight"), strength.alias("strength")).where(f"weight >= {MIN_WEIGHT}"),
+        "likely",
+    )
+    need = min(variety, MAX_UNRELATED)
     strongest = (
-        entries.where((toxic >= evidence) & (toxic >= MIN_VARIETY * F.col("uses")))
-        .select("entry", odds.alias("weight"), strength.alias("strength")).where(f"weight >= {MIN_WEIGHT}")
+        likely.join(_unrelated(rows, per_word, likely, need).where(F.col("unrelated") >= need), "entry")
         .orderBy(F.desc("strength"), F.desc(F.length("entry")), "entry").limit(MAX_TERMS)
     )
     words: dict[str, float] = {}
@@ -207,12 +219,77 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     schema = arrow_type(SEEN)
     for batch in batches:
         for part in bounded_slices(batch, "text"):
-            found = Counter(), Counter()
+            found, texts = (Counter(), Counter()), Counter()
             for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist(), strict=True):
                 words = _WORDS.findall(fold(text))
-                found[label].update(zip(words, map(_place, ["", *words], [*words[1:], ""]), strict=False))
+                places = list(zip(words, map(_place, ["", *words], [*words[1:], ""]), strict=False))
+                found[label].update(places)
+                if label:  # a text counts at one place of each of its words
+                    texts.update(dict(places).items())
             clean, toxic = found
-            yield arrow_batch([(*at, toxic[at], clean[at]) for at in toxic.keys() | clean.keys()], schema)
+            yield arrow_batch([(*at, toxic[at], clean[at], texts[at]) for at in toxic.keys() | clean.keys()], schema)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the texts with hashes of the word before and the word after, once per slice."""
+    schema = arrow_type(NEAR)
+    for batch in batches:
+        for part in bounded_slices(batch, "text"):
+            found = set()
+            for text in part.column("text").to_pylist():
+                words = _WORDS.findall(fold(text))
+                codes = [_place("", ""), *(_place(w, "") for w in words), _place("", "")]
+                found.update(zip(words, codes, codes[2:], strict=False))
+            yield arrow_batch(list(found), schema)
+
+
+def _unrelated(rows: DataFrame, per_word: DataFrame, likely: DataFrame, need: int) -> DataFrame:
+    """``(entry, unrelated)``: the most toxic surroundings of its words that share neither side, up to ``need`` per word.
+
+    That is a largest matching of words before with words after. ``need`` pairs of each
+    word on a side are enough to find ``need`` unrelated ones, and so are need x need
+    pairs in all, so no word brings more to one place.
+    """
+    words = settle(
+        per_word.where("toxic > 0").select("word", F.explode(_entries("word")).alias("entry")).join(likely.select("entry"), "entry"),
+        "likely_words",
+    )
+    pairs = rows.where("label = 1").select("text").mapInArrow(_neighbours, NEAR)
+    pairs = pairs.join(words.select("word").distinct(), "word", "left_semi").distinct()
+    for side, other, most in (("prior", "later", need), ("later", "prior", need), (None, "prior", need * need)):
+        within = Window.partitionBy("word", *([side] if side else [])).orderBy(other, *([] if side else ["later"]))
+        pairs = pairs.withColumn("_nth", F.row_number().over(within)).where(F.col("_nth") <= most).drop("_nth")
+
+    @F.pandas_udf("long")
+    def matched(priors: pd.Series, laters: pd.Series) -> pd.Series:
+        return pd.Series([matching(p, q, need) for p, q in zip(priors, laters, strict=True)], dtype="int64")
+
+    near = pairs.groupBy("word").agg(F.collect_list(F.struct("prior", "later")).alias("near"))
+    counted = near.select("word", matched("near.prior", "near.later").alias("n"))
+    return words.join(counted, "word").groupBy("entry").agg(F.sum("n").alias("unrelated"))
+
+
+def matching(left, right, most: int) -> int:
+    """The most of the pairs ``(left[i], right[i])`` that share neither side, up to ``most``."""
+    beside: dict[int, list[int]] = {}
+    for a, b in zip(left, right, strict=True):
+        beside.setdefault(a, []).append(b)
+    taken: dict[int, int] = {}
+
+    def place(a: int, seen: set[int]) -> bool:
+        for b in beside[a]:
+            if b not in seen:
+                seen.add(b)
+                if b not in taken or place(taken[b], seen):
+                    taken[b] = a
+                    return True
+        return False
+
+    for a in beside:
+        if len(taken) >= most:
+            break
+        place(a, set())
+    return len(taken)
 
 
 def _place(prior: str, later: str) -> int:

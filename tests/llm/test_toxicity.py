@@ -84,3 +84,40 @@ def test_nothing_to_learn(spark, docs_of):
     assert toxicity.learn(docs_of([]), spark.createDataFrame([(1, 1)], "doc_id long, toxic int")) == toxicity.Lexicon()
     rated = docs_of([(1, "a b", "s")]).select(toxicity.rating(spark, lexicon, F.col("text")).alias("r")).first().r
     assert rated.score < 0.5 and rated.n_matches == 0
+
+
+def likely_words(lexicon, *words):
+    return [any(f"{toxicity.fold(w)} ".startswith(e) for e in lexicon.words) for w in words]
+
+
+def test_copies_and_repeats_take_no_entry_out(spark, docs_of, corpus):
+    rows, labels = corpus
+    plain = toxicity.learn(docs_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert likely_words(plain, "scoundrel", "villain") == [True, True]
+    rng = random.Random(3)
+    passage = "what a scoundrel he was said the harbour keeper of that villain near the lighthouse steps".split()
+    more, marks = [], []
+    for i in range(2000):  # one edited word in each copy
+        words = passage[:]
+        words[rng.randrange(len(words))] = f"edit{i}"
+        more.append((5000 + i, " ".join(words), "s"))
+        marks.append((5000 + i, 1))
+    more.append((9000, "you are a scoundrel and a villain too " * 300, "s"))
+    marks.append((9000, 1))
+    lexicon = toxicity.learn(docs_of([*rows, *more]), spark.createDataFrame([*labels, *marks], "doc_id long, toxic int"))
+    assert likely_words(lexicon, "scoundrel", "villain") == [True, True]
+    assert likely_words(lexicon, "harbour", "lighthouse", "keeper") == [False, False, False]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_matching(seed):
+    from itertools import combinations
+
+    rng = random.Random(seed)
+    pairs = list({(rng.randrange(5), rng.randrange(5)) for _ in range(rng.randint(1, 9))})
+    best = max(
+        n for n in range(1, len(pairs) + 1)
+        if any(len({a for a, _ in c}) == len({b for _, b in c}) == n for c in combinations(pairs, n))
+    )
+    for most in (1, 2, 9):
+        assert min(toxicity.matching(*zip(*pairs), most), most) == min(best, most)
