@@ -55,14 +55,14 @@ def sse_data_lines(
     within the chunk.  With it a line may run over chunk borders; ``line_no``
     counts within the request and ``chunk_seq`` is where the line starts.  Only
     the pieces of one line meet in a group, never a whole request.  Chunks that
-    share a number are joined in the order of their text; those without a request
-    or a number are left out.
+    share a number are joined in the order of their text.  Chunks without a request
+    or a number cannot be joined: ``reassemble`` leaves them out, else their lines
+    are kept like all others.
     """
     pieces = F.split(F.col(body), "\n")
-    df = placed(df, id_col, chunk_seq)
     if reassemble:
         counted = running_before(
-            df.select(id_col, chunk_seq, body),
+            placed(df, id_col, chunk_seq).select(id_col, chunk_seq, body),
             [id_col],
             chunk_seq,
             {"_lines_before": F.size(pieces) - 1},
@@ -176,16 +176,25 @@ def _is_plain(doc: Column, choices: Column, usage: Column) -> Column:
     return F.coalesce(shaped & counts[0] & counts[1] & counts[2] & F.forall(choices, choice), F.lit(False))
 
 
-def parse_responses(df: DataFrame, json_col: str = "json") -> DataFrame:
+def parse_responses(
+    df: DataFrame, json_col: str = "json", id_col: str = "request_id", chunk_seq: str = "chunk_seq"
+) -> DataFrame:
     """Add ``response_id, choices, usage`` and ``error``; ``split_errors`` parts them.
 
     The check is strict: a missing required field, a null there or a value of
     another JSON type is an error, named ``json:<part>``.  The checks, which read
     each field with its type, run only where the shape of the text leaves a doubt.
+    A row without a request or a chunk number, where ``df`` has those columns, gets
+    the error ``place``, for it belongs to no answer.
     """
     doc = F.col("_doc")
     choices = sj.elements(doc, "$.output.choices")
+    place = F.lit(True)
+    for c in (id_col, chunk_seq):
+        if c in df.columns:
+            place = place & F.col(c).isNotNull()
     checks = {
+        "place": place,
         "json:text": doc.isNotNull(),
         "json:request_id": sj.is_string(doc, "$.request_id"),
         "json:choices": F.size(choices) > 0,
@@ -199,7 +208,7 @@ def parse_responses(df: DataFrame, json_col: str = "json") -> DataFrame:
     )
     read = with_once(parsed, "_typed", typed)
     plain = _is_plain(doc, F.col("_typed.choices"), F.col("_typed.usage"))
-    checked = with_once(read, "error", F.when(~plain, first_error(checks)))
+    checked = with_once(read, "error", F.when(~(plain & place), first_error(checks)))
     good = F.col("error").isNull()
     return checked.select(
         *df.columns,

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewire.operators import requests, responses, sessions
+from tablewire.operators.quality import split_errors
 
 SIZES = [3, 16, 1024]
 
@@ -145,3 +146,17 @@ def test_lines_and_answers(spark, size):
     assert whole == "".join(f"c{s}{n}" for s in range(30) for n in range(2))
     gated = responses.assemble_answers(good, compat=True, part_chunks=size, slice_chunks=size).orderBy("part").collect()
     assert "".join(r.answer for r in gated) == "".join(f"c{s}{n}" for s in range(30) for n in range(2) if (s, n) <= (20, 1))
+
+
+def test_lines_without_a_place_are_kept_and_quarantined(spark):
+    doc = {
+        "request_id": "r", "output": {"choices": [{"finish_reason": "stop", "index": 0, "message": {"content": "c", "role": "a"}}]},
+        "usage": {"input_tokens": 1, "output_tokens": 2, "total_tokens": 3, "output_tokens_details": {}, "prompt_tokens_details": {}},
+    }
+    body = f"data: {json.dumps(doc)}\n"
+    rows = [(1, 0, body), (None, 0, body), (None, None, body + body), (1, None, body)]
+    lines = responses.sse_data_lines(spark.createDataFrame(rows, "request_id long, chunk_seq long, body string"))
+    assert lines.count() == 5
+    good, bad = split_errors(responses.parse_responses(lines))
+    assert [(r.request_id, r.chunk_seq) for r in good.collect()] == [(1, 0)]
+    assert [r.error for r in bad.collect()] == ["place"] * 4
