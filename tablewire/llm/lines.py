@@ -9,7 +9,8 @@ id that holds the line keeps its first occurrence, so no content of the corpus
 is lost, and the only copy of a line is never touched. A document that consists
 of such lines by more than ``max_share`` of its words is a copy of other documents
 rather than a carrier of boilerplate; it is left whole, to be judged as a
-document.
+document. Where ``copies`` is given, it tells which of these documents really are
+copies, and the others lose their repeated lines like any document.
 
 A line is what stands between line feeds; for comparison its white space is
 trimmed and inner runs count as one space. Lines of fewer than ``min_words``
@@ -25,6 +26,7 @@ gives no rows; extra columns pass through, whatever their names.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -91,8 +93,13 @@ def remove_boilerplate(
     text: str = "text",
     key: str = "doc_id",
     site: str = "source",
+    copies: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of the text column."""
+    """``docs`` with boilerplate lines taken out of the text column.
+
+    ``copies`` gets the documents above ``max_share`` as ``(candidate, key, text)`` and
+    gives the ``candidate`` of those to be left whole; without it all of them are.
+    """
     lines = settle(line_table(docs, text, key, site, min_words), "lines")
     shared = settle(boilerplate_lines(lines, min_sites).select("line", "first"), "boilerplate")
     again = F.struct("key", "place") != F.col("first")
@@ -102,29 +109,48 @@ def remove_boilerplate(
         .groupBy(F.col("key").alias("_key"), F.col("version").alias("_version"))
         .agg(F.collect_set("place").alias("_shared"), F.collect_set(F.when(again, F.col("place"))).alias("_again"))
     )
-    drops = settle(per_doc.where(F.size("_again") > 0), "drops")
+    holds = (F.col("_held_key") == F.col("_key")) & (F.col("_held_version") == F.col("_version"))
+    held = docs.withColumns({"_held_key": F.col(key), "_held_version": F.xxhash64(F.col(text))})
+    if copies is None:
+        drops = settle(per_doc.where(F.size("_again") > 0).withColumn("_whole", F.lit(True)), "drops")
+    else:
+        marked = settle(per_doc, "marked")
+
+        @F.pandas_udf("boolean")
+        def above(texts: pd.Series, shared: pd.Series) -> pd.Series:
+            return pd.Series([exceeds(t, s, max_share) for t, s in zip(texts, shared, strict=True)], dtype=bool)
+
+        candidate = F.xxhash64("_key", "_version").alias("candidate")
+        mostly = held.join(marked, holds).select(candidate, F.col("_key").alias("key"), F.col(text).alias("text"), "_shared")
+        mostly = settle(mostly.where(above("text", "_shared")).drop("_shared"), "candidates")
+        found = settle(copies(mostly).select("candidate").distinct(), "copies")
+        drops = marked.where(F.size("_again") > 0).withColumn("candidate", candidate).join(
+            found.withColumn("_whole", F.lit(True)), "candidate", "left"
+        )
+        drops = settle(drops.drop("candidate").fillna(False, ["_whole"]), "drops")
 
     @F.pandas_udf("string")
-    def cleaned(texts: pd.Series, shared: pd.Series, again: pd.Series) -> pd.Series:
+    def cleaned(texts: pd.Series, shared: pd.Series, again: pd.Series, whole: pd.Series) -> pd.Series:
+        rows = zip(texts, shared, again, whole, strict=True)
         return pd.Series(
-            [t if t is None or a is None else without(t, s, a, max_share) for t, s, a in zip(texts, shared, again, strict=True)],
+            [t if t is None or a is None or (w and exceeds(t, s, max_share)) else without(t, a) for t, s, a, w in rows],
             dtype=object,
         )
 
-    held = docs.withColumns({"_held_key": F.col(key), "_held_version": F.xxhash64(F.col(text))})
-    joined = held.join(drops, (F.col("_held_key") == F.col("_key")) & (F.col("_held_version") == F.col("_version")), "left")
-    kept = [cleaned(F.col(text), "_shared", "_again").alias(c) if c == text else held[f"`{c}`"] for c in docs.columns]
+    joined = held.join(drops, holds, "left")
+    kept = [cleaned(F.col(text), "_shared", "_again", "_whole").alias(c) if c == text else held[f"`{c}`"] for c in docs.columns]
     return joined.select(*kept)
 
 
 _WORD = re.compile(r"[^\t-\r ]+")
 
 
-def without(text: str, shared: list[int], again: list[int], max_share: float) -> str:
-    """The text without the lines ``again``, or the whole of it where ``shared`` lines exceed the share."""
-    lines = text.split("\n")
-    words = [len(_WORD.findall(line)) for line in lines]
-    if sum(words[i] for i in shared) > max_share * sum(words):
-        return text
+def exceeds(text: str, shared: list[int], max_share: float) -> bool:
+    """Whether the lines ``shared`` hold more than ``max_share`` of the words."""
+    words = [len(_WORD.findall(line)) for line in text.split("\n")]
+    return sum(words[i] for i in shared) > max_share * sum(words)
+
+
+def without(text: str, again: list[int]) -> str:
     gone = set(again)
-    return "\n".join(line for i, line in enumerate(lines) if i not in gone)
+    return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)

@@ -81,3 +81,15 @@ def test_queries_with_sql(spark, sf_dir):
     for name, sql in queries.ORACLES.items():
         difference, _ = compare(spark, connect(sf_dir), queries.QUERIES[name], sql, sf_dir)
         assert difference is None, name
+
+
+def test_boilerplate_documents_that_are_no_copies_are_stripped(spark, docs_of, tmp_path):
+    body = [f"shared line number {i} of the many sites " + " ".join(f"s{i}x{k}" for k in range(8)) for i in range(6)]
+    rows = [(100 * s + i, f"{body[i]}\nown words {s} {i} and more of them here than there are in the shared line above it", f"site{s}") for s in range(9) for i in range(6)]
+    rows += [(5000, "\n".join(body[:4]), "x"), (5001, "\n".join(body[:4]), "y"), (5002, "\n".join([body[5], body[0]]), "z")]
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs_of(rows), str(tmp_path)).collect()}
+    whole = {k: t for k, t, _ in rows}
+    assert out[5000] == whole[5000] and out[5001] == whole[5001]
+    assert out[5002] == ""
+    assert all(out[i] == whole[i] for i in range(6))
+    assert all(out[100 * s + i] == whole[100 * s + i].split("\n")[1] for s in range(1, 9) for i in range(6))
