@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import blockjoin, bytebpe, hmm, kdtree, lines, minhash, packing, records, sharding, toxicity
+from tablewire.llm import audit, blockjoin, bytebpe, fim, hmm, kdtree, lines, minhash, packing, records, sharding, toxicity
 from tablewire.llm.shared import fold_of, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,6 +76,20 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = fim.fill_in_middle(read_table(spark, sf_dir, "documents"), rate=100, spm_rate=50, seed=7)
+    return formed.select(
+        F.col("key").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored().cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return audit.audit(docs, labels, audit.word_filters(), copies="E")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity_lexicon": op2_toxicity_lexicon,
@@ -87,6 +101,8 @@ QUERIES = {
     "op8_binary_records": op8_binary_records,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minimax_shards": op10_minimax_shards,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -156,4 +172,54 @@ ORACLES: dict[str, str] = {
         parts AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM documents JOIN parts ON node = doc_id LEFT JOIN sizes USING (doc_id)""",
+    "op11_fill_in_middle": r"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+        drawn AS (
+            SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (n + 1) AS c1, ('0x' || h[9:16])::BIGINT % (n + 1) AS c2,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                        OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+                    WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+        pieces AS (
+            SELECT *, coalesce(array_to_string(u[1:least(c1, c2)], ''), '') AS p,
+                coalesce(array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS m,
+                coalesce(array_to_string(u[greatest(c1, c2) + 1:n], ''), '') AS s FROM drawn)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+        FROM pieces""",
+    "op13_filter_audit": r"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        failed AS (
+            SELECT doc_id, part, CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails FROM texts),
+        known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+        cells AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+            FROM failed LEFT JOIN known USING (doc_id) GROUP BY part, fails),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        steps AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM orders),
+        counted AS (
+            SELECT part, filter_order, step, filter_order[step] AS letter,
+                coalesce(sum(n) FILTER (translate(fails, filter_order[1:step], '') = fails), 0)::BIGINT AS kept,
+                coalesce(sum(n) FILTER (gone), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (contains(fails, filter_order[step]) AND NOT gone), 0)::BIGINT AS redundant,
+                coalesce(sum(n) FILTER (fails = filter_order[step]), 0)::BIGINT AS unique_fails,
+                coalesce(sum(good) FILTER (gone), 0)::BIGINT AS good_lost,
+                coalesce(sum(toxic) FILTER (gone), 0)::BIGINT AS toxic_lost
+            FROM (SELECT *, contains(fails, filter_order[step])
+                AND translate(fails, filter_order[1:step - 1], '') = fails AS gone FROM cells, steps)
+            GROUP BY part, filter_order, step)
+        SELECT * EXCLUDE (letter), sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley FROM counted""",
 }
