@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewire.llm import audit, blockjoin, bytebpe, fim, hmm, kdtree, lines, minhash, packing, records, sharding, toxicity
+from tablewire.llm import audit, blockjoin, bytebpe, fim, hmm, kdtree, lines, minhash, packing, records, sharding, toxicity, warc
 from tablewire.llm.shared import fold_of, read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -85,6 +85,13 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write_archive(read_table(spark, sf_dir, "pages"), revisit_bytes=0, shard_bytes=16 << 20, roll_bytes=8 << 20)
+    return warc.read_archive(spark, written).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return audit.audit(docs, labels, audit.word_filters(), copies="E")
@@ -102,6 +109,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minimax_shards": op10_minimax_shards,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_sharded_warc": op12_sharded_warc,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -191,6 +199,18 @@ ORACLES: dict[str, str] = {
                 ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
             sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
         FROM pieces""",
+    "op12_sharded_warc": """
+        WITH paid AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(html)) AS size,
+                max(page_id) OVER (PARTITION BY html) AS last, sha1(html) AS h
+            FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+        SELECT page_id, size AS payload_bytes,
+            list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (('0x' || h[5 * (i // 4) + 1:5 * (i // 4) + 5])::BIGINT >> (15 - 5 * (i % 4)))::INTEGER % 32 + 1, 1)),
+                'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM paid""",
     "op13_filter_audit": r"""
         WITH texts AS (
             SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
