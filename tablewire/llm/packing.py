@@ -57,10 +57,11 @@ def token_pieces(
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in bounded_slices(batch, "text"):
-                texts = [t or "" for t in part.column("text").to_pylist()]
                 rows = []
-                for row_key, ids in zip(part.column("key").to_pylist(), encoder.encode(texts), strict=True):
-                    ids += end
+                ids, places = encoder.encode(part.column("text"))
+                whole, places = ids.astype("<u4").tobytes(), places.tolist()
+                for row_key, a, b in zip(part.column("key").to_pylist(), places, places[1:], strict=False):
+                    ids = whole[4 * a : 4 * b] + end
                     for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
                         rows.append((row_key, number, at // 4, len(own) // 4, zlib.crc32(own), own)[: len(schema)])

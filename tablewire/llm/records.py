@@ -32,12 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewire.llm.shared import arrow_batch, arrow_type, bounded_slices, tasks_for
+from tablewire.llm.shared import arrow_batch, arrow_type, bounded_slices, settle, tasks_for
 from tablewire.llm.tokens import word_tokenizer
 from tablewire.scratch import shared_dir
 
 MAGIC = b"TWREC001"
 INDEX = "key long, file string, part int, offset long, length long, n_tokens long"
+CODED = "key long, h long, row long, ids binary"
 RECORD = "key long, part int, place long, n_tokens long, ids binary"
 _MASK = 0xA282EAD8
 
@@ -82,8 +83,8 @@ def read_record(stream) -> bytes | None:
     return body[:size]
 
 
-def _payload(key: int | None, ids: np.ndarray, width: int) -> bytes:
-    return struct.pack("<?q", key is not None, key or 0) + ids.astype(f"<u{width}").tobytes()
+def _payload(key: int | None, ids: bytes) -> bytes:
+    return struct.pack("<?q", key is not None, key or 0) + ids
 
 
 def _parsed(payload: bytes, width: int) -> tuple[int | None, np.ndarray]:
@@ -118,7 +119,7 @@ def write_records(
     n_files: int | None = None,
     width: int = 2,
 ) -> RecordSet:
-    """Encodes the texts and writes record files in ascending key order, one per range of keys.
+    """Encodes the texts where they are read and writes record files in ascending key order, one per range of places.
 
     ``width`` bytes hold one id; an id beyond it is an error, nothing is cut.
     """
@@ -126,39 +127,49 @@ def write_records(
     base = base or shared_dir(spark, "records")
     files = f"{base}/files"
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, encoder, row = arrow_type(CODED), word_tokenizer(tokenizer), TaskContext.get().partitionId() << 40
+        end = np.array([end_id], np.uint32)
+        for batch in batches:
+            for piece in bounded_slices(batch, "text"):
+                ids, places = encoder.encode(piece.column("text"))
+                top = max(int(ids.max(initial=0)), end_id)
+                if top >> (8 * width):
+                    raise ValueError(f"id {top} needs more than {width} bytes")
+                ids = np.insert(ids, places[1:], end).astype(f"<u{width}").tobytes()
+                places = width * (places + np.arange(len(places)))
+                own = [ids[a:b] for a, b in zip(places.tolist(), places[1:].tolist(), strict=False)]
+                columns = [piece.column("key"), piece.column("h"), pa.array(np.arange(row, row + len(own))), pa.array(own, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                row += len(own)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_type(INDEX)
-        encoder, sink, at, part = word_tokenizer(tokenizer), None, 0, TaskContext.get().partitionId()
+        schema, sink, at, part = arrow_type(INDEX), None, 0, TaskContext.get().partitionId()
         name = f"{files}/part-{part:06d}-{uuid.uuid4().hex}.rec"
         try:
             for batch in batches:
                 rows = []
-                for piece in bounded_slices(batch, "text"):
+                for row_key, ids in zip(batch.column("key").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                     if sink is None:
                         system, path = _open(name)
                         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                         sink = system.open_output_stream(path, buffer_size=1 << 20)
                         sink.write(header(width))
                         at = 16
-                    texts = [t or "" for t in piece.column("text").to_pylist()]
-                    for row_key, ids in zip(piece.column("key").to_pylist(), encoder.encode(texts), strict=True):
-                        ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
-                        if len(ids) and int(ids.max()) >> (8 * width):
-                            raise ValueError(f"id {int(ids.max())} needs more than {width} bytes")
-                        record = frame(_payload(row_key, ids, width))
-                        sink.write(record)
-                        rows.append((row_key, name, part, at, len(record), len(ids)))
-                        at += len(record)
+                    record = frame(_payload(row_key, ids))
+                    sink.write(record)
+                    rows.append((row_key, name, part, at, len(record), len(ids) // width))
+                    at += len(record)
                 yield arrow_batch(rows, schema)
         finally:
             if sink is not None:
                 sink.close()
 
-    ordered = (
-        docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        .repartitionByRange(n_files or tasks_for(spark), "key")
-        .sortWithinPartitions("key", F.xxhash64("text"))
-    )
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    # ids travel instead of texts, and the range sample does not tokenize again
+    encoded = settle(texts.mapInArrow(encode, CODED), "coded")
+    place = ("key", "h", "row")  # rows that share a key, or are equal, are spread too
+    ordered = encoded.repartitionByRange(n_files or tasks_for(spark), *place).sortWithinPartitions(*place)
     found = RecordSet(files, f"{base}/index")
     ordered.mapInArrow(write, INDEX).write.parquet(found.index)
     return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import sys
 import types
@@ -37,6 +38,11 @@ def tasks_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def plain(record) -> tuple:
+    """The fields of a dataclass, to be broadcast: workers have no copy of the package to find its class in."""
+    return tuple(getattr(record, field.name) for field in dataclasses.fields(record))
+
+
 def fold_of(doc_id) -> F.Column:
     """crc32 of the id as text, modulo 5; null ids are in fold 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5, F.lit(0)).cast("int")
@@ -115,12 +121,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words with A-Z in lower case, eight bytes a step."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hashes of the words, with A-Z in lower case or (``fold`` off) as they are, eight bytes a step."""
     if not len(starts):
         return np.zeros(0, U64)
     padded = np.zeros(len(data) + 8, np.uint8)
-    padded[: len(data)] = _LOWER[data]
+    padded[: len(data)] = _LOWER[data] if fold else data
     eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
     length = ends - starts
     h = mix(length.astype(U64) + U64(0x9E3779B97F4A7C15))
