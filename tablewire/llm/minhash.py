@@ -53,12 +53,12 @@ DEVIATIONS = 5.5
 #: Percentages that bands and signature test are derived for; above the last one they are those of the last one.
 PERCENTS = (80, 85)
 #: Places of the ring.
-RING = 1 << 18
+RING = 1 << 22
 #: Nodes outside of the centre's component, and nodes of the bucket, in one tile.
 TILE_OUT, TILE_ALL = 512, 1024
 
 SIGNED = "key long, n_shingles long, digest binary, bands array<long>, signature binary"
-SETS = "node long, shingles binary"
+SETS = "node long, digest binary, shingles binary"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,7 +114,7 @@ def _rings(size: int = layout_of(85).size) -> tuple[np.ndarray, np.ndarray]:
 
 def signature(shingles: np.ndarray, rings: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     scatter, shifts = rings
-    places = scatter[(shingles >> np.uint64(64 - 18)).astype(np.int64)]
+    places = scatter[(shingles >> np.uint64(64 - (RING.bit_length() - 1))).astype(np.int64)]
     low = np.full(shifts.shape[1], 0xFFFFFFFF, np.uint32)
     for at in range(0, len(places), 2048):
         low = np.minimum(low, shifts[places[at : at + 2048]].min(0))
@@ -226,14 +226,22 @@ def _rows(column: pa.Array, size: int) -> np.ndarray:
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, text: str, key: str) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_type(SETS)
+        schema, given = arrow_type(SETS), set()
         for batch in batches:
             for part in bounded_slices(batch, "text"):
-                sets = [s.tobytes() for s in shingle_sets(part.column("text"), words)]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], schema=schema)
+                rows = []
+                for node, found in zip(part.column("node").to_pylist(), shingle_sets(part.column("text"), words), strict=True):
+                    own = found.tobytes()
+                    digest = hashlib.blake2b(own, digest_size=16).digest()
+                    if (node, digest) not in given:
+                        given.add((node, digest))
+                        rows.append((node, digest, own))
+                yield arrow_batch(rows, schema)
 
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(wanted, "node")
-    return texts.select("node", "text").mapInArrow(build, SETS)
+    sets = texts.select("node", "text").mapInArrow(build, SETS)
+    # repeated rows: one set per node and content, first in the task, then over all tasks
+    return sets.groupBy("node", "digest").agg(F.first("shingles").alias("shingles")).drop("digest")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:

@@ -151,3 +151,13 @@ def test_layouts():
     assert minhash.layout_of(85) == minhash.layout_of(95) == (25, 125, 84)
     bands, size, agree = minhash.layout_of(80)
     assert (1 - 0.8**5) ** bands <= 5e-7 and size == 5 * bands and agree == 118
+
+
+def test_repeated_rows_have_one_set(spark, docs_of):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = docs_of([(k % 2, text + (" more" if k % 2 else ""), "s") for k in range(20_000)], parts=4)
+    wanted = spark.createDataFrame([(0,), (1,)], "node long")
+    sets = minhash._sets_of(docs, wanted, 5, "text", "doc_id").collect()
+    assert sorted((r["node"], len(r["shingles"]) // 8) for r in sets) == [(0, 56), (1, 57)]
+    found = minhash.near_duplicates(docs).groupBy("key", "component_id").count().collect()
+    assert sorted(map(tuple, found)) == [(0, 0, 10_000), (1, 0, 10_000)]
