@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewire.llm.shared import (
-    arrow_batch, arrow_type, bounded_slices, mix, settle, text_bytes, word_hashes, word_spans,
+    arrow_batch, arrow_type, bounded_slices, mix, plain, settle, text_bytes, word_hashes, word_spans,
 )
 
 #: Words whose counts every task gets.
@@ -158,10 +158,10 @@ def vocabulary(counts: DataFrame, n_texts: int) -> Vocabulary:
 
 def coded(texts: DataFrame, known: Vocabulary) -> DataFrame:
     """Each text of ``texts(key, train, text)`` as symbols, with the sums that need head words only."""
-    shared = texts.sparkSession.sparkContext.broadcast(known)
+    shared = texts.sparkSession.sparkContext.broadcast(plain(known))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, known, uid = arrow_type(CODED), shared.value, TaskContext.get().partitionId() << 40
+        schema, known, uid = arrow_type(CODED), Vocabulary(*shared.value), TaskContext.get().partitionId() << 40
         logs, below = np.log10(known.counts + 0.5), known.denominators()
         end_log = math.log10(known.ends + 0.5)
         for batch in batches:
@@ -307,10 +307,10 @@ def train(table: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
     context, model = table.sparkSession.sparkContext, Model.first(known.totals, states)
     sequences = table.where("train").select("symbols")
     for _ in range(rounds):
-        shared = context.broadcast(model)
+        shared = context.broadcast(plain(model))
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            model, total = shared.value, None
+            model, total = Model(*shared.value), None
             for batch in batches:
                 waiting, first, size = [], [], 0
                 for row in batch.column("symbols"):
@@ -395,14 +395,14 @@ def score(
     known = vocabulary(counts, texts.where("train").count())
     table = settle(coded(texts, known), "coded")
     model = train(table, known, states, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(plain(model))
     out = "uid long, key long, train boolean, n_tokens long, known long, head_log double, own_log double, path_log double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_type(out)
+        schema, model = arrow_type(out), Model(*shared.value)
         for batch in batches:
             sequences = [np.frombuffer(s.as_buffer(), np.uint16) for s in batch.column("symbols")]
-            log = log_likelihoods(sequences, shared.value) / math.log(10)
+            log = log_likelihoods(sequences, model) / math.log(10)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(f.name) for f in schema if f.name != "path_log"], pa.array(log, pa.float64())], schema=schema
             )

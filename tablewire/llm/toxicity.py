@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewire.llm.shared import arrow_batch, arrow_type, bounded_slices, settle
+from tablewire.llm.shared import arrow_batch, arrow_type, bounded_slices, plain, settle
 
 #: Labelled rows of each class that are learned from at most.
 MAX_ROWS = 20_000
@@ -156,6 +156,9 @@ def learn(
 ) -> Lexicon:
     """A lexicon from ``labels(key, label)`` and the texts of ``docs``; labels other than 0 and 1 are left out."""
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
+    # a class of more than max_rows is sampled; its rows then stand for more than one each, so no size moves the prior
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    scale = tuple(max(1.0, sizes.get(value, 0) / max_rows) for value in (0, 1))
     order = F.xxhash64("key")
     chosen = None
     for value in (0, 1):
@@ -183,12 +186,13 @@ def learn(
         .groupBy("entry").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "texts")]),
         "entries",
     )
-    share = total["toxic"] / (total["toxic"] + total["clean"])
+    share = total["toxic"] * scale[1] / (total["toxic"] * scale[1] + total["clean"] * scale[0])
     evidence = math.ceil(math.log(max(entries.count(), 1) / CHANCE) / -math.log(share))
     variety = math.ceil(MIN_VARIETY * evidence)
-    toxic, clean, both = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
+    toxic, clean, both = F.col("toxic"), F.col("clean"), F.col("toxic") * scale[1] + F.col("clean") * scale[0]
     odds = F.log((toxic + 0.5) / (total["toxic"] + 1)) - F.log((clean + 0.5) / (total["clean"] + 1))
-    strength = toxic * F.log(toxic / (both * share)) + F.when(clean > 0, clean * F.log(clean / (both * (1 - share)))).otherwise(0)
+    gained, lost = F.log(toxic * scale[1] / (both * share)), F.log(clean * scale[0] / (both * (1 - share)))
+    strength = toxic * gained + F.when(clean > 0, clean * lost).otherwise(0)
     likely = settle(
         entries.where((toxic >= evidence) & (F.col("texts") >= variety))
         .select("entry", odds.alias("weight"), strength.alias("strength")).where(f"weight >= {MIN_WEIGHT}"),
@@ -197,21 +201,21 @@ def learn(
     need = min(variety, MAX_UNRELATED)
     strongest = (
         likely.join(_unrelated(rows, per_word, likely, need).where(F.col("unrelated") >= need), "entry")
-        .orderBy(F.desc("strength"), F.desc(F.length("entry")), "entry").limit(MAX_TERMS)
+        .orderBy(F.desc("strength"), F.desc(F.length("entry")), "entry")
     )
     words: dict[str, float] = {}
     beginnings: set[str] = set()
-    for row in strongest.collect():
+    for row in _bounded(strongest):
         entry = row["entry"]
         if entry not in beginnings and not any(entry[:n] in words for n in range(1, len(entry) + 1)):
             words[entry] = row["weight"]
             beginnings.update(entry[:n] for n in range(1, len(entry) + 1))
     if not words:
         return Lexicon()
-    exceptions = _exceptions(rows, Lexicon(words))
+    exceptions = _exceptions(rows, Lexicon(words), scale)
     plain = Lexicon(words, exceptions)
     measured = rows.mapInArrow(_measure(plain), "label int, weight double, size long").toPandas()  # 2 x max_rows at most
-    return Lexicon(words, exceptions, _fit(measured))
+    return Lexicon(words, exceptions, _fit(measured, scale))
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +309,15 @@ def _entries(word: str) -> Column:
     return F.when(length >= low, F.concat(whole, stems)).otherwise(whole)
 
 
-def _exceptions(rows: DataFrame, lexicon: Lexicon) -> frozenset[str]:
+def _bounded(found: DataFrame) -> list:
+    """The rows of ``found``; more than MAX_TERMS are an error, none is left out."""
+    rows = found.limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} entries; learn from fewer rows than MAX_ROWS")
+    return rows
+
+
+def _exceptions(rows: DataFrame, lexicon: Lexicon, scale: tuple[float, float]) -> frozenset[str]:
     """Phrases of two words with an entry that clean texts hold and toxic ones hardly do."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,8 +341,8 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> frozenset[str]:
     pairs = rows.mapInArrow(near, "label int, phrase string, side string").distinct()
     clean, toxic = F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)
     found = pairs.groupBy("phrase").agg(clean.alias("clean"), toxic.alias("toxic"))
-    found = found.where(f"clean >= {MIN_CLEAN} AND clean >= 4 * toxic").orderBy(F.desc("clean"), "phrase").limit(MAX_TERMS)
-    return frozenset(r["phrase"] for r in found.collect())
+    found = found.where((F.col("clean") >= MIN_CLEAN) & (F.col("clean") * scale[0] >= 4 * scale[1] * F.col("toxic")))
+    return frozenset(r["phrase"] for r in _bounded(found))
 
 
 def _measure(lexicon: Lexicon):
@@ -346,14 +358,18 @@ def _measure(lexicon: Lexicon):
     return run
 
 
-def _fit(rows: pd.DataFrame) -> tuple[float, float]:
-    """Logistic regression by Newton steps, with a small penalty that keeps separable classes finite."""
+def _fit(rows: pd.DataFrame, scale: tuple[float, float]) -> tuple[float, float]:
+    """Logistic regression by Newton steps, with a small penalty that keeps separable classes finite.
+
+    ``scale`` is how many labelled rows a row of each class stands for.
+    """
     y = rows["label"].to_numpy(float)
     x = np.column_stack([np.ones(len(y)), density(rows["weight"].to_numpy(), rows["size"].to_numpy())])
-    b, penalty = np.zeros(2), np.diag([1e-3, 1e-2]) * max(len(y) / 100, 1)
+    w = np.where(y > 0, scale[1], scale[0])
+    b, penalty = np.zeros(2), np.diag([1e-3, 1e-2]) * max(w.sum() / 100, 1)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ b)
+        step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (w * (y - p)) - penalty @ b)
         b += step
         if np.abs(step).max() < 1e-8:
             break
@@ -362,11 +378,11 @@ def _fit(rows: pd.DataFrame) -> tuple[float, float]:
 
 def rating(spark: SparkSession, lexicon: Lexicon, text: Column) -> Column:
     """``struct<score: double, n_matches: long>`` of a text column; the score is 0 to 1."""
-    shared = spark.sparkContext.broadcast(lexicon)  # MAX_TERMS bounds it
+    shared = spark.sparkContext.broadcast(plain(lexicon))  # MAX_TERMS bounds it
 
     @F.pandas_udf("score double, n_matches long")
     def rate(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        lexicon = shared.value
+        lexicon = Lexicon(*shared.value)
         automaton = lexicon.automaton()
         base, factor = lexicon.fit
         for texts in parts:

@@ -1,0 +1,40 @@
+"""Workers that have no copy of the package: functions and broadcast values travel with the job."""
+
+import os
+import subprocess
+import sys
+
+SCRIPT = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from tablewire.session import local_session
+from tablewire.llm import hmm, minhash, packing, toxicity
+from tablewire.llm.queries import WORD_BPE
+from tablewire.llm.shared import fold_of
+from pyspark.sql import functions as F
+
+spark = local_session(2)
+bare = spark.range(1).mapInPandas(
+    lambda parts: (p.assign(id=int(__import__("importlib").util.find_spec("tablewire") is not None)) for p in parts), "id long"
+)
+assert bare.first()["id"] == 0, "workers can import the package"
+rows = [(k, " ".join(f"w{(k * j) % 37}" for j in range(1, 40)) + (" vile scum" if k % 3 == 0 else "")) for k in range(90)]
+docs = spark.createDataFrame(rows, "doc_id long, text string")
+labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(90)], "doc_id long, toxic int")
+lexicon = toxicity.learn(docs, labels)
+assert docs.select(toxicity.rating(spark, lexicon, F.col("text")).alias("r")).count() == 90
+assert docs.select(toxicity.rating(spark, lexicon, F.col("text")).alias("r")).where("r.score > 2").count() == 0
+assert hmm.score(docs, fold_of("doc_id") == 1, rounds=1).where("score < 0").count() == 90
+assert minhash.near_duplicates(docs).where("kept").count() > 0
+assert packing.pack_documents(docs, WORD_BPE).where("length > 0").count() == 90
+print("all ran")
+"""
+
+
+def test_workers_without_the_package(tmp_path):
+    script = tmp_path / "job.py"
+    script.write_text(SCRIPT)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("PYTEST")}
+    done = subprocess.run([sys.executable, str(script), root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "all ran" in done.stdout, done.stderr[-3000:]
