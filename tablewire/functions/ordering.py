@@ -15,21 +15,25 @@ Positions are integers, unique and nearly dense within a key (arrival numbers,
 turn numbers, line numbers). Rows that share a position are ordered by ``then_by``.
 
 One rule for all ordered operators: a row without a key or a position has no place
-in an order and is left out (``placed``); ``unplaced`` gives those rows, so that a
-caller can keep or count them. They never meet in one group.
+in an order. Filters (``until_finished``) keep such rows; operators that join rows in
+order cannot use them, and give way to three functions that make them visible:
+``unplaced`` returns them with the error ``place``, ``place_counts`` counts them, and
+``watched`` counts them while a job runs. They never meet in one group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 16_384
 LEVELS = 1
 # Slices that become one output row (a text, an audio, a list) are smaller.
 PART_ROWS = 1024
+# The error of rows that have no place in an order.
+PLACE = "place"
 
 
 def placed(df: DataFrame, *columns: str) -> DataFrame:
@@ -38,11 +42,38 @@ def placed(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def unplaced(df: DataFrame, *columns: str) -> DataFrame:
-    """The rows that ordered operators leave out."""
+    """The rows that have no place, for the quarantine: with ``error`` set to ``place``.
+
+    A plain filter on columns that are read anyway: no exchange, and file statistics
+    skip what has no nulls.
+    """
+    return df.where(_lacks(columns)).withColumn("error", F.lit(PLACE))
+
+
+def _lacks(columns: Sequence[str]) -> Column:
     missing = F.lit(False)
     for c in columns:
         missing = missing | F.col(c).isNull()
-    return df.where(missing)
+    return missing
+
+
+def place_counts(df: DataFrame, key: str, position: str) -> DataFrame:
+    """``(missing, n)``: rows without a key, without a position, without both, and (null) placed ones.
+
+    Four partial sums a task, whatever the number of rows without a key.
+    """
+    no_key, no_position = F.col(key).isNull(), F.col(position).isNull()
+    missing = F.when(no_key & no_position, "both").when(no_key, "key").when(no_position, "position")
+    return df.groupBy(missing.alias("missing")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def watched(df: DataFrame, observation: Observation, *columns: str) -> DataFrame:
+    """``df``; ``observation`` has ``n_rows`` and ``n_unplaced`` once a job has read it.
+
+    An operator that reads its input twice counts the first time.
+    """
+    lacks = F.count_if(_lacks(columns))
+    return df.observe(observation, F.count(F.lit(1)).alias("n_rows"), lacks.alias("n_unplaced"))
 
 
 def slice_of(position: Column | str, rows: int = SLICE_ROWS) -> Column:
@@ -172,3 +203,41 @@ def _with_next(df, keys, position, then_by, own, name, rows, level):
     return sliced.join(base, [*keys, part], "left").withColumn(
         name, F.coalesce(F.lead(own).over(within), F.col(following))
     )
+
+
+def with_last(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    value: Column,
+    name: str,
+    rows: int = SLICE_ROWS,
+    levels: int = LEVELS,
+    then_by: Sequence[str] = (),
+) -> DataFrame:
+    """Add ``name``: ``value`` of the last row of the same key, up to this one, where it is not null.
+
+    Rows before the first such row have null. What a slice passes on is one value, so
+    keep ``value`` small. The slice number is kept, as ``_slice_<levels>``.
+    """
+    keys = list(keys)
+    own = f"_own_{name}"
+    prepared = placed(df, *keys, position).withColumn(own, value)
+    kept = [*df.columns, *([_slice_name(levels)] if levels else []), name]
+    return _with_last(prepared, keys, position, list(then_by), own, name, rows, levels, 0).select(*kept)
+
+
+def _with_last(df, keys, position, then_by, own, name, rows, level, end):
+    """Up to the row itself (``end`` 0) or up to the one before (-1)."""
+    order = Window.partitionBy(*keys).orderBy(position, *then_by)
+    if level == 0:
+        return df.withColumn(name, F.last(own, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, end)))
+    part, earlier = _slice_name(level), f"_earlier_{level}"
+    sliced = df.withColumn(part, slice_of(position, rows))
+    there = F.when(F.col(own).isNotNull(), F.struct(position, *then_by))
+    lasts = sliced.groupBy(*keys, part).agg(F.max_by(own, there).alias(own))
+    base = _with_last(lasts, keys, part, [], own, earlier, rows, level - 1, -1).select(*keys, part, earlier)
+    within = Window.partitionBy(*keys, part).orderBy(position, *then_by).rowsBetween(Window.unboundedPreceding, end)
+    return sliced.join(base, [*keys, part], "left").withColumn(
+        name, F.coalesce(F.last(own, ignorenulls=True).over(within), F.col(earlier))
+    )

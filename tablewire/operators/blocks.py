@@ -72,11 +72,16 @@ def latest_blocks(
     keys: Sequence[str] = ("upload_id", BLOCK),
     version: Column | str = "version",
 ) -> DataFrame:
-    """The newest row per block; a block that was sent again replaces the older one."""
+    """The newest row per block; a block that was sent again replaces the older one.
+
+    Of rows with equal versions the greatest by all its columns counts, so the result
+    does not depend on the order of rows.
+    """
     newest = F.col(version) if isinstance(version, str) else version
+    whole = F.struct(*[F.col(f"`{c}`") for c in blocks.columns])
     return (
         blocks.groupBy(*keys)
-        .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in blocks.columns]), F.struct(newest)).alias("newest"))
+        .agg(F.max_by(whole, F.struct(newest.alias("version"), whole.alias("row"))).alias("newest"))
         .select(*[F.col("newest").getField(c).alias(c) for c in blocks.columns])
     )
 

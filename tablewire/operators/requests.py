@@ -269,7 +269,7 @@ def build_tool_specs(df: DataFrame, part_params: int) -> DataFrame:
 
     Input columns: ``tool, tool_type, description, param, param_type, prop_type,
     prop_description, pos``.  A parameter given twice keeps its last value by
-    ``pos``.  A tool with more than ``part_params`` names comes as several rows,
+    ``pos``, of equal ones the greatest by its content.  A tool with more than ``part_params`` names comes as several rows,
     whose ``parameters`` objects together are the whole; others are one row, part 0.
     """
     value = F.struct(
@@ -279,13 +279,13 @@ def build_tool_specs(df: DataFrame, part_params: int) -> DataFrame:
         F.col("param_type").alias("type"),
     )
     # Repeats collapse before anything is collected, whatever their number.
+    head = F.struct("tool_type", "description")
     params = df.groupBy("tool", "param").agg(
-        F.max_by(value, F.struct("pos")).alias("value"),
-        F.max_by(F.struct("tool_type", "description"), F.struct("pos")).alias("_head"),
-        F.max("pos").alias("_pos"),
+        F.max(F.struct("pos", value.alias("value")))["value"].alias("value"),
+        F.max(F.struct("pos", head.alias("head"))).alias("_head"),
     )
     stats = params.groupBy("tool").agg(
-        F.max_by("_head", F.struct("_pos")).alias("head"),
+        F.max("_head")["head"].alias("head"),
         F.ceil(F.count(F.lit(1)) / F.lit(part_params)).alias("_parts"),
     )
     # A tool with very many names is a skewed key of this join only; adaptive

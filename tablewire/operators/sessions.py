@@ -17,6 +17,7 @@ from tablewire.functions.ordering import (
     placed,
     running_before,
     slice_of,
+    unplaced,
     with_first,
 )
 
@@ -164,11 +165,13 @@ def until_finished(
     """Events up to and including the first one that ends their session.
 
     Sessions without such an event keep everything, and events that share the
-    position of the end are kept.  Events without a session or a position are
-    left out.
+    position of the end are kept.  Nothing tells that an event without a session or
+    a position came after an end, so all of these are kept too; they go round the
+    exchange.
     """
     ended = _with_end(routed, session, seq, slice_rows)
-    return ended.where(_is_read(seq)).select(*routed.columns)
+    read = ended.where(_is_read(seq)).select(*routed.columns)
+    return read.unionByName(unplaced(routed, session, seq).select(*routed.columns))
 
 
 def late_events(

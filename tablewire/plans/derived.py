@@ -35,6 +35,23 @@ def messy_urls(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.concat(bare, joint, extra).alias("url"))
 
 
+def rough_urls(pages: DataFrame) -> DataFrame:
+    """Every page URL in capitals, with a port, segments to resolve, and white space around it."""
+    shape = r"^([a-z]+)://([^/?#]*)(.*)$"
+    ports = F.array(*[F.lit(p) for p in ("", ":443", ":80", ":8080")])
+    more = F.array(*[F.lit(p) for p in ("", "/x/..", "/./%2e", "/y/%2E%2e/z/.", "/%7e%C3%a9", "/a/../..")])
+    origin = F.upper(F.concat(F.regexp_extract("url", shape, 1), F.lit("://"), F.regexp_extract("url", shape, 2)))
+    port, extra = (F.element_at(a, (F.col("page_id") % n + 1).cast("int")) for a, n in ((ports, 4), (more, 6)))
+    return pages.select("page_id", F.concat(F.lit("  "), origin, port, extra, F.regexp_extract("url", shape, 3), F.lit("\t")).alias("url"))
+
+
+def without_places(df: DataFrame, key: str, position: str) -> DataFrame:
+    """``df`` with the key, the position, or both missing in three of eleven rows."""
+    kind = (F.col(key) * 7 + F.col(position)) % 11
+    holed = {key: F.when(~kind.isin(3, 8), F.col(key)), position: F.when(~kind.isin(5, 8), F.col(position))}
+    return df.select(*[holed[c].alias(c) if c in holed else F.col(c) for c in df.columns])
+
+
 # -- response logs --------------------------------------------------------
 
 
@@ -221,8 +238,8 @@ def tool_params(part: DataFrame) -> DataFrame:
     )
 
 
-def log_lines(events: DataFrame) -> DataFrame:
-    """``(event_id, value)``: every event as a log line, every tenth one broken."""
+def log_lines(events: DataFrame, *more: str) -> DataFrame:
+    """``(event_id, [more,] value)``: every event as a log line, every tenth one broken."""
     level = F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO")
     line = F.concat(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"),
@@ -236,7 +253,17 @@ def log_lines(events: DataFrame) -> DataFrame:
         F.col("props"),
     )
     broken = F.concat(F.lit("    at "), F.col("props"))
-    return events.select("event_id", F.when(F.col("event_id") % 10 == 3, broken).otherwise(line).alias("value"))
+    return events.select("event_id", *more, F.when(F.col("event_id") % 10 == 3, broken).otherwise(line).alias("value"))
+
+
+def log_files(events: DataFrame) -> DataFrame:
+    """``(file, line_no, value)``: the log lines in six files, one of them with four ninths of all, three of ten lines broken."""
+    broken = F.concat(F.lit("    at "), "props")
+    return log_lines(events, "user_id", "props").select(
+        F.concat(F.lit("log-"), F.least(F.col("user_id") % 9, F.lit(5)).cast("string")).alias("file"),
+        F.col("event_id").alias("line_no"),
+        F.when((F.col("event_id") % 10).isin(4, 7), broken).otherwise(F.col("value")).alias("value"),
+    )
 
 
 def error_messages(events: DataFrame) -> DataFrame:

@@ -362,4 +362,75 @@ ORACLES = {
                  WHEN 4 THEN 'header_value' WHEN 5 THEN 'json' WHEN 6 THEN 'header_text' WHEN 7 THEN 'hmac_key'
                  WHEN 8 THEN 'region' WHEN 9 THEN 'arrow' ELSE 'other' END AS error_class, count(*) AS n
         FROM events GROUP BY 1""",
+    "c1_normal_urls": r"""
+        WITH rough AS (
+          SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme,
+                 regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) || ['', ':443', ':80', ':8080'][page_id % 4 + 1] AS auth,
+                 ['', '/x/..', '/./%2e', '/y/%2E%2e/z/.', '/%7e%C3%a9', '/a/../..'][page_id % 6 + 1]
+                 || regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+                 regexp_extract(url, '^[^?#]*[?]([^#]*)', 1) AS query FROM pages),
+        cut AS (
+          SELECT *, string_split(path, '/')[2:] AS segs, lower(string_split(path, '/')[-1]) AS tail FROM rough),
+        folded AS (
+          SELECT page_id, query,
+                 regexp_replace(auth, CASE scheme WHEN 'http' THEN ':80$' ELSE ':443$' END, '') AS site,
+                 list_reduce(
+                   list_transform(segs, lambda s: [s]),
+                   lambda a, s: CASE WHEN lower(s[1]) IN ('.', '%2e') THEN a
+                     WHEN lower(s[1]) IN ('..', '.%2e', '%2e.', '%2e%2e') THEN a[1:greatest(len(a) - 1, 0)]
+                     ELSE list_concat(a, s) END,
+                   CAST([] AS VARCHAR[])) AS kept, tail FROM cut),
+        shown AS (
+          SELECT page_id, site, query AS canonical_query,
+                 replace('/' || array_to_string(
+                   CASE WHEN tail IN ('.', '%2e', '..', '.%2e', '%2e.', '%2e%2e') THEN list_append(kept, '') ELSE kept END,
+                   '/'), '%7e%C3%a9', '%7E%C3%A9') AS path FROM folded)
+        SELECT *, path || CASE WHEN canonical_query = '' THEN '' ELSE '?' || canonical_query END AS canonical FROM shown""",
+    "d1_turns_without_place": """
+        SELECT CASE WHEN (conv_id * 7 + turn) % 11 NOT IN (3, 8) THEN conv_id END AS conv_id,
+               CASE WHEN (conv_id * 7 + turn) % 11 NOT IN (5, 8) THEN turn END AS turn, role, text, 'place' AS error
+        FROM conversations WHERE (conv_id * 7 + turn) % 11 IN (3, 5, 8)""",
+    "d1_turn_places": """
+        SELECT CASE (conv_id * 7 + turn) % 11 WHEN 3 THEN 'key' WHEN 5 THEN 'position' WHEN 8 THEN 'both' END AS missing,
+               count(*) AS n
+        FROM conversations GROUP BY 1""",
+    "f3_until_finished_without_place": f"""
+        WITH seen AS (SELECT *, (session_id * 7 + seq) % 11 AS kind FROM ({_MESSAGES}) m),
+        ends AS (
+          SELECT session_id, min(seq) AS ended FROM seen
+          WHERE event_class IN ('finished', 'close', 'error') AND kind NOT IN (3, 5, 8) GROUP BY session_id)
+        SELECT CASE WHEN kind NOT IN (3, 8) THEN s.session_id END AS session_id,
+               CASE WHEN kind NOT IN (5, 8) THEN seq END AS seq, event_class
+        FROM seen s LEFT JOIN ends e ON s.session_id = e.session_id
+        WHERE kind IN (3, 5, 8) OR ended IS NULL OR seq <= ended""",
+    "g1_log_records": """
+        WITH lines AS (
+          SELECT 'log-' || least(user_id % 9, 5) AS file, event_id AS line_no, event_id % 10 NOT IN (3, 4, 7) AS head,
+                 date_trunc('milliseconds', ts) AS ts, 'ThreadId(' || (user_id % 8) || ')' AS thread,
+                 CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, 'app::' || event_type AS module,
+                 CASE WHEN event_id % 10 IN (3, 4, 7) THEN repeat(' ', 4) || 'at ' || props ELSE props END AS body FROM events),
+        numbered AS (SELECT *, sum(head::INT) OVER (PARTITION BY file ORDER BY line_no) AS nth FROM lines),
+        placed AS (
+          SELECT *, coalesce(min(line_no) FILTER (head) OVER (PARTITION BY file, nth), 0) AS first FROM numbered)
+        SELECT file, CASE WHEN nth = 0 THEN min(line_no) ELSE first END AS line_no,
+               CAST((line_no - first) // 4 AS BIGINT) AS part,
+               max(CASE WHEN nth > 0 THEN first_value END) AS ts, max(CASE WHEN nth > 0 THEN thread1 END) AS thread,
+               max(CASE WHEN nth > 0 THEN level1 END) AS level, max(CASE WHEN nth > 0 THEN module1 END) AS module,
+               string_agg(body, chr(10) ORDER BY line_no) AS message, count(*) AS n_lines,
+               CASE WHEN nth = 0 THEN 'log:format' END AS error
+        FROM (SELECT *, min(ts) FILTER (head) OVER w AS first_value, min(thread) FILTER (head) OVER w AS thread1,
+                     min(level) FILTER (head) OVER w AS level1, min(module) FILTER (head) OVER w AS module1
+              FROM placed WINDOW w AS (PARTITION BY file, nth)) p
+        GROUP BY file, nth, first, (p.line_no - first) // 4""",
+    "g2_retain_days_undated": """
+        SELECT event_id, ts FROM (
+          SELECT *, dense_rank() OVER (ORDER BY CAST(ts AS DATE) DESC NULLS LAST) AS day_rank
+          FROM (SELECT event_id, CASE WHEN event_id % 7 <> 2 THEN ts END AS ts FROM events))
+        WHERE day_rank <= 7 OR ts IS NULL""",
+    "g2_day_counts": """
+        SELECT CASE WHEN ts IS NULL THEN 'undated' WHEN day_rank <= 7 THEN 'kept' ELSE 'removed' END AS fate, count(*) AS n
+        FROM (
+          SELECT *, dense_rank() OVER (ORDER BY CAST(ts AS DATE) DESC NULLS LAST) AS day_rank
+          FROM (SELECT event_id, CASE WHEN event_id % 7 <> 2 THEN ts END AS ts FROM events))
+        GROUP BY 1""",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewire.functions import ordering
 from tablewire.operators import blocks, logs, quality, requests, responses, sessions, urls
 from tablewire.plans import derived, publish
 from tablewire.plans.derived import table
@@ -257,6 +258,11 @@ def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.canonical_url(pages, "url").drop("url")
 
 
+def normal_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = derived.rough_urls(table(spark, sf_dir, "pages"))
+    return urls.canonical_url(pages, "url", upper_escapes=True).drop("url")
+
+
 def canonical_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         "page_id", F.regexp_replace("url", r"/\d+", "/n").alias("url")
@@ -279,6 +285,16 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("conv_id", "part", F.to_json("messages").alias("messages"))
 
 
+def turns_without_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = derived.without_places(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    return ordering.unplaced(turns, "conv_id", "turn")
+
+
+def turn_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = derived.without_places(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    return ordering.place_counts(turns, "conv_id", "turn")
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.history_pairs(table(spark, sf_dir, "conversations"), slice_turns=4)
 
@@ -424,6 +440,11 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("session_id", "seq", "event_class")
 
 
+def read_events_without_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = derived.without_places(_routed(spark, sf_dir), "session_id", "seq")
+    return sessions.until_finished(routed, slice_rows=SLICE).select("session_id", "seq", "event_class")
+
+
 def audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = sessions.until_finished(_routed(spark, sf_dir), slice_rows=SLICE)
     parts = sessions.assemble_audio(kept, part_events=SLICE)
@@ -500,6 +521,23 @@ def log_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.parse_log_lines(derived.log_lines(table(spark, sf_dir, "events"))).drop("value")
 
 
+def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = derived.log_files(table(spark, sf_dir, "events"))
+    return logs.log_records(files, part_lines=4, slice_rows=64)
+
+
+def days_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    undated = events.withColumn("ts", F.when(F.col("event_id") % 7 != 2, F.col("ts")))
+    return logs.day_counts(undated, "ts", 7)
+
+
+def retained_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    undated = events.withColumn("ts", F.when(F.col("event_id") % 7 != 2, F.col("ts")))
+    return logs.retain_days(undated, "ts", 7).select("event_id", "ts")
+
+
 def retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.retain_days(table(spark, sf_dir, "events"), "ts", 7).select("event_id", "ts")
 
@@ -542,8 +580,11 @@ QUERIES = {
     "b9_stream_to_blocks": streamed_blocks,
     "c1_canonical_url": canonical,
     "c1_canonical_url_dedupe": canonical_kept,
+    "c1_normal_urls": normal_urls,
     "c2_label_counts": host_labels,
     "d1_collect_messages": messages,
+    "d1_turns_without_place": turns_without_place,
+    "d1_turn_places": turn_places,
     "d2_history_pairs": history,
     "d3_build_requests": request_bodies,
     "d3_conversation_requests": request_pieces,
@@ -561,6 +602,7 @@ QUERIES = {
     "f1_session_commands": commands,
     "f2_route_events": event_classes,
     "f3_until_finished": read_events,
+    "f3_until_finished_without_place": read_events_without_place,
     "f4_assemble_audio": audio,
     "f4_session_audio": audio_at_once,
     "f4_audio_sizes": audio_bytes,
@@ -570,7 +612,10 @@ QUERIES = {
     "f6_stream_sessions_lifecycle": streamed_lifecycles,
     "f6_stream_sessions_late": streamed_late,
     "g1_parse_log_lines": log_fields,
+    "g1_log_records": log_records,
     "g2_retain_days": retained,
+    "g2_retain_days_undated": retained_undated,
+    "g2_day_counts": days_kept,
     "g2_retain_partitions": retained_folders,
     "g3_classify_errors": error_counts,
 }

@@ -96,6 +96,7 @@ def read_row_range(
 ) -> DataFrame:
     """Rows ``start .. start + count`` in the order of unique ``order_keys``.
 
+    Keys that are not unique at an edge of the range are an error, whatever its size.
     A short prefix is a top-k.  Otherwise the two keys at the edges of the range
     are found first, by counting, and the read itself is a plain range filter on
     the keys: no sort, no exchange, and file statistics can skip the rest.  The
@@ -104,9 +105,11 @@ def read_row_range(
     if start < 0 or count < 0:
         raise ValueError("start and count must not be negative")
     keys = list(order_keys)
+    order = _KeyOrder(df, keys)
     if start + count <= top_rows:
+        if count and order.tied(start - 1) | order.tied(start + count - 1):
+            raise ValueError(f"{keys} are not unique at the edge of the row range")
         return df.orderBy(*keys).offset(start).limit(count)
-    order = _KeyOrder(df, keys)
     total = df.count()
     stop = min(start + count, total)
     if start >= stop:
@@ -188,6 +191,13 @@ class _KeyOrder:
         # Text survives the way to the driver and back for every ordered type.
         return [tuple(r) for r in rows.select(*[c.cast("string") for c in self.columns]).collect()]
 
+    def tied(self, rank: int) -> bool:
+        """Whether the rows at ``rank`` and after it share their key; a top-k of keys alone."""
+        if rank < 0:
+            return False
+        pair = self._as_text(self.rows.orderBy(*self.keys).offset(rank).limit(2))
+        return len(pair) == 2 and pair[0] == pair[1]
+
     def key_at(self, rank: int, total: int, top_rows: int) -> tuple:
         """Key of the row with the given rank; each step cuts the candidates."""
         low, high, size = None, None, total

@@ -1,3 +1,4 @@
+import random
 import hashlib
 import zlib
 
@@ -75,3 +76,11 @@ def test_checksum_kinds(spark):
 def test_chunks_need_no_exchange(spark, plan):
     df = spark.range(3).select("id", F.lit("abc").alias("t"))
     assert "Exchange" not in plan(blocks.chunk_ledger(df, ["id"], "t", 2))
+
+
+def test_equal_versions_do_not_depend_on_the_order_of_rows(spark):
+    rows = [("u", 1, f"f{k}", 7) for k in range(40)] + [("u", 2, "g", None), ("u", 2, "h", 3)]
+    for seed in range(3):
+        df = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "upload_id string, block_id long, file string, version long")
+        found = blocks.latest_blocks(df.repartition(5)).collect()
+        assert sorted(map(tuple, found)) == [("u", 1, "f9", 7), ("u", 2, "h", 3)]

@@ -5,8 +5,10 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from tablewire.functions import ordering
 from tablewire.operators import requests, responses, sessions
 from tablewire.operators.quality import split_errors
 
@@ -97,12 +99,12 @@ def events(spark):
 @pytest.mark.parametrize("size", SIZES)
 def test_sessions(events, size):
     rows, routed = events
-    kept, late, audio = {}, {}, {}
+    kept, late, audio = {None: sum(r[0] is None for r in rows)}, {}, {}
     for key in (1, 2, 3):
         own = [r for r in rows if r[0] == key and r[1] is not None]
         end = min((r[1] for r in own if r[3] == "session.finished"), default=None)
         read = [r for r in own if end is None or r[1] <= end]
-        kept[key], late[key] = len(read), len(own) - len(read)
+        kept[key], late[key] = len(read) + sum(r[0] == key and r[1] is None for r in rows), len(own) - len(read)
         deltas = sorted((r[1], base64.b64decode(r[4])) for r in read if r[3] == "response.audio.delta")
         audio[key] = b"".join(d for _, d in deltas)
     got = sessions.until_finished(routed, slice_rows=size).groupBy("session_id").count().collect()
@@ -160,3 +162,36 @@ def test_lines_without_a_place_are_kept_and_quarantined(spark):
     good, bad = split_errors(responses.parse_responses(lines))
     assert [(r.request_id, r.chunk_seq) for r in good.collect()] == [(1, 0)]
     assert [r.error for r in bad.collect()] == ["place"] * 4
+
+
+def test_rows_without_a_place_are_visible(spark, events):
+    rows, routed = events
+    lost = [r for r in rows if r[0] is None or r[1] is None]
+    found = ordering.unplaced(routed, "session_id", "seq").collect()
+    assert sorted((str(r.session_id), str(r.seq)) for r in found) == sorted((str(r[0]), str(r[1])) for r in lost)
+    assert {r.error for r in found} == {"place"}
+    counts = {r.missing: r.n for r in ordering.place_counts(routed, "session_id", "seq").collect()}
+    assert counts == {
+        "both": sum(r[0] is None and r[1] is None for r in rows), "key": sum(r[0] is None and r[1] is not None for r in rows),
+        "position": sum(r[0] is not None and r[1] is None for r in rows), None: len(rows) - len(lost),
+    }
+    observation = Observation("places")
+    sessions.late_events(ordering.watched(routed, observation, "session_id", "seq")).collect()
+    assert observation.get == {"n_rows": len(rows), "n_unplaced": len(lost)}
+
+
+@pytest.mark.parametrize("rows", [2, 5, 1 << 14])
+@pytest.mark.parametrize("levels", [0, 1, 2])
+def test_last_value(spark, rows, levels):
+    rng = random.Random(rows)
+    data = [(k, rng.randrange(60), rng.choice(["x", "y", "z"]), rng.choice([None, None, None, 1, 2, 3])) for k in (1, 2, None) for _ in range(50)]
+    data = list({r[:3]: r for r in data}.values()) + [(1, None, "x", 5)]
+    df = spark.createDataFrame(data, "k long, p long, t string, v long").repartition(3)
+    found = ordering.with_last(df, ["k"], "p", F.col("v"), "last", rows=rows, levels=levels, then_by=["t"]).collect()
+    want = []
+    for key in (1, 2):
+        last = None
+        for r in sorted((r for r in ((p, t, v) for k, p, t, v in data if k == key and p is not None)), key=lambda r: r[:2]):
+            last = r[2] if r[2] is not None else last
+            want.append((key, *r[:2], last))
+    assert sorted((r.k, r.p, r.t, r["last"]) for r in found) == sorted(want)

@@ -56,6 +56,16 @@ def test_ties_at_the_edge_are_an_error(spark):
         scan.read_row_range(df, ["k"], 250, 3000, top_rows=10)
 
 
+@pytest.mark.parametrize(("start", "count", "tied"), [(25, 30, True), (20, 35, True), (20, 30, False), (0, 30, False), (0, 31, True), (1, 5000, True), (0, 5000, False), (7, 0, False)])
+def test_ties_at_the_edge_of_a_short_range(spark, start, count, tied):
+    df = spark.range(100).select(F.floor(F.col("id") / 10).alias("k"))
+    if tied:
+        with pytest.raises(ValueError, match="not unique"):
+            scan.read_row_range(df, ["k"], start, count)
+    else:
+        assert scan.read_row_range(df, ["k"], start, count).count() == min(count, 100 - start)
+
+
 def test_ties_inside_are_no_error(spark):
     df = spark.range(5000).select(F.when(F.col("id").between(100, 4000), 100).otherwise(F.col("id")).alias("k"))
     assert scan.read_row_range(df, ["k"], 50, 4500, top_rows=10).count() == 4500

@@ -19,6 +19,20 @@ CASES = {
     "https://h/x?B=1&a=2&&_=3": ("/x", "B=1&_=3&a=2", "/x?B=1&_=3&a=2"),
     "https://h/x?k=a=b": ("/x", "k=a=b", "/x?k=a=b"),
     "https://h/x?k=%3C'%22%3E": ("/x", "k=%3C%27%22%3E", "/x?k=%3C%27%22%3E"),
+    "  https://h/a b\t\n/c ": ("/a%20b/c", "", "/a%20b/c"),
+    "https://h/a/./b/../c": ("/a/c", "", "/a/c"),
+    "https://h/a/b/..": ("/a/", "", "/a/"),
+    "https://h/a/b/.": ("/a/b/", "", "/a/b/"),
+    "https://h/../../x": ("/x", "", "/x"),
+    "https://h/a/%2E%2e/b/%2e/c": ("/b/c", "", "/b/c"),
+    "https://h/a//../b": ("/a/b", "", "/a/b"),
+    "https://h/..a/.b/...": ("/..a/.b/...", "", "/..a/.b/..."),
+    "https:\\\\h\\a\\..\\b?x=\\": ("/b", "x=\\", "/b?x=\\"),
+    "https://h/é{`}%c3%a9": ("/%C3%A9%7B%60%7D%c3%a9", "", "/%C3%A9%7B%60%7D%c3%a9"),
+    "https://h:99999/x": (None, None, None),
+    "https://h:8x/x": (None, None, None),
+    "https:///x": (None, None, None),
+    "https://h/" + "d/../" * 300 + "e": ("/e", "", "/e"),
     "no url": (None, None, None),
     None: (None, None, None),
 }
@@ -36,6 +50,32 @@ def test_canonical(found, url):
     assert (row["path"], row["canonical_query"], row["canonical"]) == CASES[url]
 
 
+SITES = {
+    "HTTP://WWW.Example.COM:80/": "www.example.com",
+    "https://h:443": "h",
+    "https://h:0443/": "h",
+    "https://h:/": "h",
+    "https://h:80/": "h:80",
+    "wss://H:443/": "h",
+    "https://User:pw@H:8080/": "User:pw@h:8080",
+    "https://@h/": "h",
+    "https://[2001:DB8::1]:443/": "[2001:db8::1]",
+    "custom://Host:80/": "Host:80",
+    "https://h:65535/": "h:65535",
+}
+
+
+def test_sites(spark):
+    found = canonical_url(spark.createDataFrame([(u,) for u in SITES], "url string"), "url").collect()
+    assert {r["url"]: r["site"] for r in found} == SITES
+
+
+def test_escape_case(spark):
+    df = spark.createDataFrame([("http://h/%7e%C3%a9%zz%4",)], "url string")
+    assert canonical_url(df, "url", upper_escapes=True).first()["path"] == "/%7E%C3%A9%zz%4"
+    assert canonical_url(df, "url").first()["path"] == "/%7e%C3%a9%zz%4"
+
+
 def test_pages_against_an_independent_parser(spark, table):
     for row in canonical_url(table("pages"), "url").collect():
         parts = urllib.parse.urlsplit(row["url"])
