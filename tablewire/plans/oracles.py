@@ -338,6 +338,7 @@ ORACLES = {
     "f5_session_lifecycle": _LIFECYCLE,
     "f5_late_events": _LATE,
     "f6_stream_sessions_audio": _audio(32),
+    "f6_stream_sessions_belated_audio": _audio(32),
     "f6_stream_sessions_lifecycle": _LIFECYCLE,
     "f6_stream_sessions_late": _LATE,
     "g1_parse_log_lines": """

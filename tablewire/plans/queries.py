@@ -468,34 +468,42 @@ def late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.late_events(_routed(spark, sf_dir), slice_rows=SLICE)
 
 
-def _streamed_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed_slices(spark: SparkSession, sf_dir: str, belated: bool = False) -> DataFrame:
     """Session messages written as files, replayed as a stream, collected as slices."""
     source, sink = shared_dir(spark, "messages"), shared_dir(spark, "slices")
     checkpoint = shared_dir(spark, "checkpoint")
     events = derived.session_events(table(spark, sf_dir, "conversations"))
-    events.write.parquet(source)
-    # One message of a far time moves the watermark on, so that timers run out.
-    clock = spark.range(1).select(
-        F.lit(-1).cast("long").alias("session_id"),
-        F.lit(0).cast("long").alias("seq"),
-        F.timestamp_seconds(F.lit(4_000_000_000)).alias("ts"),
-        F.lit('{"type":"clock"}').alias("payload"),
-        F.lit("text").alias("frame"),
-    )
-    clock.write.mode("append").parquet(source)
+
+    def clock(second: int) -> DataFrame:
+        """One message of a far time moves the watermark on, so that timers run out."""
+        return spark.range(1).select(
+            F.lit(-1).cast("long").alias("session_id"),
+            F.lit(0).cast("long").alias("seq"),
+            F.timestamp_seconds(F.lit(second)).alias("ts"),
+            F.lit('{"type":"clock"}').alias("payload"),
+            F.lit("text").alias("frame"),
+        )
+
+    arrivals = [events.unionByName(clock(4_000_000_000))]
+    if belated:  # a third of the events arrive when the slices of the others were given out
+        is_late = F.col("seq") % 3 == 1
+        last = events.where(is_late).withColumn("ts", F.timestamp_seconds(F.lit(4_000_000_100)))
+        arrivals = [events.where(~is_late).unionByName(clock(4_000_000_000)), last, clock(4_100_000_000)]
     before = spark.conf.get(slices.STATE_STORE)
     spark.conf.set(slices.STATE_STORE, slices.ROCKSDB)
     try:
-        stream = spark.readStream.schema(events.schema).parquet(source)
-        query = (
-            slices.stream_sessions(stream, timeout_ms=60_000, slice_events=STREAM_SLICE, frame="frame")
-            .writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .option("path", sink)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+        for arrived in arrivals:
+            arrived.write.mode("append").parquet(source)
+            stream = spark.readStream.schema(events.schema).parquet(source)
+            query = (
+                slices.stream_sessions(stream, timeout_ms=60_000, slice_events=STREAM_SLICE, frame="frame")
+                .writeStream.format("parquet")
+                .option("checkpointLocation", checkpoint)
+                .option("path", sink)
+                .trigger(availableNow=True)
+                .start()
+            )
+            query.awaitTermination()
     finally:
         spark.conf.set(slices.STATE_STORE, before)
     return spark.read.schema(slices.SLICE_SCHEMA).parquet(sink).where("session_id >= 0")
@@ -514,6 +522,11 @@ def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.late_counts(_streamed_slices(spark, sf_dir))
 
 
+def streamed_belated_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = slices.audio_parts(_streamed_slices(spark, sf_dir, belated=True))
+    return parts.select("session_id", "part", "n_bytes", "seconds", "n_bad", F.md5("audio").alias("audio_md5"))
+
+
 # -- G: logs --------------------------------------------------------------
 
 
@@ -609,6 +622,7 @@ QUERIES = {
     "f5_session_lifecycle": lifecycles,
     "f5_late_events": late,
     "f6_stream_sessions_audio": streamed_audio,
+    "f6_stream_sessions_belated_audio": streamed_belated_audio,
     "f6_stream_sessions_lifecycle": streamed_lifecycles,
     "f6_stream_sessions_late": streamed_late,
     "g1_parse_log_lines": log_fields,

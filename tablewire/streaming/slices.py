@@ -3,9 +3,13 @@
 A session is cut into slices of consecutive event numbers, and the state is kept
 per slice: a long session is spread over tasks and no state grows with it.  A
 slice is given out when it is complete, when its session ends inside it and
-everything before the end has come, or when its timer runs out.  What belongs to
-the whole session (is there an earlier end?) is small and is settled when the
-slices are read, by ``lifecycle`` and ``audio_parts``.
+everything before the end has come, or when its timer runs out.  Events that come
+after that are given out as further revisions of their slice, each with the positions
+of its own events.  So no payload has to stay in the state for them, and they count
+even when the slice has been forgotten.  What belongs to the whole slice (all its
+revisions) or to the whole session (is there an earlier end?) is settled when the
+slices are read, by ``lifecycle``, ``audio_parts`` and ``late_counts``: on the same
+events they give what the batch operators give, in whatever order events arrive.
 """
 
 from __future__ import annotations
@@ -35,11 +39,15 @@ EVENT_STATE = "seq bigint, event_class string, audio binary, is_delta boolean"
 SLICE_COLUMNS = [
     "session_id", "part", "reason", "n_events", "created_seq", "finished_seq",
     "closed_seq", "error_seq", "max_seq", "audio", "n_bytes", "n_bad", "n_deltas", "n_late",
+    "revision", "seqs", "delta_seqs", "delta_ends",
 ]
 SLICE_SCHEMA = (
     "session_id bigint, part bigint, reason string, n_events bigint, created_seq bigint, "
     "finished_seq bigint, closed_seq bigint, error_seq bigint, max_seq bigint, "
-    "audio binary, n_bytes bigint, n_bad bigint, n_deltas bigint, n_late bigint"
+    "audio binary, n_bytes bigint, n_bad bigint, n_deltas bigint, n_late bigint, "
+    # the revision, the positions of all events, and those of the deltas read, with the place in ``audio`` where
+    # each ends (null for one that is no base64)
+    "revision int, seqs array<bigint>, delta_seqs array<bigint>, delta_ends array<bigint>"
 )
 
 
@@ -47,10 +55,11 @@ OnSlice = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 class SliceProcessor(StatefulProcessor):
-    """Collects one slice, at most ``slice_events`` events, and gives it out once.
+    """Collects one slice, at most ``slice_events`` events, and gives it out.
 
-    What stays of a slice that was given out is a mark, which is forgotten
-    ``forget_ms`` later; until then further events count as late.
+    What stays of a slice that was given out is the number of its revisions, which
+    is forgotten ``forget_ms`` after the first one; until then further events are
+    given out at once, as the next revision, and later ones as a slice anew.
     """
 
     def __init__(
@@ -65,10 +74,10 @@ class SliceProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.events = handle.getListState("events", EVENT_STATE)
-        self.progress = handle.getValueState("progress", "n bigint, end_seq bigint, timer bigint, done boolean")
+        self.progress = handle.getValueState("progress", "n bigint, end_seq bigint, timer bigint, given bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, end, timer, done = self.progress.get() or (0, None, None, False)
+        n, end, timer, given = self.progress.get() or (0, None, None, 0)
         arrived, newest = [], 0
         for batch in rows:
             arrived += zip(
@@ -78,8 +87,9 @@ class SliceProcessor(StatefulProcessor):
                 batch["is_delta"].tolist(),
             )
             newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
-        if done:
-            yield self.slice_row(key, arrived, "late")
+        if given:
+            self.progress.update((0, None, None, given + 1))
+            yield self.slice_row(key, arrived, "late", given + 1)
             return
         now = newest if self.by_event_time else timerValues.getCurrentProcessingTimeInMs()
         ends = [seq for seq, kind, _, _ in arrived if kind in ENDINGS]
@@ -103,11 +113,11 @@ class SliceProcessor(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(expiry)
             timer = expiry
-        self.progress.update((n + len(arrived), end, timer, False))
+        self.progress.update((n + len(arrived), end, timer, 0))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        _, _, _, done = self.progress.get()
-        if done:
+        _, _, _, given = self.progress.get()
+        if given:
             self.progress.clear()
             return
         yield self.slice_row(key, list(self.events.get()), "timeout")
@@ -116,21 +126,26 @@ class SliceProcessor(StatefulProcessor):
 
     def given_out(self, now: int) -> None:
         self.handle.registerTimer(now + self.forget_ms)
-        self.progress.update((0, None, None, True))
+        self.progress.update((0, None, None, 1))
 
-    def slice_row(self, key, events: list, reason: str) -> pd.DataFrame:
-        events = sorted(events, key=lambda e: e[0])
+    def slice_row(self, key, events: list, reason: str, revision: int = 1) -> pd.DataFrame:
+        events = sorted(events, key=lambda e: (e[0], e[2] or b""))
         firsts = {}
         for seq, kind, _, _ in events:
             firsts.setdefault(kind, seq)
         end = min((firsts[k] for k in ENDINGS if k in firsts), default=None)
         read = [e for e in events if end is None or e[0] <= end]
-        audio = b"".join(e[2] for e in read if e[2] is not None)
+        deltas = [(e[0], e[2]) for e in read if e[3]]
+        audio = b"".join(data for _, data in deltas if data is not None)
+        ends, at = [], 0
+        for _, data in deltas:
+            at += len(data or b"")
+            ends.append(None if data is None else at)
         values = [
             key[0], key[1], reason, len(events), firsts.get("created"), firsts.get("finished"),
             firsts.get("close"), firsts.get("error"), events[-1][0], audio, len(audio),
-            sum(1 for e in read if e[3] and e[2] is None), sum(1 for e in read if e[3]),
-            len(events) - len(read),
+            ends.count(None), len(deltas), len(events) - len(read),
+            revision, [e[0] for e in events], [seq for seq, _ in deltas], ends,
         ]
         row = pd.DataFrame([values], columns=SLICE_COLUMNS, dtype="object")
         return row if self.on_slice is None else self.on_slice(row)
@@ -153,8 +168,9 @@ def stream_sessions(
 
     ``events`` has ``session_id, seq, ts, payload`` (and ``frame``).  The state
     store must be the RocksDB one (``STATE_STORE`` / ``ROCKSDB``).  Events of a
-    slice that was given out already come as rows with reason ``late``, for
-    ``forget_ms`` afterwards; choose it longer than events can be delayed.
+    slice that was given out already come as rows with reason ``late`` and the next
+    ``revision``, for ``forget_ms`` afterwards, and then as a slice of their own;
+    the readers below put all rows of a slice together.
 
     ``on_slice`` is called in the task with each slice that is given out, as a
     DataFrame of one row; what it returns, in the shape of ``schema``, is the
@@ -165,7 +181,8 @@ def stream_sessions(
     every event is kept; such a query waits for its timers, so it runs with a
     periodic trigger and not until "available now" is done.
     """
-    # Events without a session, a number or a time have no place and would stop the state for good.
+    # Events without a session, a number or a time have no place and would stop the state for good;
+    # ``ordering.unplaced`` gives a second stream of them.
     events = placed(events, "session_id", "seq", "ts")
     timed = events if watermark is None else events.withWatermark("ts", watermark)
     routed = route_events(timed, "payload", frame).select(
@@ -185,12 +202,8 @@ def stream_sessions(
     )
 
 
-def on_time(slices: DataFrame) -> DataFrame:
-    return slices.where(F.col("reason") != "late")
-
-
 def lifecycle(slices: DataFrame) -> DataFrame:
-    """The rows of ``session_lifecycle``, from slices; events that came after their slice was given out count too."""
+    """The rows of ``session_lifecycle``, from slices and their revisions."""
     seen = slices.groupBy("session_id").agg(
         F.min("created_seq").alias("_created"),
         F.min("finished_seq").alias("_finished"),
@@ -201,29 +214,50 @@ def lifecycle(slices: DataFrame) -> DataFrame:
     return lifecycle_of(seen, "session_id")
 
 
-def _ended_before(slices: DataFrame) -> DataFrame:
-    """Adds ``_ended``: slices of the session, before this one, that hold an end."""
-    ended = F.coalesce("finished_seq", "closed_seq", "error_seq").isNotNull()
-    return running_before(slices, ["session_id"], PART, {"_ended": F.when(ended, 1).otherwise(0)})
+def _whole_slices(slices: DataFrame) -> DataFrame:
+    """``(session_id, part, _rows, _end, _ended)``: rows of each slice, its first end, and slices before it that hold an end.
+
+    One narrow row per slice; no audio is read.
+    """
+    end = F.least(F.min("finished_seq"), F.min("closed_seq"), F.min("error_seq"))
+    whole = slices.groupBy("session_id", PART).agg(F.count(F.lit(1)).alias("_rows"), end.alias("_end"))
+    ended = F.when(F.col("_end").isNotNull(), 1).otherwise(0)
+    return running_before(whole, ["session_id"], PART, {"_ended": ended}).select("session_id", PART, "_rows", "_end", "_ended")
 
 
 def audio_parts(slices: DataFrame, audio: AudioFormat = PCM_24000HZ_MONO_16BIT) -> DataFrame:
-    """The rows of ``assemble_audio`` over ``until_finished`` events, from slices."""
-    read = _ended_before(on_time(slices)).where((F.col("_ended") == 0) & (F.col("n_deltas") > 0))
-    return read.select(
-        "session_id", PART, "audio", "n_bytes", audio.seconds(F.col("n_bytes")).alias("seconds"), "n_bad"
+    """The rows of ``assemble_audio`` over ``until_finished`` events, from slices.
+
+    A slice of one row is taken as it is; the deltas of several revisions are put in
+    order, up to the first end that any of them holds.
+    """
+    read = slices.where("n_deltas > 0").join(_whole_slices(slices), ["session_id", PART]).where("_ended = 0")
+    once = read.where("_rows = 1").select("session_id", PART, "audio", "n_bytes", "n_bad")
+    several = read.where("_rows > 1").select(
+        "session_id", PART, "_end", "audio", F.posexplode(F.arrays_zip("delta_seqs", "delta_ends")).alias("_at", "_delta"), "delta_ends"
+    )
+    before = F.array_max(F.slice("delta_ends", 1, F.col("_at")))
+    start = F.coalesce(F.when(F.col("_at") > 0, before), F.lit(0).cast("long"))
+    stop = F.col("_delta.delta_ends")
+    piece = F.when(stop.isNotNull(), F.substring("audio", (start + 1).cast("int"), (stop - start).cast("int")))
+    deltas = several.select("session_id", PART, "_end", F.col("_delta.delta_seqs").alias("_seq"), piece.alias("_piece"))
+    merged = (
+        deltas.where("_end IS NULL OR _seq <= _end")
+        .groupBy("session_id", PART)
+        .agg(
+            F.coalesce(F.expr("listagg(_piece, X'') WITHIN GROUP (ORDER BY _seq, _piece)"), F.lit(b"")).alias("audio"),
+            F.coalesce(F.sum(F.octet_length("_piece")), F.lit(0)).cast("long").alias("n_bytes"),
+            F.count_if(F.col("_piece").isNull()).alias("n_bad"),
+        )
     )
+    parts = once.unionByName(merged)
+    return parts.select("session_id", PART, "audio", "n_bytes", audio.seconds(F.col("n_bytes")).alias("seconds"), "n_bad")
 
 
 def late_counts(slices: DataFrame) -> DataFrame:
-    """``(session_id, n_late)``: events after the end of their session.
-
-    Those are the events after an end inside its slice, all events of later
-    slices, and the events that came when their slice was given out already.
-    """
-    timely = _ended_before(on_time(slices)).select(
-        "session_id", F.when(F.col("_ended") > 0, F.col("n_events")).otherwise(F.col("n_late")).alias("n_late")
-    )
-    belated = slices.where(F.col("reason") == "late").select("session_id", F.col("n_events").alias("n_late"))
-    counted = timely.unionByName(belated).groupBy("session_id").agg(F.sum("n_late").alias("n_late"))
+    """``(session_id, n_late)``: events after the end of their session, in their slice or a later one."""
+    events = slices.select("session_id", PART, "n_events", "n_late", "seqs").join(_whole_slices(slices), ["session_id", PART])
+    beyond = F.when(F.col("_rows") == 1, F.col("n_late")).otherwise(F.size(F.filter("seqs", lambda s: s > F.col("_end"))))
+    n = F.when(F.col("_ended") > 0, F.col("n_events")).when(F.col("_end").isNull(), 0).otherwise(beyond)
+    counted = events.groupBy("session_id").agg(F.sum(n).alias("n_late"))
     return counted.where(F.col("n_late") > 0)

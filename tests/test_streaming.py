@@ -1,5 +1,6 @@
 import base64
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,10 +163,31 @@ def test_events_after_their_slice_come_as_late_rows(replay):
     out, _ = replay([first, second])
     rows = {r["reason"]: r for r in out.collect()}
     assert rows["ended"]["n_events"] == 4 and rows["late"]["n_events"] == 4
-    assert slices.on_time(out).count() == 1
+    assert (rows["ended"]["revision"], rows["late"]["revision"]) == (1, 2)
     assert as_rows(slices.late_counts(out), "session_id") == [(1, 4)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_late_events_come_as_revisions_and_the_stream_equals_the_batch(replay, seed):
+    rng = random.Random(seed)
+    rows = (
+        session_rows(1, 20, end=13) + session_rows(2, 11) + session_rows(3, 16, end=4, ending="close")
+        + session_rows(4, 8, end=7, ending="error") + session_rows(5, 24) + session_rows(6, 30, end=9)
+    )
+    rows += [(*r[:3], event("response.audio.delta", delta=base64.b64encode(b"again").decode()), "text") for r in rng.sample(rows, 12)]
+    rng.shuffle(rows)
+    # a third on time, then time passes, then the rest in two batches with fresh times: every slice has revisions
+    cuts = [rows[0::3], [(-1, 1, 50_000, event("clock"), "text")], rows[1::3], [(-1, 2, 90_000, event("clock"), "text")], rows[2::3]]
+    files = [[(*r[:2], r[2] + (50_000 * (k // 2) if k % 2 == 0 else 0), *r[3:]) for r in part] for k, part in enumerate(cuts)]
+    out, routed = replay(files)
+    routed = routed.where("session_id >= 0")
+    assert out.where("revision > 1").count() > 5
+    assert as_rows(slices.lifecycle(out), "session_id") == as_rows(sessions.session_lifecycle(routed), "session_id")
+    expected = sessions.assemble_audio(sessions.until_finished(routed), part_events=8)
+    assert as_rows(slices.audio_parts(out), "session_id", "part") == as_rows(expected, "session_id", "part")
+    assert as_rows(slices.late_counts(out), "session_id") == as_rows(sessions.late_events(routed), "session_id")
+
+
 def test_without_a_watermark_nothing_is_too_late(spark, tmp_path):
     source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     spark.conf.set(slices.STATE_STORE, slices.ROCKSDB)
