@@ -7,10 +7,10 @@ too close to the threshold to be sure, the sites of that line are counted
 exactly. Boilerplate lines are taken out of every document but one: the smallest
 id that holds the line keeps its first occurrence, so no content of the corpus
 is lost, and the only copy of a line is never touched. A document that consists
-of such lines by more than ``max_share`` of its words is a copy of other documents
-rather than a carrier of boilerplate; it is left whole, to be judged as a
-document. Where ``copies`` is given, it tells which of these documents really are
-copies, and the others lose their repeated lines like any document.
+of such lines by more than ``max_share`` of its words and whose text another id has
+too is a copy rather than a carrier of boilerplate; it is left whole, to be judged
+as a document. Where ``copies`` is given, it tells instead which of the documents
+above ``max_share`` are copies. All others lose their repeated lines.
 
 A line is what stands between line feeds; for comparison its white space is
 trimmed and inner runs count as one space. Lines of fewer than ``min_words``
@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewire.llm.shared import settle
+from tablewire.llm.shared import free_prefix, settle
 
 #: log2 of the registers of a sketch; its standard error is about 1.04 / sqrt(2**LOG_K).
 LOG_K = 10
@@ -98,7 +98,8 @@ def remove_boilerplate(
     """``docs`` with boilerplate lines taken out of the text column.
 
     ``copies`` gets the documents above ``max_share`` as ``(candidate, key, text)`` and
-    gives the ``candidate`` of those to be left whole; without it all of them are.
+    gives the ``candidate`` of those to be left whole; without it those are left whole
+    whose text has another id too.
     """
     lines = settle(line_table(docs, text, key, site, min_words), "lines")
     shared = settle(boilerplate_lines(lines, min_sites).select("line", "first"), "boilerplate")
@@ -109,25 +110,28 @@ def remove_boilerplate(
         .groupBy(F.col("key").alias("_key"), F.col("version").alias("_version"))
         .agg(F.collect_set("place").alias("_shared"), F.collect_set(F.when(again, F.col("place"))).alias("_again"))
     )
-    holds = (F.col("_held_key") == F.col("_key")) & (F.col("_held_version") == F.col("_version"))
-    held = docs.withColumns({"_held_key": F.col(key), "_held_version": F.xxhash64(F.col(text))})
+    own = free_prefix(docs.columns)
+    held = docs.withColumns({f"{own}held_key": F.col(key), f"{own}held_version": F.xxhash64(F.col(text))})
+    marked = settle(per_doc.select(*[F.col(c).alias(own + c[1:]) for c in ("_key", "_version", "_shared", "_again")]), "marked")
+    _key, _version, _shared, _again, _whole = (own + c for c in ("key", "version", "shared", "again", "whole"))
+    holds = (F.col(f"{own}held_key") == F.col(_key)) & (F.col(f"{own}held_version") == F.col(_version))
+    losing = marked.where(F.size(_again) > 0)
     if copies is None:
-        drops = settle(per_doc.where(F.size("_again") > 0).withColumn("_whole", F.lit(True)), "drops")
+        ids = marked.groupBy(_version).agg(F.min(_key).alias("a"), F.max(_key).alias("b"))
+        several = settle(ids.where("a < b").select(_version, F.lit(True).alias(_whole)), "several")
+        drops = settle(losing.join(several, _version, "left").fillna(False, [_whole]), "drops")
     else:
-        marked = settle(per_doc, "marked")
 
         @F.pandas_udf("boolean")
         def above(texts: pd.Series, shared: pd.Series) -> pd.Series:
             return pd.Series([exceeds(t, s, max_share) for t, s in zip(texts, shared, strict=True)], dtype=bool)
 
-        candidate = F.xxhash64("_key", "_version").alias("candidate")
-        mostly = held.join(marked, holds).select(candidate, F.col("_key").alias("key"), F.col(text).alias("text"), "_shared")
-        mostly = settle(mostly.where(above("text", "_shared")).drop("_shared"), "candidates")
+        candidate = F.xxhash64(_key, _version).alias("candidate")
+        mostly = held.join(marked, holds).select(candidate, F.col(_key).alias("key"), F.col(text).alias("text"), _shared)
+        mostly = settle(mostly.where(above("text", _shared)).drop(_shared), "candidates")
         found = settle(copies(mostly).select("candidate").distinct(), "copies")
-        drops = marked.where(F.size("_again") > 0).withColumn("candidate", candidate).join(
-            found.withColumn("_whole", F.lit(True)), "candidate", "left"
-        )
-        drops = settle(drops.drop("candidate").fillna(False, ["_whole"]), "drops")
+        drops = losing.withColumn("candidate", candidate).join(found.withColumn(_whole, F.lit(True)), "candidate", "left")
+        drops = settle(drops.drop("candidate").fillna(False, [_whole]), "drops")
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series, shared: pd.Series, again: pd.Series, whole: pd.Series) -> pd.Series:
@@ -138,7 +142,7 @@ def remove_boilerplate(
         )
 
     joined = held.join(drops, holds, "left")
-    kept = [cleaned(F.col(text), "_shared", "_again", "_whole").alias(c) if c == text else held[f"`{c}`"] for c in docs.columns]
+    kept = [cleaned(F.col(text), _shared, _again, _whole).alias(c) if c == text else held[f"`{c}`"] for c in docs.columns]
     return joined.select(*kept)
 
 

@@ -155,7 +155,8 @@ ORACLES: dict[str, str] = {
                 string_agg(raw, chr(10) ORDER BY place)
                     FILTER (first IS NULL OR first = (doc_id, place)) AS rest
             FROM marked GROUP BY doc_id)
-        SELECT doc_id, CASE WHEN coalesce(shared_words, 0) > 0.9::DOUBLE * all_words THEN text
+        SELECT doc_id, CASE WHEN coalesce(shared_words, 0) > 0.9::DOUBLE * all_words
+                AND min(doc_id) OVER (PARTITION BY text) < max(doc_id) OVER (PARTITION BY text) THEN text
             ELSE coalesce(rest, '') END AS text
         FROM split JOIN docs USING (doc_id)""",
     "op6_circulant_minhash": r"""

@@ -38,6 +38,14 @@ def tasks_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_prefix(columns: list[str]) -> str:
+    """A beginning for names of one's own that none of ``columns`` has."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def plain(record) -> tuple:
     """The fields of a dataclass, to be broadcast: workers have no copy of the package to find its class in."""
     return tuple(getattr(record, field.name) for field in dataclasses.fields(record))

@@ -30,7 +30,8 @@ def expected(rows, min_sites, max_share, min_words):
         parts = text.split("\n")
         words = [len(normal(p).split(" ")) if normal(p) else 0 for p in parts]
         held = [normal(p) in shared for p in parts]
-        if sum(w for w, h in zip(words, held) if h) > max_share * sum(words):
+        copied = any(t == text and k is not None and k != key for k, t, _ in rows)
+        if copied and sum(w for w, h in zip(words, held) if h) > max_share * sum(words):
             out.append((key, text))
         else:
             out.append((key, "\n".join(p for i, p in enumerate(parts) if not held[i] or first[normal(p)] == (key, i))))
@@ -44,7 +45,7 @@ def rows_of(n):
         if i % 3 == 0:
             text += f"\nshared by the thirds of them"
         if i % 10 == 0:
-            text = "shared by all sites of all"
+            text = "shared by all sites of all" + ("" if i % 20 else "\nshared by the thirds of them\nand something of its own here" + " " * i)
         rows.append((i, text, f"site{i % 12}"))
     return rows + [(n, "tiny line\nshared by all sites of all\nand something of its own here", None)]
 
@@ -74,3 +75,15 @@ def test_empty_table_and_null_sites(docs_of):
     assert lines.remove_boilerplate(docs_of([])).collect() == []
     rows = [(i, "a line that nobody owns", None) for i in range(20)]
     assert all(r.text == rows[0][1] for r in lines.remove_boilerplate(docs_of(rows), min_sites=2).collect())
+
+
+def test_names_of_its_own_in_extra_columns(docs_of):
+    rows = rows_of(40)
+    names = ["_key", "_version", "_shared", "_again", "_whole", "_held_key", "__again", "candidate", "line"]
+    docs = docs_of(rows).withColumns({c: F.lit(c) for c in names})
+    out = lines.remove_boilerplate(docs, min_sites=4)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == expected(rows, 4, 0.9, 4)
+    assert out.select(*names).distinct().collect() == [tuple(names)]
+    whole = lines.remove_boilerplate(docs, min_sites=4, copies=lambda found: found.select("candidate"))
+    assert whole.columns == docs.columns and whole.count() == 41
