@@ -32,13 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewire.llm.shared import arrow_batch, arrow_type, bounded_slices, settle, tasks_for
+from tablewire.llm.shared import arrow_batch, arrow_type, bounded_slices, tasks_for
 from tablewire.llm.tokens import word_tokenizer
 from tablewire.scratch import shared_dir
 
 MAGIC = b"TWREC001"
 INDEX = "key long, file string, part int, offset long, length long, n_tokens long"
-CODED = "key long, h long, row long, ids binary"
 RECORD = "key long, part int, place long, n_tokens long, ids binary"
 _MASK = 0xA282EAD8
 
@@ -119,7 +118,7 @@ def write_records(
     n_files: int | None = None,
     width: int = 2,
 ) -> RecordSet:
-    """Encodes the texts where they are read and writes record files in ascending key order, one per range of places.
+    """Encodes the texts and writes record files in ascending key order, one per range of places in that order.
 
     ``width`` bytes hold one id; an id beyond it is an error, nothing is cut.
     """
@@ -127,21 +126,17 @@ def write_records(
     base = base or shared_dir(spark, "records")
     files = f"{base}/files"
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, encoder, row = arrow_type(CODED), word_tokenizer(tokenizer), TaskContext.get().partitionId() << 40
-        end = np.array([end_id], np.uint32)
-        for batch in batches:
-            for piece in bounded_slices(batch, "text"):
-                ids, places = encoder.encode(piece.column("text"))
-                top = max(int(ids.max(initial=0)), end_id)
-                if top >> (8 * width):
-                    raise ValueError(f"id {top} needs more than {width} bytes")
-                ids = np.insert(ids, places[1:], end).astype(f"<u{width}").tobytes()
-                places = width * (places + np.arange(len(places)))
-                own = [ids[a:b] for a, b in zip(places.tolist(), places[1:].tolist(), strict=False)]
-                columns = [piece.column("key"), piece.column("h"), pa.array(np.arange(row, row + len(own))), pa.array(own, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-                row += len(own)
+    def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+        encoder, end = word_tokenizer(tokenizer), np.array([end_id], np.uint32)
+        for piece in bounded_slices(batch, "text"):
+            ids, places = encoder.encode(piece.column("text"))
+            top = max(int(ids.max(initial=0)), end_id)
+            if top >> (8 * width):
+                raise ValueError(f"id {top} needs more than {width} bytes")
+            ids = np.insert(ids, places[1:], end).astype(f"<u{width}").tobytes()
+            places = (width * (places + np.arange(len(places)))).tolist()
+            own = (ids[a:b] for a, b in zip(places, places[1:], strict=False))
+            yield from zip(piece.column("key").to_pylist(), own, strict=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, sink, at, part = arrow_type(INDEX), None, 0, TaskContext.get().partitionId()
@@ -149,7 +144,7 @@ def write_records(
         try:
             for batch in batches:
                 rows = []
-                for row_key, ids in zip(batch.column("key").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                for row_key, ids in encoded(batch):
                     if sink is None:
                         system, path = _open(name)
                         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
@@ -165,11 +160,12 @@ def write_records(
             if sink is not None:
                 sink.close()
 
-    texts = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    # ids travel instead of texts, and the range sample does not tokenize again
-    encoded = settle(texts.mapInArrow(encode, CODED), "coded")
+    # compressed texts are hardly longer than their ids, and the range sample must not tokenize
+    texts = docs.select(
+        F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text")
+    )
     place = ("key", "h", "row")  # rows that share a key, or are equal, are spread too
-    ordered = encoded.repartitionByRange(n_files or tasks_for(spark), *place).sortWithinPartitions(*place)
+    ordered = texts.repartitionByRange(n_files or tasks_for(spark), *place).sortWithinPartitions(*place)
     found = RecordSet(files, f"{base}/index")
     ordered.mapInArrow(write, INDEX).write.parquet(found.index)
     return found
