@@ -87,17 +87,44 @@ def latest_blocks(
 
 
 def oversize_field(schema: T.StructType, max_field_size: int) -> Column:
-    """Name of the first text or binary field over the limit, or null."""
-    checks = [
-        F.when(F.octet_length(F.col(f"`{f.name}`")) > max_field_size, F.lit(f.name))
-        for f in schema.fields
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-    ]
-    return F.coalesce(*checks) if checks else F.lit(None).cast("string")
+    """Path of the first text or binary field over the limit, or null.
+
+    Fields inside of structs, arrays and maps count too: ``a.b`` is a field of a struct,
+    ``a[]`` an element of an array, ``a{key}`` a key and ``a{}`` a value of a map.
+    """
+    checks = [_oversize(F.col(f"`{f.name}`"), f.dataType, f.name, max_field_size) for f in schema.fields]
+    return _first_of(checks)
+
+
+def _first_of(checks: Sequence[Column | None]) -> Column:
+    found = [c for c in checks if c is not None]
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+
+def _oversize(value: Column, kind: T.DataType, path: str, limit: int) -> Column | None:
+    """The path of the first oversize text in ``value``; None where its type holds no text."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.when(F.octet_length(value) > limit, F.lit(path))
+    if isinstance(kind, T.StructType):
+        inner = [_oversize(value.getField(f.name), f.dataType, f"{path}.{f.name}", limit) for f in kind.fields]
+        return _first_of(inner) if any(c is not None for c in inner) else None
+    if isinstance(kind, T.ArrayType):
+        if _oversize(F.lit(None), kind.elementType, path, limit) is None:
+            return None
+        paths = F.transform(value, lambda x: _oversize(x, kind.elementType, f"{path}[]", limit))
+        return F.get(F.array_compact(paths), F.lit(0))
+    if isinstance(kind, T.MapType):
+        inner = [
+            _oversize(F.map_keys(value), T.ArrayType(kind.keyType), f"{path}{{key}}", limit),
+            _oversize(F.map_values(value), T.ArrayType(kind.valueType), f"{path}{{}}", limit),
+        ]
+        inner = [None if c is None else F.replace(c, F.lit("}[]"), F.lit("}")) for c in inner]
+        return _first_of(inner) if any(c is not None for c in inner) else None
+    return None
 
 
 def oversize_guard(df: DataFrame, max_field_size: int) -> tuple[DataFrame, DataFrame]:
-    """Rows within the field limit, and the rest with the name of the field."""
+    """Rows within the field limit at every depth, and the rest with the path of the field; two filters, no exchange."""
     field = oversize_field(df.schema, max_field_size)
     return df.where(field.isNull()), df.withColumn("oversize_field", field).where(field.isNotNull())
 

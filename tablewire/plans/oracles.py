@@ -434,4 +434,8 @@ ORACLES = {
           SELECT *, dense_rank() OVER (ORDER BY CAST(ts AS DATE) DESC NULLS LAST) AS day_rank
           FROM (SELECT event_id, CASE WHEN event_id % 7 <> 2 THEN ts END AS ts FROM events))
         GROUP BY 1""",
+    "b6_oversize_guard_nested": """
+        SELECT doc_id, CASE WHEN octet_length(encode(text)) > 4096
+                 THEN CASE WHEN doc_id % 2 = 0 THEN 'body.parts[]' ELSE 'tags{}.text' END END AS oversize_field
+        FROM documents""",
 }

@@ -203,6 +203,18 @@ def oversize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.unionByName(rejected.select("doc_id", "oversize_field"))
 
 
+def oversize_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.col("doc_id") % 2 == 0
+    nested = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.struct("lang", F.array("source", F.when(even, F.col("text"))).alias("parts")).alias("body"),
+        F.create_map(F.lit("note"), F.struct(F.when(~even, F.col("text")).alias("text"))).alias("tags"),
+    )
+    good, rejected = blocks.oversize_guard(nested, 4096)
+    shown = good.select("doc_id", F.lit(None).cast("string").alias("oversize_field"))
+    return shown.unionByName(rejected.select("doc_id", "oversize_field"))
+
+
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = blocks.chunk_ledger(table(spark, sf_dir, "documents"), ["doc_id"], "text", 4096, "md5")
     return ledger.select("doc_id", "chunk_index", "n_bytes", "checksum")
@@ -587,6 +599,7 @@ QUERIES = {
     "b4_earlier_version": earlier_version,
     "b5_latest_blocks": newest_blocks,
     "b6_oversize_guard": oversize,
+    "b6_oversize_guard_nested": oversize_nested,
     "b7_chunk_ledger": chunks,
     "b7_payload_checksum": payload_sums,
     "b8_verify_frames": verify,

@@ -84,3 +84,24 @@ def test_equal_versions_do_not_depend_on_the_order_of_rows(spark):
         df = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "upload_id string, block_id long, file string, version long")
         found = blocks.latest_blocks(df.repartition(5)).collect()
         assert sorted(map(tuple, found)) == [("u", 1, "f9", 7), ("u", 2, "h", 3)]
+
+
+def test_oversize_fields_at_every_depth(spark):
+    kind = "id int, a string, s struct<x: int, y: binary, l: array<array<struct<t: string>>>>, m map<string, map<string, string>>, n array<int>"
+    big = "b" * 11
+    rows = [
+        (1, "ok", (1, b"0123456789", [[("t",)], None, [None]]), {"k": {"i": "v"}}, [1]),
+        (2, big, (1, b"01234567890", None), None, None),
+        (3, None, (1, b"01234567890", None), {big: None}, None),
+        (4, None, (1, None, [[("t",)], [("t",), (big,)]]), None, None),
+        (5, None, None, {"k": None, big: {}}, None),
+        (6, None, None, {"k": {"i": big}}, None),
+        (7, None, None, {"k": {big: "i"}}, None),
+        (8, "é" * 6, None, None, None),
+        (9, None, None, None, None),
+    ]
+    good, rejected = blocks.oversize_guard(spark.createDataFrame(rows, kind), 10)
+    assert sorted(r["id"] for r in good.collect()) == [1, 9]
+    assert {r["id"]: r["oversize_field"] for r in rejected.collect()} == {
+        2: "a", 3: "s.y", 4: "s.l[][].t", 5: "m{key}", 6: "m{}{}", 7: "m{}{key}", 8: "a",
+    }
