@@ -14,7 +14,9 @@ scores wherever they are.
 Defined cases: null or zero vectors, vectors with null or non-finite components
 and rows without an id take no part; vectors of different length end in zeros; of
 rows that share an id the least vector takes part; ties go to the smaller id; fewer
-candidates than k give all of them; an empty table gives no rows.
+candidates than k give all of them; a product beyond the range of a double is an
+infinity, one whose parts alone go beyond it is computed from scaled rows; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ class Quantised:
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
+        # powers of two change no digit and keep the squares of very large components within a double
+        self.power = np.maximum(np.frexp(np.abs(rows).max(1, initial=0.0))[1] - 1, 0)
+        rows = np.ldexp(rows, -self.power[:, None])
         top = np.abs(rows).max(1, initial=0.0)
         self.scale = np.where(top > 0, top / 127, 1.0)
         whole = np.rint(rows / self.scale[:, None])
@@ -51,23 +56,36 @@ class Quantised:
 
     def part(self, begin: int, end: int) -> Quantised:
         out = object.__new__(Quantised)
-        for name in ("rows", "scale", "whole", "near", "lost", "length"):
+        for name in ("rows", "power", "scale", "whole", "near", "lost", "length"):
             setattr(out, name, getattr(self, name)[begin:end])
         return out
 
 
 def tile(queries: Quantised, candidates: Quantised) -> tuple[np.ndarray, np.ndarray]:
-    """Approximate inner products, and how far each can be off."""
+    """Approximate inner products, and how far each can be off; no numbers where they go beyond a double."""
     about = (queries.whole @ candidates.whole.T) * np.outer(queries.scale, candidates.scale)
     off = np.outer(queries.near, candidates.lost) + np.outer(queries.lost, candidates.length)
-    return about, off * (1 + 1e-9) + 1e-12 * np.outer(queries.length, candidates.length)
+    off = off * (1 + 1e-9) + 1e-12 * np.outer(queries.length, candidates.length)
+    if queries.power.any() or candidates.power.any():
+        power = np.add.outer(queries.power, candidates.power)
+        with np.errstate(over="ignore", invalid="ignore"):
+            about, off = np.ldexp(about, power), np.ldexp(off, power)
+            beyond = ~np.isfinite(np.abs(about) + off)
+        about[beyond] = off[beyond] = np.nan
+    return about, off
 
 
 def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Inner products of rows, summed component after component."""
     out = np.zeros(len(left))
-    for k in range(left.shape[1]):
-        out += left[:, k] * right[:, k]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for k in range(left.shape[1]):
+            out += left[:, k] * right[:, k]
+        beyond = np.flatnonzero(~np.isfinite(out))
+        if len(beyond):
+            powers = [np.frexp(np.abs(rows[beyond]).max(1))[1] for rows in (left, right)]
+            scaled = [np.ldexp(rows[beyond], -power[:, None]) for rows, power in zip((left, right), powers, strict=True)]
+            out[beyond] = np.ldexp(products(*scaled), powers[0] + powers[1])
     return out
 
 
@@ -102,12 +120,12 @@ def nearest(df: DataFrame, query: Column, k: int, vector: str = "embedding", key
 def _visit(own: Quantised, names: np.ndarray, other: Quantised, ids: np.ndarray, heaps: list, k: int) -> None:
     """One tile: survivors of the bounds are computed exactly and offered to the queries' heaps."""
     about, off = tile(own, other)
-    about[names[:, None] == ids[None, :]] = -np.inf
-    lower, upper = about - off, about + off
+    itself = names[:, None] == ids[None, :]
+    lower, upper = np.where(itself | np.isnan(about), -np.inf, about - off), about + off
     least = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps])
     if lower.shape[1] >= k:
         least = np.maximum(least, np.partition(lower, -k, axis=1)[:, -k])
-    rows, columns = np.nonzero((upper >= least[:, None]) & (about > -np.inf))
+    rows, columns = np.nonzero(~(upper < least[:, None]) & ~itself)  # a bound that is no number excludes nothing
     for at in range(0, len(rows), PAIRS):
         i, j = rows[at : at + PAIRS], columns[at : at + PAIRS]
         for n, score, name in zip(i.tolist(), products(own.rows[i], other.rows[j]).tolist(), ids[j].tolist(), strict=True):

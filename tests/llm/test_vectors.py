@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -99,3 +100,35 @@ def test_error_bounds_hold():
     a, b = rng.normal(0, 1, (50, 64)), rng.normal(0, 3, (70, 64))
     about, off = blockjoin.tile(blockjoin.Quantised(a), blockjoin.Quantised(b))
     assert (np.abs(about - a @ b.T) <= off).all() and off.max() < 10
+
+
+LARGE = [(0, [1e300, 1.0]), (5, [0.0, 5.0]), (7, [1e300, 3.0]), (10, [-1e300, 2.0]), (11, [1e-300, 1e300]), (12, [1.0, 1.0]), (20, [1e308, -1e308])]
+
+
+def test_very_large_components(spark):
+    """All candidates come out, by true products; what is beyond a double is an infinity and ties by id."""
+    df = spark.createDataFrame([(i, v, "x") for i, v in LARGE], "vec_id long, embedding array<double>, id string")
+    got = {}
+    for r in blockjoin.nearest(df, F.col("id") % 10 == 0, 10).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    inf = float("inf")
+    assert got[0] == [(7, inf), (20, inf), (11, 1e300), (12, 1e300), (5, 5.0), (10, -inf)]
+    assert [i for i, _ in got[10]] == [11, 5, 12, 0, 7, 20] and [s for _, s in got[10]][-3:] == [-inf] * 3
+    assert [i for i, _ in got[20]] == [0, 7, 12, 5, 10, 11] and got[20][2] == (12, 0.0)
+    whole = {i: [max(min(math.floor(1024 * Fraction(x)), 2**63 - 1), -(2**63)) for x in v] for i, v in LARGE}
+    want = []
+    for q in (0, 10, 20):
+        scores = {c: max(min(sum(x * y for x, y in zip(whole[q], whole[c])), 2**63 - 1), -(2**63)) for c in whole if c != q}
+        want += [(q, n, c, scores[c]) for n, c in enumerate(sorted(scores, key=lambda c: (-scores[c], c))[:4], 1)]
+    tops = kdtree.exact_top_k(df, F.col("id") % 10 == 0, 4).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in tops] == want
+
+
+def test_the_tree_leaves_boxes_out():
+    rng = np.random.default_rng(4)
+    v = (rng.normal(0, 1, (8_000, 4)) * 1024).astype(np.int64).astype(float)
+    tree = kdtree.KdTree(np.arange(8_000), v, leaf=32)
+    for q in v[:20]:
+        want = sorted(((int(x @ q), -i) for i, x in enumerate(v)), reverse=True)[:10]
+        assert sorted(tree.search(-1, q, 10, None), reverse=True) == want
+    assert tree.scanned < 20 * 8_000 / 5
