@@ -5,10 +5,10 @@ are symbols of their own; other words share a symbol by their last letters, and
 within it each word has its own smoothed probability, so the model gives every text
 a probability. Baum-Welch trains the latent states: each task runs the scaled
 forward and backward recursions over its training sequences, the expected counts
-are summed by an aggregate over (parameter, sum), and only those sums, whose number
-is fixed by the model, reach the driver. Training cuts sequences into segments,
-none is left out; scoring runs the forward recursion over whole texts, very long
-ones as a product of transfer matrices.
+are added up in two steps, of tasks and then of parameters, and only those sums, whose
+number is fixed by the model, reach the driver. Training and scoring take whole texts;
+very long ones go segment by segment, with the states at every border carried over by
+transfer matrices, so that a border changes no count and no probability.
 
 Word counts are a distributed table. Its most frequent ``HEAD`` words are sent
 to every task (a fixed size); rarer words of each text are joined with the table.
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewire.llm.shared import (
-    arrow_batch, arrow_type, bounded_slices, mix, plain, settle, text_bytes, word_hashes, word_spans,
+    arrow_batch, arrow_type, bounded_slices, mix, plain, settle, tasks_for, text_bytes, word_hashes, word_spans,
 )
 
 #: Words whose counts every task gets.
@@ -45,11 +45,11 @@ SYMBOLS = OWN + SHARED + 1
 END = SYMBOLS - 1
 STATES = 8
 ROUNDS = 8
-#: Tokens of a training segment, and of a chunk of a very long text in scoring.
-SEGMENT = 512
+#: Tokens of a segment of a very long text, segments at a time, and tokens from which on a text is very long.
+SEGMENT, SEGMENTS = 512, 256
 LONG_TEXT = 8_192
-#: Tokens that are scored together.
-TOKENS = 1 << 21
+#: Tokens that are scored together, and that are trained on together.
+TOKENS, TRAINED = 1 << 21, 1 << 18
 
 COUNTED = "word long, shared int, n long"
 CODED = (
@@ -217,7 +217,6 @@ def rare_sums(table: DataFrame, counts: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Model:
     start: np.ndarray  #: states of a text's first token
-    again: np.ndarray  #: and of the first token of a later training segment
     moves: np.ndarray  #: from state, to state
     emit: np.ndarray  #: symbol, state
 
@@ -229,19 +228,17 @@ class Model:
         moves = np.full((states, states), 0.05 / max(states - 1, 1))
         np.fill_diagonal(moves, 0.95 if states > 1 else 1.0)
         flat = np.full(states, 1 / states)
-        return cls(flat, flat, moves, emit / emit.sum(0))
+        return cls(flat, moves, emit / emit.sum(0))
 
     @classmethod
     def from_counts(cls, counts: np.ndarray, totals: np.ndarray, states: int) -> Model:
         """The maximisation step, with a small share of the overall distribution so that nothing is impossible."""
         n = len(totals)
         emit = counts[: n * states].reshape(n, states)
-        moves, (start, again) = counts[n * states : n * states + states**2].reshape(states, states), counts[-2 * states :].reshape(2, states)
+        moves, start = counts[n * states : n * states + states**2].reshape(states, states), counts[-states:] + 0.1
         share = (totals + 0.5) / (totals + 0.5).sum()
         emit, moves = emit + share[:, None], moves + 0.1 / states
-        return cls(
-            (start + 0.1) / (start + 0.1).sum(), (again + 0.1) / (again + 0.1).sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0)
-        )
+        return cls(start / start.sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0))
 
 
 class _Rows:
@@ -281,56 +278,111 @@ def forward(rows: _Rows, begin: np.ndarray, moves: np.ndarray, emit: np.ndarray,
     return (share, scale) if keep else (last, log)
 
 
-def expected_counts(rows: _Rows, first: np.ndarray, model: Model) -> np.ndarray:
-    """Expected emissions, moves and starts of one set of sequences; ``first`` marks those that begin a text."""
+def expected_counts(rows: _Rows, model: Model, before: np.ndarray | None = None, behind: np.ndarray | None = None) -> np.ndarray:
+    """Expected emissions, moves and starts of one set of sequences.
+
+    ``before`` is the states' shares ahead of each first token, zeros where a text begins; ``behind`` is how likely, up to
+    a factor, what follows is from each state of the last token. Without both the sequences are whole texts.
+    """
     symbols, states = len(model.emit), model.moves.shape[0]
-    first = first[rows.order]
-    share, scale = forward(rows, np.where(first[:, None], model.start, model.again), model.moves, model.emit, True)
+    before = np.zeros((len(rows.order), states)) if before is None else before[rows.order]
+    behind = np.ones((len(rows.order), states)) if behind is None else behind[rows.order]
+    begins = ~before.any(1)
+    share, scale = forward(rows, np.where(begins[:, None], model.start, before @ model.moves), model.moves, model.emit, True)
     pairs, after = np.zeros((states, states)), np.zeros((0, states))
     for t in range(len(rows.running) - 1, -1, -1):
-        a, b = rows.at[t], rows.at[t + 1]
-        back = np.ones((b - a, states))
-        n = len(after)
+        a, b, n = rows.at[t], rows.at[t + 1], len(after)
+        back = np.empty((b - a, states))
         if n:
             pairs += share[a : a + n].T @ after
             back[:n] = after @ model.moves.T
+        if n < b - a:
+            back[n:] = behind[n : b - a] / (share[a + n : b] * behind[n : b - a]).sum(1, keepdims=True)
         after = back * model.emit[rows.symbols[a:b]] / scale[a:b, None]
         share[a:b] *= back
+    pairs += before.T @ after  # moves into the first tokens
     emit = np.stack([np.bincount(rows.symbols, share[:, s], symbols) for s in range(states)], 1)
-    top = share[: rows.running[0]] if len(rows.running) else share
-    starts = [top[first].sum(0), top[~first].sum(0)]
-    return np.concatenate([emit.ravel(), (pairs * model.moves).ravel(), *starts])
+    start = share[: len(begins)][begins].sum(0)
+    return np.concatenate([emit.ravel(), (pairs * model.moves).ravel(), start])
+
+
+def _ways(chunks: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """How likely each chunk is from each state before it to each state at its end, up to a factor, and the factor's logarithm."""
+    states = model.moves.shape[0]
+    rows = _Rows([c for c in chunks for _ in range(states)])
+    begin = np.tile(model.moves, (len(chunks), 1))  # one move from each state
+    ends, logs = forward(rows, begin[rows.order], model.moves, model.emit, False)
+    back = np.empty_like(rows.order)
+    back[rows.order] = np.arange(len(rows.order))
+    ends, logs = ends[back].reshape(-1, states, states), logs[back].reshape(-1, states)
+    top = logs.max(1)
+    return ends * np.exp(logs - top[:, None])[:, :, None], top
+
+
+def long_counts(sequence: np.ndarray, model: Model) -> np.ndarray:
+    """The expected counts of one very long text, whose segments get the states at their borders from both sides."""
+    pieces = [sequence[a : a + SEGMENT] for a in range(0, len(sequence), SEGMENT)]
+    states = model.moves.shape[0]
+    ways = np.empty((len(pieces), states, states))  # a hundredth of the text's own recursion
+    for a in range(1, len(pieces), SEGMENTS):
+        ways[a : a + SEGMENTS] = _ways(pieces[a : a + SEGMENTS], model)[0]
+    before, behind = np.zeros((len(pieces), states)), np.ones((len(pieces), states))
+    now = forward(_Rows(pieces[:1]), model.start[None], model.moves, model.emit, False)[0][0]
+    for j in range(1, len(pieces)):
+        before[j] = now
+        now = now @ ways[j]
+        now /= now.sum()
+    for j in range(len(pieces) - 1, 0, -1):
+        behind[j - 1] = ways[j] @ behind[j]
+        behind[j - 1] /= behind[j - 1].max()
+    parts = (slice(a, a + SEGMENTS) for a in range(0, len(pieces), SEGMENTS))
+    return sum(expected_counts(_Rows(pieces[p]), model, before[p], behind[p]) for p in parts)
+
+
+def _together(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The sequences in groups of like length, so that few steps run over few rows."""
+    group, size = [], 0
+    for sequence in sorted(sequences, key=len):
+        group.append(sequence)
+        size += len(sequence)
+        if size > TRAINED:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def train(table: DataFrame, known: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over the training rows of a settled coded table."""
     context, model = table.sparkSession.sparkContext, Model.first(known.totals, states)
-    sequences = table.where("train").select("symbols")
+    sequences, out = table.where("train").select("symbols"), "counts array<double>"
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for row in batch.column("counts"):
+                found = row.values.to_numpy()
+                total = found.copy() if total is None else total + found
+        if total is not None:
+            yield arrow_batch([(total,)], arrow_type(out))
+
     for _ in range(rounds):
         shared = context.broadcast(plain(model))
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             model, total = Model(*shared.value), None
             for batch in batches:
-                waiting, first, size = [], [], 0
-                for row in batch.column("symbols"):
-                    whole = np.frombuffer(row.as_buffer(), np.uint16)
-                    for at in range(0, len(whole), SEGMENT):
-                        waiting.append(whole[at : at + SEGMENT])
-                        first.append(at == 0)
-                        size += len(waiting[-1])
-                        if size > 1 << 18:
-                            found = expected_counts(_Rows(waiting), np.array(first), model)
-                            total = found if total is None else total + found
-                            waiting, first, size = [], [], 0
-                if waiting:
-                    found = expected_counts(_Rows(waiting), np.array(first), model)
-                    total = found if total is None else total + found
+                whole = [np.frombuffer(row.as_buffer(), np.uint16) for row in batch.column("symbols")]
+                found = [expected_counts(_Rows(group), model) for group in _together([s for s in whole if len(s) <= LONG_TEXT])]
+                for counts in [*found, *(long_counts(s, model) for s in whole if len(s) > LONG_TEXT)]:
+                    total = counts if total is None else total + counts
             if total is not None:
-                yield arrow_batch([(total,)], arrow_type("counts array<double>"))
+                yield arrow_batch([(total,)], arrow_type(out))
 
         sums = (
-            sequences.mapInArrow(expect, "counts array<double>")
+            sequences.mapInArrow(expect, out)
+            .repartition(tasks_for(table.sparkSession))  # a row per input task becomes a row per task at hand
+            .mapInArrow(add, out)
             .select(F.posexplode("counts").alias("parameter", "n"))
             .groupBy("parameter")
             .agg(F.sum("n").alias("n"))
@@ -339,7 +391,7 @@ def train(table: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
         shared.unpersist()
         if not len(sums):
             return model
-        counts = np.zeros(SYMBOLS * states + states**2 + 2 * states)
+        counts = np.zeros(SYMBOLS * states + states**2 + states)
         counts[sums["parameter"].to_numpy()] = sums["n"].to_numpy()
         model = Model.from_counts(counts, known.totals, states)
     return model
@@ -365,22 +417,14 @@ def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
 
 def _long_likelihood(sequence: np.ndarray, model: Model) -> float:
     """The same recursion in chunks: each from every state at once, then chunk after chunk."""
-    states = model.moves.shape[0]
     now, log = model.start * model.emit[sequence[0]], 0.0
     log += math.log(now.sum())
     now = now / now.sum()
     rest = sequence[1:]
-    for block in range(0, len(rest), SEGMENT * 256):  # bounded memory for a text of any length
-        chunks = [rest[a : a + SEGMENT] for a in range(block, min(block + SEGMENT * 256, len(rest)), SEGMENT)]
-        rows = _Rows([c for c in chunks for _ in range(states)])
-        begin = np.tile(model.moves, (len(chunks), 1))  # one move from each state
-        ends, logs = forward(rows, begin[rows.order], model.moves, model.emit, False)
-        back = np.empty_like(rows.order)
-        back[rows.order] = np.arange(len(rows.order))
-        ends, logs = ends[back].reshape(-1, states, states), logs[back].reshape(-1, states)
-        for end, scale in zip(ends, logs, strict=True):
-            top = scale.max()
-            now = (now * np.exp(scale - top)) @ end
+    for block in range(0, len(rest), SEGMENT * SEGMENTS):  # bounded memory for a text of any length
+        chunks = [rest[a : a + SEGMENT] for a in range(block, min(block + SEGMENT * SEGMENTS, len(rest)), SEGMENT)]
+        for way, top in zip(*_ways(chunks, model), strict=True):
+            now = now @ way
             log += top + math.log(now.sum())
             now = now / now.sum()
     return log

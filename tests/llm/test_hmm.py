@@ -14,8 +14,8 @@ WORDS = hmm.SYMBOLS
 def model_of(seed, states=3, symbols=6):
     rng = np.random.default_rng(seed)
     emit, moves = rng.random((symbols, states)) + 0.05, rng.random((states, states)) + 0.05
-    start, again = rng.random(states), rng.random(states)
-    return hmm.Model(start / start.sum(), again / again.sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0))
+    start = rng.random(states)
+    return hmm.Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0))
 
 
 def by_paths(sequence, begin, model):
@@ -43,15 +43,39 @@ def test_recursions_against_all_paths(seed):
     rng = np.random.default_rng(seed)
     model = model_of(seed)
     sequences = [rng.integers(0, 6, n).astype(np.uint16) for n in (1, 6, 3, 5, 1, 4)]
-    first = np.array([True, False, True, True, False, False])
     logs = hmm.log_likelihoods(sequences, model)
     for sequence, log in zip(sequences, logs):
         assert math.isclose(log, math.log(by_paths(sequence, model.start, model)[0]), rel_tol=1e-9)
-    counts = hmm.expected_counts(hmm._Rows(sequences), first, model)
-    want = [by_paths(s, model.start if f else model.again, model) for s, f in zip(sequences, first)]
-    emit, moves = sum(w[1] for w in want), sum(w[2] for w in want)
-    starts = [sum((w[3] for w, f in zip(want, first) if f == flag), np.zeros(3)) for flag in (True, False)]
-    np.testing.assert_allclose(counts, np.concatenate([emit.ravel(), moves.ravel(), *starts]), rtol=1e-8, atol=1e-10)
+    counts = hmm.expected_counts(hmm._Rows(sequences), model)
+    emit, moves, starts = (sum(w[n] for w in [by_paths(s, model.start, model) for s in sequences]) for n in (1, 2, 3))
+    np.testing.assert_allclose(counts, np.concatenate([emit.ravel(), moves.ravel(), starts]), rtol=1e-8, atol=1e-10)
+
+
+@pytest.mark.parametrize("segment,segments", [(1, 2), (2, 3), (3, 256), (6, 1), (7, 4)])
+def test_borders_of_segments_change_no_count(monkeypatch, segment, segments):
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
+    monkeypatch.setattr(hmm, "SEGMENTS", segments)
+    rng, model = np.random.default_rng(8), model_of(5)
+    for n in (1, 2, 6, 7):
+        sequence = rng.integers(0, 6, n).astype(np.uint16)
+        _, *want = by_paths(sequence, model.start, model)
+        np.testing.assert_allclose(hmm.long_counts(sequence, model), np.concatenate([w.ravel() for w in want]), rtol=1e-8, atol=1e-10)
+    long = rng.integers(0, 6, 3000).astype(np.uint16)
+    np.testing.assert_allclose(hmm.long_counts(long, model), hmm.expected_counts(hmm._Rows([long]), model), rtol=1e-8, atol=1e-8)
+
+
+def test_very_long_texts_train_like_others(docs_of, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(rng.choice([3, 40, 200]))), "s") for i in range(30)]
+
+    def scores():
+        got = hmm.score(docs_of(rows), F.col("doc_id") % 5 == 1, states=3, rounds=3).collect()
+        return [s for _, s in sorted((r.key, r.score) for r in got)]
+
+    whole = scores()
+    monkeypatch.setattr(hmm, "LONG_TEXT", 30)
+    monkeypatch.setattr(hmm, "SEGMENT", 11)
+    np.testing.assert_allclose(scores(), whole, rtol=1e-9)
 
 
 def test_long_texts_by_transfer_matrices(monkeypatch):
@@ -72,7 +96,7 @@ def test_a_round_never_lowers_the_likelihood():
         now = hmm.log_likelihoods(sequences, model).sum()
         assert now > before - 0.5  # the small share of the overall distribution moves it a little
         before = now
-        model = hmm.Model.from_counts(hmm.expected_counts(hmm._Rows(sequences), np.ones(30, bool), model), totals, 3)
+        model = hmm.Model.from_counts(hmm.expected_counts(hmm._Rows(sequences), model), totals, 3)
     assert before > -30 * 60 * math.log(20) * 0.85
 
 
