@@ -47,9 +47,9 @@ STATES = 8
 ROUNDS = 8
 #: Tokens of a segment of a very long text, segments at a time, and tokens from which on a text is very long.
 SEGMENT, SEGMENTS = 512, 256
-LONG_TEXT = 8_192
-#: Tokens that are scored together, and that are trained on together.
-TOKENS, TRAINED = 1 << 21, 1 << 18
+LONG_TEXT = 16_384
+#: Tokens that are scored or trained on together.
+TOKENS = 1 << 21
 
 COUNTED = "word long, shared int, n long"
 CODED = (
@@ -345,7 +345,7 @@ def _together(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
     for sequence in sorted(sequences, key=len):
         group.append(sequence)
         size += len(sequence)
-        if size > TRAINED:
+        if size > TOKENS:
             yield group
             group, size = [], 0
     if group:
