@@ -263,14 +263,20 @@ def forward(rows: _Rows, begin: np.ndarray, moves: np.ndarray, emit: np.ndarray,
     states = moves.shape[0]
     share = np.empty((rows.at[-1], states)) if keep else None
     scale = np.empty(rows.at[-1]) if keep else None
-    last, log = np.array(begin, float), np.zeros(len(begin))
+    last, log, ones = np.array(begin, float), np.zeros(len(begin)), np.ones(states)
+    at = rows.at.tolist()
     for t, n in enumerate(rows.running.tolist()):
-        a, b = rows.at[t], rows.at[t + 1]
-        now = (last[:n] @ moves if t else last[:n]) * emit[rows.symbols[a:b]]
-        total = now.sum(1)
+        a, b = at[t], at[t + 1]
+        now = share[a:b] if keep else np.empty((n, states))
+        if t:
+            np.matmul(last[:n], moves, out=now)
+        else:
+            now[:] = last[:n]
+        now *= emit.take(rows.symbols[a:b], 0)
+        total = now @ ones  # far quicker than a sum over short rows
         now /= total[:, None]
         if keep:
-            share[a:b], scale[a:b] = now, total
+            scale[a:b] = total
             last = now
         else:
             log[:n] += np.log(total)
@@ -289,16 +295,19 @@ def expected_counts(rows: _Rows, model: Model, before: np.ndarray | None = None,
     behind = np.ones((len(rows.order), states)) if behind is None else behind[rows.order]
     begins = ~before.any(1)
     share, scale = forward(rows, np.where(begins[:, None], model.start, before @ model.moves), model.moves, model.emit, True)
-    pairs, after = np.zeros((states, states)), np.zeros((0, states))
+    pairs, after, against = np.zeros((states, states)), np.zeros((0, states)), np.ascontiguousarray(model.moves.T)
+    at = rows.at.tolist()
     for t in range(len(rows.running) - 1, -1, -1):
-        a, b, n = rows.at[t], rows.at[t + 1], len(after)
+        a, b, n = at[t], at[t + 1], len(after)
         back = np.empty((b - a, states))
         if n:
             pairs += share[a : a + n].T @ after
-            back[:n] = after @ model.moves.T
+            np.matmul(after, against, out=back[:n])
         if n < b - a:
             back[n:] = behind[n : b - a] / (share[a + n : b] * behind[n : b - a]).sum(1, keepdims=True)
-        after = back * model.emit[rows.symbols[a:b]] / scale[a:b, None]
+        after = model.emit.take(rows.symbols[a:b], 0)
+        after *= back
+        after /= scale[a:b, None]
         share[a:b] *= back
     pairs += before.T @ after  # moves into the first tokens
     emit = np.stack([np.bincount(rows.symbols, share[:, s], symbols) for s in range(states)], 1)
