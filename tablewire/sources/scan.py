@@ -1,8 +1,7 @@
-"""Snapshot, partition and row-range reads, and batch-wise reads."""
+"""Snapshot and partition reads, and batch-wise reads (A2, A3, A6); row ranges are in ``row_range`` (A4)."""
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewire.sources.catalog import CatalogColumn, declared_columns, schema_json
+from tablewire.sources.row_range import read_row_range  # noqa: F401
 
 _SPEC_PART = re.compile(r"""\s*(\w+)\s*=\s*('[^']*'|"[^"]*"|[^,/'"]*?)\s*(?:[,/]|$)""")
 
@@ -77,170 +77,6 @@ def snapshot_session(
     )
 
 
-# -- row ranges -----------------------------------------------------------
-
-# Largest start + count answered by Spark's own top-k operator, which keeps that
-# many rows per task.
-TOP_ROWS = 100_000
-# Keys drawn per narrowing step, and buckets counted per step.
-SAMPLE_KEYS = 2_000
-COUNT_BUCKETS = 32
-
-
-def read_row_range(
-    df: DataFrame,
-    order_keys: Sequence[str],
-    start: int,
-    count: int,
-    top_rows: int = TOP_ROWS,
-) -> DataFrame:
-    """Rows ``start .. start + count`` in the order of unique ``order_keys``.
-
-    Keys that are not unique at an edge of the range are an error, whatever its size.
-    A short prefix is a top-k.  Otherwise the two keys at the edges of the range
-    are found first, by counting, and the read itself is a plain range filter on
-    the keys: no sort, no exchange, and file statistics can skip the rest.  The
-    driver sees only sampled keys and bucket counts.
-    """
-    if start < 0 or count < 0:
-        raise ValueError("start and count must not be negative")
-    keys = list(order_keys)
-    order = _KeyOrder(df, keys)
-    if start + count <= top_rows:
-        if count and order.tied(start - 1) | order.tied(start + count - 1):
-            raise ValueError(f"{keys} are not unique at the edge of the row range")
-        return df.orderBy(*keys).offset(start).limit(count)
-    total = df.count()
-    stop = min(start + count, total)
-    if start >= stop:
-        return df.where(F.lit(False))
-    low = order.key_at(start, total, top_rows)
-    high = order.key_at(stop - 1, total, top_rows)
-    chosen = df.where(order.between(low, high))
-    if chosen.count() != stop - start:
-        raise ValueError(f"{keys} are not unique at the edge of the row range")
-    return chosen
-
-
-class _KeyOrder:
-    """Finds the key at a rank by repeated sampling and counting.
-
-    A step cuts the candidates into buckets at sampled keys, counts the buckets
-    and goes on inside the one that holds the rank.  Steps that two ranks share
-    are taken once.
-    """
-
-    def __init__(self, df: DataFrame, keys: list[str]):
-        self.types = [df.schema[k].dataType for k in keys]
-        self.keys = keys
-        self.columns = [F.col(f"`{k}`") for k in keys]
-        self.rows = df.select(*self.columns)
-        self.steps: dict = {}
-
-    # Comparisons with a constant key, nulls first, written out so that they stay
-    # plain comparisons of columns.
-
-    def _constants(self, key: tuple) -> list[Column]:
-        return [F.lit(v).cast(t) for v, t in zip(key, self.types)]
-
-    def after(self, key: tuple) -> Column:
-        """The row's key is greater than ``key``."""
-        found = F.lit(False)
-        pieces = list(zip(self.columns, self._constants(key), key))
-        for column, constant, value in reversed(pieces):
-            greater = column.isNotNull() if value is None else F.coalesce(column > constant, F.lit(False))
-            found = greater | (column.eqNullSafe(constant) & found)
-        return found
-
-    def equal(self, key: tuple) -> Column:
-        found = F.lit(True)
-        for column, constant in zip(self.columns, self._constants(key)):
-            found = found & column.eqNullSafe(constant)
-        return found
-
-    def between(self, low: tuple, high: tuple) -> Column:
-        """Range filter over the whole key, plus one on the first key for pruning."""
-        exact = (self.after(low) | self.equal(low)) & ~self.after(high)
-        first, kind = self.columns[0], self.types[0]
-        if low[0] is None or high[0] is None or isinstance(kind, (T.FloatType, T.DoubleType)):
-            return exact
-        pruning = first.between(F.lit(low[0]).cast(kind), F.lit(high[0]).cast(kind))
-        return pruning & exact if len(self.keys) > 1 else pruning
-
-    def _within(self, low: tuple | None, high: tuple | None) -> DataFrame:
-        """Keys after ``low`` and not after ``high``."""
-        inside = self.rows
-        if low is not None:
-            inside = inside.where(self.after(low))
-            if low[0] is not None:
-                inside = inside.where(self.columns[0] >= F.lit(low[0]).cast(self.types[0]))
-        if high is not None:
-            inside = inside.where(~self.after(high))
-        return inside
-
-    def _bucket(self, bounds: list[tuple], first: int = 0) -> Column:
-        """How many bounds lie before the key, as a tree of comparisons."""
-        if not bounds:
-            return F.lit(first)
-        middle = len(bounds) // 2
-        return F.when(
-            self.after(bounds[middle]), self._bucket(bounds[middle + 1 :], first + middle + 1)
-        ).otherwise(self._bucket(bounds[:middle], first))
-
-    def _as_text(self, rows: DataFrame) -> list[tuple]:
-        # Text survives the way to the driver and back for every ordered type.
-        return [tuple(r) for r in rows.select(*[c.cast("string") for c in self.columns]).collect()]
-
-    def tied(self, rank: int) -> bool:
-        """Whether the rows at ``rank`` and after it share their key; a top-k of keys alone."""
-        if rank < 0:
-            return False
-        pair = self._as_text(self.rows.orderBy(*self.keys).offset(rank).limit(2))
-        return len(pair) == 2 and pair[0] == pair[1]
-
-    def key_at(self, rank: int, total: int, top_rows: int) -> tuple:
-        """Key of the row with the given rank; each step cuts the candidates."""
-        low, high, size = None, None, total
-        while size > max(top_rows, SAMPLE_KEYS):
-            bounds, sizes = self._step(low, high, size)
-            at = 0
-            while rank >= sizes.get(at, 0):
-                rank -= sizes.get(at, 0)
-                at += 1
-            low = bounds[at - 1] if at > 0 else low
-            high = bounds[at] if at < len(bounds) else high
-            if sizes[at] == size:
-                # Nothing was cut off: the only bound drawn is the largest key.
-                # Set apart the rows that share it.
-                same = self._within(low, high).where(self.equal(high)).count()
-                if rank >= size - same or same == size:
-                    return high
-                inside = self._within(low, high).where(~self.equal(high))
-                return self._as_text(inside.orderBy(*self.keys).offset(rank).limit(1))[0]
-            size = sizes[at]
-        inside = self._within(low, high)
-        return self._as_text(inside.orderBy(*self.keys).offset(rank).limit(1))[0]
-
-    def _step(self, low: tuple | None, high: tuple | None, size: int) -> tuple[list[tuple], dict]:
-        if (low, high) not in self.steps:
-            inside = self._within(low, high)
-            bounds = self._bounds(inside, size)
-            counted = inside.groupBy(self._bucket(bounds).alias("bucket")).agg(
-                F.count(F.lit(1)).alias("n")
-            )
-            self.steps[low, high] = bounds, {r["bucket"]: r["n"] for r in counted.collect()}
-        return self.steps[low, high]
-
-    def _bounds(self, inside: DataFrame, size: int) -> list[tuple]:
-        drawn = inside.sample(fraction=min(1.0, SAMPLE_KEYS / size), seed=17)
-        # A few thousand keys, ordered by a top-k; repeats go here on the driver.
-        keys = list(dict.fromkeys(self._as_text(drawn.orderBy(*self.keys).limit(4 * SAMPLE_KEYS))))
-        if not keys:
-            keys = self._as_text(inside.limit(1))
-        step = max(1, math.ceil(len(keys) / COUNT_BUCKETS))
-        return keys[step - 1 :: step]
-
-
 # -- batches --------------------------------------------------------------
 
 

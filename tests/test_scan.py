@@ -1,7 +1,11 @@
+import datetime
+import decimal
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from tablewire.sources import scan
+from tablewire.sources import row_range, scan
 
 
 def test_spec_forms():
@@ -36,7 +40,7 @@ def numbers(spark):
 
 @pytest.mark.parametrize("start,count", [(0, 10), (10, 2500), (1999, 1), (5990, 100), (6000, 5), (100, 0)])
 def test_row_range_equals_sorted_slice(numbers, monkeypatch, start, count):
-    monkeypatch.setattr(scan, "SAMPLE_KEYS", 40)
+    monkeypatch.setattr(row_range, "SKETCH_SIZE", 40)
     expected = sorted(
         ((r["a"], r["b"]) for r in numbers.collect()), key=lambda r: (r[0] is not None, r[0] or "", r[1])
     )[start : start + count]
@@ -44,6 +48,58 @@ def test_row_range_equals_sorted_slice(numbers, monkeypatch, start, count):
     assert sorted((r["b"] for r in got.collect())) == sorted(b for _, b in expected)
 
 
+EPOCH = datetime.datetime(2020, 1, 1)
+
+
+@pytest.mark.parametrize("kind,make", [
+    ("double", lambda r: r.choice([float("nan"), float("inf"), -0.5, 0.25, r.random()])),
+    ("float", lambda r: r.uniform(-1, 1)),
+    ("decimal(12,3)", lambda r: decimal.Decimal(r.randrange(-500, 500)).scaleb(-3)),
+    ("decimal(30,3)", lambda r: decimal.Decimal(r.randrange(-10**25, 10**25)).scaleb(-3)),
+    ("date", lambda r: (EPOCH + datetime.timedelta(days=r.randrange(90))).date()),
+    ("timestamp", lambda r: EPOCH + datetime.timedelta(microseconds=r.randrange(300))),
+    ("timestamp_ntz", lambda r: EPOCH + datetime.timedelta(seconds=r.randrange(10**6), microseconds=r.randrange(10**6))),
+    ("boolean", lambda r: r.random() < 0.3),
+    ("string", lambda r: "https://www.example.org/" + "é" * r.randrange(3) + "x" * r.randrange(40)),
+    ("binary", lambda r: bytes(r.randrange(2) for _ in range(r.randrange(12)))),
+])
+def test_keys_of_every_type_are_ordered(spark, kind, make):
+    rng = random.Random(kind)
+    rows = [(None if i % 17 == 0 else make(rng), i) for i in range(900)]
+    df = spark.createDataFrame(rows, f"a {kind}, b long").repartition(3)
+    in_order = [r["b"] for r in df.orderBy("a", "b").collect()]
+    for start, count in ((40, 300), (333, 700)):
+        got = row_range.read_row_range(df, ["a", "b"], start, count, top_rows=30)
+        assert sorted(r["b"] for r in got.collect()) == sorted(in_order[start : start + count])
+
+
+def test_keys_without_numbers_are_sorted(spark):
+    df = spark.range(300).select(F.struct((F.col("id") % 7).alias("x"), F.col("id").alias("y")).alias("k"), "id")
+    order = row_range.KeyOrder(df, ["k"], top_rows=20)
+    assert order.numbers == [] and not order.whole
+    total, found = order.at_ranks([50, 299])
+    assert total == 300 and not any(f.tied_before or f.tied_behind for f in found)
+
+
+def test_one_hot_key_takes_few_jobs(spark):
+    df = spark.range(0, 60_000, 1, 8).select(F.lit("hot").alias("a"), (F.col("id") * 7919 % 60_000).alias("b"))
+    group = "row-range-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    got = row_range.read_row_range(df, ["a", "b"], 20_000, 30_000, top_rows=1_000)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs <= 9  # adaptive execution makes a job of every stage of the three actions
+    assert got.agg(F.min("b"), F.max("b"), F.count("*")).first() == (20_000, 49_999, 30_000)
+
+
+def test_range_behind_the_end_and_no_rows(spark):
+    df = spark.range(100)
+    for start, count, top_rows in ((100, 5, 10), (500, 5, 10), (100, 5, 1000), (3, 0, 10)):
+        assert row_range.read_row_range(df, ["id"], start, count, top_rows).count() == 0
+    assert row_range.read_row_range(df.where("id < 0"), ["id"], 0, 50, top_rows=10).count() == 0
+    assert row_range.read_row_range(df, ["id"], 95, 50, top_rows=10).count() == 5
+
+
 def test_long_range_needs_no_exchange(spark, plan):
     df = spark.range(0, 5000, 1, 4)
     read = scan.read_row_range(df, ["id"], 1000, 3000, top_rows=100)
