@@ -1,0 +1,157 @@
+"""What a slice costs: calls of the state store, and plain rows instead of pandas tables."""
+
+import datetime
+
+import pandas as pd
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from tablewire.streaming import slices
+
+UTC = datetime.timezone.utc
+
+
+class State:
+    """Stands for list, value and handle; counts the calls."""
+
+    def __init__(self):
+        self.calls, self.entries, self.value, self.timers = [], [], None, set()
+
+    def getListState(self, name, schema):
+        return self
+
+    def getValueState(self, name, schema):
+        return Value(self)
+
+    def appendValue(self, entry):
+        self.calls.append("append")
+        self.entries.append(entry)
+
+    def appendList(self, entries):
+        self.calls += ["append"] * len(entries)
+        self.entries += entries
+
+    def get(self):
+        self.calls.append("read")
+        return iter(self.entries)
+
+    def clear(self):
+        self.calls.append("clear")
+        self.entries = []
+
+    def registerTimer(self, at):
+        self.calls.append("timer")
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls.append("no timer")
+        self.timers.remove(at)
+
+
+class Value:
+    def __init__(self, state):
+        self.state = state
+
+    def get(self):
+        self.state.calls.append("progress")
+        return self.state.value
+
+    def update(self, value):
+        self.state.calls.append("update")
+        self.state.value = value
+
+    def clear(self):
+        self.state.calls.append("clear progress")
+        self.state.value = None
+
+
+class Expired:
+    def __init__(self, at):
+        self.at = at
+
+    def getExpiryTimeInMs(self):
+        return self.at
+
+
+def row(seq, kind="done", audio=None, is_delta=False, at=5, session=1, part=0):
+    ts = datetime.datetime.fromtimestamp(at, UTC)
+    columns = ["session_id", "part", "seq", "ts", "event_class", "audio", "is_delta"]
+    return Row(*columns)(session, part, seq, ts, kind, audio, is_delta)
+
+
+@pytest.fixture
+def processor():
+    made = slices.SliceProcessor(8, 1_000, 50_000, True)
+    made.init(State())
+    return made
+
+
+def test_what_comes_in_one_micro_batch_is_one_entry(processor):
+    state = processor.handle
+    events = [row(s, "audio", b"%d;" % s, True, at=s) for s in (5, 0, 3, 1)]
+    assert list(processor.handleInputRows((1, 0), iter(events), None)) == []
+    assert state.calls == ["progress", "append", "timer", "update"] and state.timers == {6_000}
+    state.calls.clear()
+    (out,) = processor.handleExpiredTimer((1, 0), None, Expired(6_000))
+    assert isinstance(out, Row) and out.reason == "timeout" and out.audio == b"0;1;3;5;"
+    assert [*out.seqs] == [0, 1, 3, 5] and [*out.delta_ends] == [2, 4, 6, 8]
+    assert state.calls == ["read", "clear", "timer", "update"]
+    state.calls.clear()
+    (out,) = processor.handleInputRows((1, 0), iter([row(2, "audio", None, True)]), None)
+    assert (out.reason, out.revision, out.n_bad, [*out.delta_ends]) == ("late", 2, 1, [None])
+    assert state.calls == ["progress", "update"]
+    state.calls.clear()
+    assert list(processor.handleExpiredTimer((1, 0), None, Expired(56_000))) == []
+    assert state.calls == ["read", "clear progress"]
+
+
+def test_a_slice_that_is_complete_at_once_keeps_no_events(processor):
+    (out,) = processor.handleInputRows((1, 0), iter([row(s) for s in reversed(range(8))]), None)
+    assert out.reason == "complete" and [*out.seqs] == [*range(8)]
+    assert processor.handle.calls == ["progress", "timer", "update"]
+
+
+def test_entries_of_several_micro_batches_are_put_together(processor):
+    for seqs in ([6, 7], [0, 1, 2], []):
+        if seqs:
+            assert not list(processor.handleInputRows((1, 0), iter([row(s, at=s) for s in seqs]), None))
+    (out,) = processor.handleInputRows((1, 0), iter([row(3), row(5), row(4, "finished")]), None)
+    assert (out.reason, out.n_events, out.n_late, out.finished_seq) == ("ended", 8, 3, 4)
+    assert processor.handle.entries == [] and processor.handle.timers == {5_000 + 50_000}
+
+
+def test_times_are_absolute():
+    east = datetime.timezone(datetime.timedelta(hours=2))
+    assert slices.in_ms(datetime.datetime(1970, 1, 1, 2, 0, 1, 500_000, east)) == 1_500
+    assert slices.in_ms(datetime.datetime(1970, 1, 1, 0, 0, 1, 500_000)) == 1_500
+
+
+def test_a_user_function_gets_and_returns_what_plain_rows_hold(spark, tmp_path):
+    message = F.concat(F.lit('{"type":"response.audio.delta","delta":"'), F.base64(F.col("id").cast("string").cast("binary")), F.lit('"}'))
+    end = F.when((F.col("id") % 20 == 13) & (F.col("id") < 40), "close").otherwise("text")
+    events = spark.range(75).select(
+        F.expr("id div 20").alias("session_id"), (F.col("id") % 20).alias("seq"), F.timestamp_seconds("id").alias("ts"),
+        F.when(F.col("id") % 5 == 2, "{}").otherwise(message).alias("payload"), end.alias("frame"),
+    )
+    clock = spark.range(1).select(F.lit(-1).cast("long"), F.lit(0).cast("long"), F.timestamp_seconds(F.lit(10**7)), F.lit("{}"), F.lit("text"))
+    events.union(clock).write.parquet(source := str(tmp_path / "in"))
+
+    def run(name, **more):
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        out = slices.stream_sessions(stream, "1 hour", 10_000, 8, "frame", **more)
+        sink = out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"{name}-cp"))
+        assert sink.option("path", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(200)
+        return sorted(map(repr, spark.read.schema(slices.SLICE_SCHEMA).parquet(str(tmp_path / name)).where("session_id >= 0").collect()))
+
+    def same(given: pd.DataFrame) -> pd.DataFrame:
+        assert len(given) == 1 and isinstance(given["seqs"][0], list)
+        return given
+
+    spark.conf.set(slices.STATE_STORE, slices.ROCKSDB)
+    try:
+        plain, hooked = run("plain"), run("hooked", on_slice=same)
+    finally:
+        spark.conf.unset(slices.STATE_STORE)
+    assert plain == hooked and len(plain) == 11
+    assert {r for r in ("complete", "ended", "timeout") if any(f"reason='{r}'" in x for x in plain)} == {"complete", "ended", "timeout"}
