@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewire.streaming import slices
 
@@ -155,3 +156,70 @@ def test_a_user_function_gets_and_returns_what_plain_rows_hold(spark, tmp_path):
         spark.conf.unset(slices.STATE_STORE)
     assert plain == hooked and len(plain) == 11
     assert {r for r in ("complete", "ended", "timeout") if any(f"reason='{r}'" in x for x in plain)} == {"complete", "ended", "timeout"}
+
+
+def test_events_go_to_python_and_slices_come_back_in_few_columns(spark):
+    rates = spark.readStream.format("rate").load()
+    events = rates.select(F.col("value").alias("session_id"), F.col("value").alias("seq"), F.col("timestamp").alias("ts"), F.lit("{}").alias("payload"))
+    out = slices.stream_sessions(events, slice_events=8)
+    assert out.schema == T.StructType.fromDDL(slices.SLICE_SCHEMA)
+    step = out._jdf.queryExecution().analyzed()
+    while step.nodeName() != "TransformWithStateInPySpark":
+        step = step.children().head()
+    assert step.output().size() == 2 and step.children().head().output().size() <= 4  # the key counts twice
+
+
+def test_a_packed_event_holds_what_the_plain_one_holds(spark):
+    rows = [
+        (7, 0, 3, 1, "audio", b"a b\n0 ", True), (7, 0, 1, 2, "audio", None, True), (7, 0, 2, 3, "audio", b"", True),
+        (7, 0, 4, 5, "two words\n-1 é", None, False), (7, 0, 0, 4, "", None, False),
+        (-2, -1, -8, 9, "close", None, False), (2**62, 2**59, 2**62 + 1, 9, "3 x", None, False),
+    ]
+    routed = spark.createDataFrame(rows, "session_id long, part long, seq long, at long, event_class string, audio binary, is_delta boolean")
+    routed = routed.withColumn("ts", F.timestamp_seconds("at")).drop("at")
+    packed = slices.packed_events(routed)
+    assert packed.columns == ["key", "ts", "event"]
+    made = slices.PackedSliceProcessor(8, 1_000, 50_000, True)
+    for got, (session, part, seq, at, kind, audio, is_delta) in zip(packed.collect(), rows, strict=True):
+        assert made.slice_key((got["key"],)) == (session, part)
+        time = datetime.datetime.fromtimestamp(at, UTC)
+        assert made.arrivals([(got["key"], time, bytes(got["event"]))]) == ([(seq, kind, audio, is_delta)], at * 1_000)
+
+
+def test_a_packed_slice_is_the_plain_slice(spark, processor):
+    events = [(0, "created", None, False), (1, "audio", b"ab", True), (2, "audio", None, True), (3, "audio", b"c", True), (5, "close", None, False), (6, "audio", b"z", True)]
+    made = slices.PackedSliceProcessor(8, 1_000, 50_000, True)
+    rows = [((1, 0), events, "ended", 1), ((1, 1), [(9, "x", None, False)], "late", 3)]
+    packed = spark.createDataFrame([tuple(made.slice_row(*r)) for r in rows], slices.PACKED_SCHEMA)
+    out = slices.unpacked_slices(packed, slices.SLICE_SCHEMA)
+    assert [tuple(r) for r in out.collect()] == [tuple(processor.slice_values(*r)) for r in rows]
+
+
+def test_too_late_events_and_odd_kinds_are_the_same_with_and_without_a_user_function(spark, tmp_path):
+    audio = '{"type":"response.audio.delta","delta":"%s"}'
+    first = [(1, 0, 50_000, "{}", "text"), (1, 1, 50_000, audio % "YWI=", None), (2, 0, 50_000, None, "a b\n-1 c"), (2, 1, 50_000, audio % "?", "text")]
+    clock = [(-1, 0, 90_000, "{}", "text")]
+    # Each slice gets an event older than the watermark together with a new one: only the new one counts.
+    second = [(1, 2, 1_000, audio % "YWE=", "text"), (1, 3, 95_000, audio % "YWM=", "text"), (2, 2, 2_000, "{}", "text"), (2, 3, 95_000, audio % "", "text")]
+    shape = "session_id long, seq long, at long, payload string, frame string"
+
+    def run(name, **more):
+        source, sink, checkpoint = (str(tmp_path / f"{name}-{n}") for n in ("in", "out", "cp"))
+        for rows in (first, clock, clock, second, [(-1, 1, 10**7, "{}", "text")]):
+            df = spark.createDataFrame(rows, shape)
+            df = df.select("session_id", "seq", F.timestamp_seconds("at").alias("ts"), "payload", "frame").coalesce(1)
+            df.write.mode("append").parquet(source)
+            stream = spark.readStream.schema(df.schema).parquet(source)
+            out = slices.stream_sessions(stream, "1 hour", 10_000, 8, "frame", **more)
+            sent = out.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", sink)
+            assert sent.trigger(availableNow=True).start().awaitTermination(200)
+        out = spark.read.schema(slices.SLICE_SCHEMA).parquet(sink).where("session_id >= 0")
+        return sorted(map(repr, out.collect()))
+
+    spark.conf.set(slices.STATE_STORE, slices.ROCKSDB)
+    try:
+        plain, hooked = run("plain"), run("hooked", on_slice=lambda given: given)
+    finally:
+        spark.conf.unset(slices.STATE_STORE)
+    assert plain == hooked
+    assert sum("n_events=1," in x and "seqs=[3]," in x for x in plain) == 2 and sum("n_events=2," in x for x in plain) == 2
