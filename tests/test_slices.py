@@ -1,12 +1,15 @@
 """What a slice costs: calls of the state store, and plain rows instead of pandas tables."""
 
 import datetime
+import itertools
+import random
 
 import pandas as pd
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from tablewire.streaming import slices
 
@@ -223,3 +226,182 @@ def test_too_late_events_and_odd_kinds_are_the_same_with_and_without_a_user_func
         spark.conf.unset(slices.STATE_STORE)
     assert plain == hooked
     assert sum("n_events=1," in x and "seqs=[3]," in x for x in plain) == 2 and sum("n_events=2," in x for x in plain) == 2
+
+
+class Store:
+    """The state of each key of a ``SliceGroupProcessor`` or a ``PackedSliceProcessor``; one micro-batch after the other, as Spark has it."""
+
+    def __init__(self, processor):
+        self.processor, self.calls, self.state, self.timers = processor, 0, {}, {}
+        processor.init(self)
+
+    def part(self, kind, name):
+        return type(kind.__name__, (kind,), {"__getattribute__": counted(self)})(self, name)
+
+    def getValueState(self, name, schema):
+        return self.part(Kept, name)
+
+    getListState = getValueState
+
+    def getMapState(self, name, key_schema, schema):
+        return self.part(Kept, name)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.setdefault(self.key, set()).add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers[self.key].remove(at)
+
+    def run(self, rows, watermark):
+        times, out = TimerValues(watermark, watermark), []
+        for self.key, some in itertools.groupby(sorted(rows, key=lambda r: r[0]), key=lambda r: r[0]):
+            out += self.processor.handleInputRows((self.key,), some, times)
+        for at, self.key in sorted((at, key) for key, timers in self.timers.items() for at in timers if at < watermark):
+            out += self.processor.handleExpiredTimer((self.key,), times, ExpiredTimerInfo(at))
+            self.timers[self.key].discard(at)
+        return sorted(out)
+
+
+class Kept:
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    def values(self):
+        return self.store.state.setdefault((self.store.key, self.name), {})
+
+    def get(self):
+        found = self.values()
+        return found.get(None) if self.name in ("progress", "group") else iter(list(found.values()))
+
+    def update(self, value):
+        self.values()[None] = value
+
+    def appendValue(self, value):
+        self.values()[len(self.values())] = value
+
+    def clear(self):
+        self.values().clear()
+
+    def getValue(self, key):
+        return self.values()[key]
+
+    def updateValue(self, key, value):
+        assert key not in self.values()  # an entry is never written again
+        self.values()[key] = value
+
+    def removeKey(self, key):
+        del self.values()[key]
+
+
+def counted(store):
+    def get(self, name):
+        store.calls += name in ("get", "update", "appendValue", "clear", "getValue", "updateValue", "removeKey")
+        return object.__getattribute__(self, name)
+
+    return get
+
+
+def random_batches(rng, n_slices):
+    """Micro-batches of ``(slice, time, event)`` and their watermarks: out of order, repeated, late, at the edge of a timer."""
+    clock = 0
+    for _ in range(rng.randrange(3, 25)):
+        rows = []
+        for _ in range(rng.randrange(0, 40)):
+            seq, kind = rng.randrange(8), rng.choice(["done"] * 9 + ["close", "finished"])
+            size = rng.choice(["", "-1", "2"])
+            event = f"{seq} {size} {'ab' if size == '2' else ''}{kind}".encode()
+            time = datetime.datetime.fromtimestamp(clock + rng.randrange(4), UTC)
+            rows.append((f"{rng.randrange(n_slices)} 0", time, event))
+        yield rows, max(0, clock - 2) * 1_000
+        clock += rng.choice([0, 1, 1, 2, 5, 60])
+
+
+@pytest.mark.parametrize("forget_ms", [50_000, 3_000, 1_000, 0])
+def test_a_group_gives_out_what_its_slices_give_out_alone(forget_ms):
+    for seed in range(150):
+        rng = random.Random(seed)
+        alone, group = (Store(kind(8, 1_000, forget_ms, True)) for kind in (slices.PackedSliceProcessor, slices.SliceGroupProcessor))
+        batches = [*random_batches(rng, rng.choice([1, 3, 20])), ([], 10**6), ([], 10**9), ([], 10**12), ([], 10**13)]
+        for rows, watermark in batches:
+            grouped = [(0, time, at.encode() + b" " + event) for at, time, event in rows]
+            expected, given = alone.run(rows, watermark), group.run(grouped, watermark)
+            # With 0 a slice alone keeps the number of its revisions for good: its new timer is taken for the old one.
+            assert not forget_ms or given == expected, seed
+        assert not any(group.state.values()) and not any(group.timers.values())
+
+
+def test_calls_of_the_state_store_do_not_grow_with_the_slices():
+    calls = []
+    for n in (5, 250):
+        store = Store(slices.SliceGroupProcessor(8, 1_000, 50_000, True))
+        rows = [(0, datetime.datetime.fromtimestamp(s + k, UTC), b"%d 0 %d  done" % (k, s)) for k in range(n) for s in range(8 if k % 2 else 3)]
+        assert len(store.run(rows, 0)) == n // 2 and len(store.run([], 10**6)) == n - n // 2 and not store.run([], 10**6)
+        assert not any(store.state.values())
+        calls.append(store.calls)
+    assert calls[0] == calls[1] < 15
+
+
+def test_the_operator_is_keyed_by_groups_of_slices(spark):
+    rates = spark.readStream.format("rate").load()
+    events = rates.select(F.col("value").alias("session_id"), F.col("value").alias("seq"), F.col("timestamp").alias("ts"), F.lit("{}").alias("payload"))
+    step = slices.stream_sessions(events, slice_events=8)._jdf.queryExecution().analyzed()
+    while step.nodeName() != "TransformWithStateInPySpark":
+        step = step.children().head()
+    assert [c.strip() for c in step.children().head().output().mkString(",").split(",")][0].startswith("slices#")
+    packed = spark.range(1000).select(F.concat_ws(" ", "id", F.lit("0")).alias("key"), F.lit(b"3  x").alias("event"), F.current_timestamp().alias("ts"))
+    grouped = slices.grouped_events(packed, 7)
+    sizes = grouped.groupBy("slices").count().collect()
+    assert sorted(r["slices"] for r in sizes) == [*range(7)] and max(r["count"] for r in sizes) < 300
+    assert {bytes(r["event"]) for r in grouped.collect()} == {b"%d 0 3  x" % k for k in range(1000)}
+
+
+def run_streams(spark, tmp_path, batches, shape, delay="1 hour", *, names=("plain", "hooked"), **more):
+    """The rows of a stream over ``batches``, one query each on the same checkpoint, without and with a user function."""
+    spark.conf.set(slices.STATE_STORE, slices.ROCKSDB)
+    found = {}
+    try:
+        for name in names:
+            source, sink, checkpoint = (str(tmp_path / f"{name}-{n}") for n in ("in", "out", "cp"))
+            hook = {"on_slice": lambda given: given} if name == "hooked" else {}
+            for rows in batches:
+                df = spark.createDataFrame(rows, shape).withColumn("ts", F.timestamp_millis("at")).drop("at")
+                df.coalesce(1).write.mode("append").parquet(source)
+                stream = spark.readStream.schema(df.schema).parquet(source)
+                out = slices.stream_sessions(stream, delay, 10_000, 8, "frame", **more, **hook)
+                sent = out.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", sink)
+                assert sent.trigger(availableNow=True).start().awaitTermination(200)
+            out = spark.read.schema(slices.SLICE_SCHEMA).parquet(sink).where("session_id >= 0")
+            found[name] = sorted(map(repr, out.collect()))
+    finally:
+        spark.conf.unset(slices.STATE_STORE)
+    return found
+
+
+EVENTS = "session_id long, seq long, at long, payload string, frame string"
+DELTA = '{"type":"response.audio.delta","delta":"YWI="}'
+
+
+def test_times_beyond_those_of_pandas_pass(spark, tmp_path):
+    far = 32_503_680_000_000  # the year 3000
+    batches = [
+        [(1, 0, 1_000, DELTA, "text"), (1, 1, far, DELTA, None), (2, 0, 1_000, DELTA, "text")],
+        [(3, s, far + s, DELTA, "text") for s in range(3)],
+        [(-1, 0, 2 * far, "{}", "text")],
+    ]
+    (rows,) = run_streams(spark, tmp_path, batches, EVENTS, names=["plain"]).values()
+    assert [r.split(", reason=")[0][4:] for r in rows] == [f"session_id={s}, part=0" for s in (1, 2, 3)]
+
+
+def test_a_timer_that_meets_the_watermark_is_the_same_in_a_group(spark, tmp_path):
+    # After the second micro-batch the watermark is 60,000: slices run out at 59,999, 60,000 and 60,001; one group.
+    batches = [
+        [(1, 0, 49_999, DELTA, "text"), (2, 0, 50_000, DELTA, "text"), (3, 0, 50_001, DELTA, "text")],
+        [(-1, 0, 3_660_000, "{}", "text")], [(-1, 1, 3_660_000, "{}", "text")],
+        [(1, 1, 70_000, DELTA, "text"), (2, 1, 70_000, DELTA, "text"), (3, 1, 70_000, DELTA, "text")],
+        [(-1, 2, 9_000_000, "{}", "text")],
+    ]
+    found = run_streams(spark, tmp_path, batches, EVENTS, groups=1)
+    assert found["plain"] == found["hooked"]
+    assert sum("reason='late'" in r for r in found["plain"]) in (1, 2) and sum("n_events=2," in r for r in found["plain"]) in (1, 2)
